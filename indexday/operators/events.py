@@ -70,30 +70,35 @@ def rank_days(events: DataFrame, person: str, date: str) -> DataFrame:
     return events.join(distinct_days(events, person, date), [person, date])
 
 
-def index_with_confirmation(events: DataFrame, person: str, date: str, tie: str) -> DataFrame:
-    """Each person's first event with the next day that has an event and the number of events.
+def index_with_confirmation(
+    events: DataFrame, person: str, date: str, tie: str, count: str | None = None
+) -> DataFrame:
+    """Each person's first event with the next day that has an event.
 
-    Adds ``second_day`` (NULL if there is none) and ``n_events``. Events are first folded to one
-    row per person and day; then only each person's two earliest days pass on, which Spark
-    prunes in every task ahead of the exchange (window group limit).
+    Adds ``second_day`` (NULL if there is none) and, under the name ``count``, the person's
+    number of events. Events are first folded to one row per person and day; then only each
+    person's two earliest days pass on, which Spark prunes in every task ahead of the exchange
+    (window group limit). A count needs all days and forgoes the pruning.
     """
     others = [c for c in events.columns if c not in (person, date, tie)]
     days = (
         events.filter(F.col(date).isNotNull())
         .groupBy(person, date)
-        .agg(F.min(F.struct(tie, *others)).alias("first_event"))
+        .agg(F.min(F.struct(tie, *others)).alias("first_event"), F.count("*").alias("n"))
     )
-    order = F.row_number().over(W.partitionBy(person).orderBy(date))
-    first_two = days.withColumn("day_rank", order).filter(F.col("day_rank") <= 2)
+    ranked = days.withColumn("day_rank", F.row_number().over(W.partitionBy(person).orderBy(date)))
+    if count is None:
+        ranked = ranked.filter(F.col("day_rank") <= 2)
     first, second = F.col("day_rank") == 1, F.col("day_rank") == 2
-    people = first_two.groupBy(person).agg(
+    people = ranked.groupBy(person).agg(
         F.min(F.when(first, F.col(date))).alias("index_day"),
         F.min(F.when(second, F.col(date))).alias("second_day"),
         F.min(F.when(first, F.col("first_event"))).alias("first_event"),
+        F.sum("n").alias("n"),
     )
     names = {person: F.col(person), date: F.col("index_day").alias(date)}
     row = [names[c] if c in names else F.col(f"first_event.{c}") for c in events.columns]
-    return people.select(*row, "second_day")
+    return people.select(*row, "second_day", *([F.col("n").alias(count)] if count else []))
 
 
 def confirm_within(events: DataFrame, person: str, date: str, tie: str, days: int = 180) -> DataFrame:

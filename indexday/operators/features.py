@@ -49,14 +49,12 @@ def condition_flags(
     for s in sets:
         day = F.when(F.col(s.name) == 1, F.col(date))
         spans += [F.min(day).alias(f"{s.name}_first"), F.max(day).alias(f"{s.name}_last")]
-    out = _attach(cohort, tagged.groupBy(person).agg(*spans), person)
+    flags = []
     for s in sets:
         first, last = F.col(f"{s.name}_first"), F.col(f"{s.name}_last")
         on_time = (first if strict else last) >= F.col(INDEX)
-        out = out.withColumn(s.name, F.when((first < last) & on_time, 1).otherwise(0)).drop(
-            f"{s.name}_first", f"{s.name}_last"
-        )
-    return out
+        flags.append(F.when((first < last) & on_time, 1).otherwise(0).alias(s.name))
+    return _attach(cohort, tagged.groupBy(person).agg(*spans), person).select(*cohort.columns, *flags)
 
 
 def outcome_flag(
@@ -77,8 +75,8 @@ def outcome_flag(
     """
     last = procedures.filter(F.col(code).isin(*codes)).groupBy(person).agg(F.max(date).alias("_last"))
     yes, no = labels
-    status = F.when(F.col("_last") >= F.col(INDEX), yes).otherwise(no)
-    return _attach(cohort, last, person).withColumn(column, status).drop("_last")
+    status = F.when(F.col("_last") >= F.col(INDEX), yes).otherwise(no).alias(column)
+    return _attach(cohort, last, person).select(*cohort.columns, status)
 
 
 def window_flags(

@@ -12,15 +12,15 @@ _WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.D
 
 
 def planned_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size for a plan, or None where the session does not expose it.
+    """Spark's static size for a plan, or None where the session does not expose it.
 
-    Filters and semi joins count as large as their input and inner joins as the product of
-    theirs, so the figure errs on the large side.
+    Taken before optimization: scans count with all their columns, filters and semi joins as
+    large as their input and inner joins as the product of theirs, so it errs on the large side.
     """
-    plan = getattr(df, "_jdf", None)
-    if plan is None:
+    frame = getattr(df, "_jdf", None)
+    if frame is None:
         return None
-    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return int(str(frame.queryExecution().analyzed().stats().sizeInBytes()))
 
 
 def measured_bytes(df: DataFrame, limit: int) -> int | None:

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass, replace
 from math import exp, sqrt
 
+import numpy as np
+from pyspark.errors import UnsupportedOperationException
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression, GeneralizedLinearRegressionModel
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -20,6 +23,7 @@ Z_95 = 1.959963984540054
 CHI2_95 = 3.841458820694124
 
 MAX_LEVELS = 1000
+INTERCEPT = "(Intercept)"
 
 
 def level_values(df: DataFrame, column: str) -> list[str]:
@@ -37,6 +41,11 @@ def contrast_name(column: str, position: int) -> str:
     return f"{column}_{position}"
 
 
+def dummy_name(column: str, level: str) -> str:
+    # A dot would read as a field access in a column name.
+    return f"{column}_{level}".replace(".", "_")
+
+
 def sum_contrasts(df: DataFrame, column: str, levels: Sequence[str]) -> DataFrame:
     """Add sum-to-zero columns: 1 for the own level, -1 for the last level, else 0; NULL for NULL."""
     c = F.col(column)
@@ -50,7 +59,7 @@ def sum_contrasts(df: DataFrame, column: str, levels: Sequence[str]) -> DataFram
 def dummies(df: DataFrame, column: str, levels: Sequence[str]) -> DataFrame:
     """Add a 0/1 column for every level but the first, which is the baseline; NULL for NULL."""
     c = F.col(column)
-    coded = [F.when(c == level, 1).when(c.isNotNull(), 0).alias(f"{column}_{level}") for level in levels[1:]]
+    coded = [F.when(c == level, 1).when(c.isNotNull(), 0).alias(dummy_name(column, level)) for level in levels[1:]]
     return df.select("*", *coded)
 
 
@@ -79,7 +88,7 @@ class Design:
     def terms(self) -> list[str]:
         out = list(self.numeric)
         for c, levels in self.dummy.items():
-            out += [f"{c}_{level}" for level in levels[1:]]
+            out += [dummy_name(c, level) for level in levels[1:]]
         for c, levels in self.summed.items():
             out += [contrast_name(c, i) for i in range(1, len(levels))]
         return out
@@ -114,11 +123,32 @@ def design(
     )
 
 
+def independent_terms(rows: DataFrame, terms: Sequence[str], tolerance: float = 1e-8) -> list[str]:
+    """Terms that are not a linear combination of the intercept and the terms before them.
+
+    A constant term goes first. The others are read off their correlation matrix, which Spark
+    computes over the patterns: a term goes when nothing of its variance is left once the kept
+    ones are accounted for.
+    """
+    spread = rows.agg(*[(F.max(t) > F.min(t)).alias(t) for t in terms]).first()
+    varying = [t for t in terms if spread[t]]
+    if not varying:
+        return []
+    vectors = VectorAssembler(inputCols=varying, outputCol="features").transform(rows)
+    left = Correlation.corr(vectors, "features").head()[0].toArray()
+    kept = []
+    for i, term in enumerate(varying):
+        if left[i, i] > tolerance:
+            kept.append(term)
+            left = left - np.outer(left[:, i], left[i]) / left[i, i]
+    return kept
+
+
 def fit_terms(rows: DataFrame, terms: Sequence[str], offset: str | None = None) -> GeneralizedLinearRegressionModel:
     """Unregularised logistic fit of weighted rows."""
     vectors = VectorAssembler(inputCols=list(terms), outputCol="features").transform(rows)
     glm = GeneralizedLinearRegression(
-        family="binomial", link="logit", regParam=0.0, weightCol="weight", labelCol="label", tol=1e-10, maxIter=50
+        family="binomial", link="logit", regParam=0.0, weightCol="weight", labelCol="label", tol=1e-8, maxIter=25
     )
     if offset is not None:
         glm = glm.setOffsetCol(offset)
@@ -128,12 +158,12 @@ def fit_terms(rows: DataFrame, terms: Sequence[str], offset: str | None = None)
 @dataclass(frozen=True)
 class Coefficient:
     term: str
-    estimate: float
-    std_error: float
-    z_value: float
-    p_value: float
-    ci_lower: float
-    ci_upper: float
+    estimate: float | None = None
+    std_error: float | None = None
+    z_value: float | None = None
+    p_value: float | None = None
+    ci_lower: float | None = None
+    ci_upper: float | None = None
 
 
 COEFFICIENT_SCHEMA = (
@@ -142,15 +172,26 @@ COEFFICIENT_SCHEMA = (
 )
 
 
-def _wald(model: GeneralizedLinearRegressionModel, terms: Sequence[str]) -> list[Coefficient]:
-    # The model summary lists the intercept after the terms.
-    estimates = [*model.coefficients.toArray().tolist(), model.intercept]
-    errors = model.summary.coefficientStandardErrors
+def _wald(model: GeneralizedLinearRegressionModel, fitted: Sequence[str], terms: Sequence[str]) -> list[Coefficient]:
+    """Intercept and terms with Wald limits; a term that was not fitted has none of them.
+
+    The standard errors are missing as a whole when the data separate the outcomes, since the
+    fit then has no information matrix to invert.
+    """
+    estimates = dict(zip([*fitted, INTERCEPT], [*model.coefficients.toArray().tolist(), model.intercept]))
+    try:
+        # The model summary lists the intercept after the terms.
+        errors = dict(zip([*fitted, INTERCEPT], model.summary.coefficientStandardErrors))
+    except UnsupportedOperationException:
+        errors = {}
     out = []
-    for term, b, se in zip([*terms, "(Intercept)"], estimates, errors):
-        z = b / se if se else float("nan")
-        out.append(Coefficient(term, b, se, z, normal_two_sided(z), b - Z_95 * se, b + Z_95 * se))
-    return [out[-1], *out[:-1]]
+    for term in [INTERCEPT, *terms]:
+        b, se = estimates.get(term), errors.get(term)
+        if b is None or not se:
+            out.append(Coefficient(term, b))
+        else:
+            out.append(Coefficient(term, b, se, b / se, normal_two_sided(b / se), b - Z_95 * se, b + Z_95 * se))
+    return out
 
 
 def _profile_end(rows: DataFrame, terms: Sequence[str], c: Coefficient, best: float, sign: int) -> float:
@@ -184,19 +225,21 @@ def fit_logistic(
     """
     rows = design_.frame(df).persist()
     try:
-        model = fit_terms(rows, design_.terms)
-        table = _wald(model, design_.terms)
+        if rows.isEmpty():
+            return []
+        fitted = independent_terms(rows, design_.terms)
+        model = fit_terms(rows, fitted)
+        table = _wald(model, fitted, design_.terms)
         if interval == "wald":
             return table
         best = model.summary.deviance
-        wanted = [c for c in table[1:] if profiled is None or c.term in profiled]
+        wanted = [c for c in table if c.std_error and c.term != INTERCEPT and (profiled is None or c.term in profiled)]
         jobs = [(c, sign) for c in wanted for sign in (-1, 1)]
         with ThreadPoolExecutor(parallel) as pool:
-            ends = list(pool.map(lambda j: _profile_end(rows, design_.terms, j[0], best, j[1]), jobs))
+            ends = list(pool.map(lambda j: _profile_end(rows, fitted, j[0], best, j[1]), jobs))
         limits = {c.term: (ends[2 * i], ends[2 * i + 1]) for i, c in enumerate(wanted)}
         return [
-            Coefficient(c.term, c.estimate, c.std_error, c.z_value, c.p_value, *limits.get(c.term, (c.ci_lower, c.ci_upper)))
-            for c in table
+            replace(c, ci_lower=limits[c.term][0], ci_upper=limits[c.term][1]) if c.term in limits else c for c in table
         ]
     finally:
         rows.unpersist()
@@ -204,8 +247,7 @@ def fit_logistic(
 
 def coefficient_frame(spark, table: Sequence[Coefficient]) -> DataFrame:
     """The coefficient table with odds ratios; one row per model term."""
-    rows = [(c.term, c.estimate, c.std_error, c.z_value, c.p_value, c.ci_lower, c.ci_upper) for c in table]
-    return spark.createDataFrame(rows, COEFFICIENT_SCHEMA).withColumn("odds_ratio", F.exp("estimate"))
+    return spark.createDataFrame([astuple(c) for c in table], COEFFICIENT_SCHEMA).withColumn("odds_ratio", F.exp("estimate"))
 
 
 def odds_ratio(estimate: float) -> float:
@@ -243,10 +285,10 @@ def plot_table(table: Sequence[Coefficient], column: str, labels: Sequence[str])
             "coefficient": c.estimate,
             "lower": c.ci_lower,
             "upper": c.ci_upper,
-            "significant": c.p_value < 0.05,
+            "significant": c.p_value is not None and c.p_value < 0.05,
         }
         for c in table
-        if c.term != "(Intercept)"
+        if c.term != INTERCEPT
     ]
 
 

@@ -8,10 +8,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indexday.functions import any_flag, categorize, cut, label_to_flag
-from indexday.operators.concepts import code_map, concepts_below
+from indexday.functions import any_flag, categorize, cut, label_to_flag, strip_prefix
+from indexday.operators.concepts import code_map, concepts_below, in_concepts
 from indexday.operators.describe import impute_median
-from indexday.operators.events import confirm_within, qualifying_events, require_observation
+from indexday.operators.events import (
+    confirm_within,
+    index_with_confirmation,
+    qualifying_events,
+    require_observation,
+)
 from indexday.operators.features import (
     INDEX,
     SUBJECT,
@@ -22,6 +27,7 @@ from indexday.operators.features import (
     stay_severity,
     window_flags,
 )
+from indexday.operators.reshape import to_long
 from indexday.sources import StageStore
 from indexday.spec import CohortSpec, ModelSpec, StudySpec
 
@@ -80,6 +86,52 @@ def build_cohort(spec: CohortSpec, tables: Relations, events: DataFrame | None =
     )
 
 
+def attrition(spec: CohortSpec, tables: Relations) -> DataFrame:
+    """Rows and persons left after each step of the cohort definition.
+
+    Two passes over the events give all steps: one counts the events with a listed code, the
+    other carries each person's number of qualifying events along the chain to the flags, so
+    no step computes the ones before it again.
+    """
+    ids = concepts_below(tables["concept_ancestor"], tables["concept"], spec.event_ancestors)
+    coded = in_concepts(tables["condition_occurrence"], "condition_concept_id", ids)
+    first = coded.agg(F.count("*").alias("n_rows"), F.countDistinct(PERSON).alias("n_persons"))
+    first = first.select(F.lit(1).alias("step"), F.lit("condition").alias("name"), "n_rows", "n_persons")
+
+    people = index_with_confirmation(select_events(spec, tables), PERSON, DATE, EVENT, count="n_events")
+    people = people.select(PERSON, DATE, "second_day", "n_events")
+    confirmed = F.coalesce(F.datediff("second_day", DATE) <= spec.confirm_days, F.lit(False))
+    people = people.select(
+        F.col(PERSON).alias(SUBJECT), F.col(DATE).alias(INDEX), "n_events", confirmed.alias("confirmed")
+    )
+    periods = tables["observation_period"].select(
+        F.col("person_id").alias(SUBJECT), "observation_period_start_date", "observation_period_end_date"
+    )
+    span = (F.date_add("observation_period_start_date", spec.observed_before) <= F.col(INDEX)) & (
+        F.date_add(INDEX, spec.observed_after) <= F.col("observation_period_end_date")
+    )
+    # Confirmed persons meet their periods; the others stay as one row without any.
+    seen = people.join(periods, SUBJECT, "left").groupBy(*people.columns).agg(F.count_if(span).alias("n_periods"))
+    flagged = condition_flags(seen, tables["condition_occurrence"], spec.flag_sets, strict=spec.strict_flags)
+    rows = F.when(F.col("confirmed"), F.col("n_periods")).otherwise(0)
+    target = F.when(any_flag(*spec.flags), F.col("_rows")).otherwise(0)
+    counts = flagged.withColumn("_rows", rows).withColumn("_target", target)
+    wide = counts.agg(
+        F.struct(F.coalesce(F.sum("n_events"), F.lit(0)).alias("n_rows"), F.count("*").alias("n_persons")).alias("encounter"),
+        F.struct(F.count_if("confirmed").alias("n_rows"), F.count_if("confirmed").alias("n_persons")).alias("confirmed"),
+        F.struct(
+            F.coalesce(F.sum("_rows"), F.lit(0)).alias("n_rows"), F.count_if(F.col("_rows") > 0).alias("n_persons")
+        ).alias("observed"),
+        F.struct(
+            F.coalesce(F.sum("_target"), F.lit(0)).alias("n_rows"), F.count_if(F.col("_target") > 0).alias("n_persons")
+        ).alias("target"),
+    )
+    steps = wide.unpivot([], wide.columns, "name", "_c")
+    number = F.create_map(*[F.lit(x) for i, n in enumerate(wide.columns, 2) for x in (n, i)])
+    rest = steps.select(number[F.col("name")].alias("step"), "name", "_c.n_rows", "_c.n_persons")
+    return first.unionByName(rest)
+
+
 def target_population(cohort: DataFrame, flags: Sequence[str]) -> DataFrame:
     """Cohort rows with at least one flag."""
     return cohort.filter(any_flag(*flags))
@@ -124,19 +176,37 @@ def build_coverage(spec: StudySpec, tables: Relations, cohort: DataFrame) -> Dat
 
 
 def build_model_frame(
-    features: DataFrame, covariates: DataFrame, coverage: DataFrame, spec: ModelSpec, score: str = "cci"
+    features: DataFrame,
+    covariates: DataFrame,
+    coverage: DataFrame,
+    spec: ModelSpec,
+    score: str = "cci",
+    store: StageStore | None = None,
 ) -> DataFrame:
     """Features with score and coverage, ready for modelling.
 
     The order matters: the median is taken over the joined rows, uncovered persons gone and
-    persons with two plans counted twice, but before the age limit.
+    persons with two plans counted twice, but before the age limit. The joined rows are read
+    once for the median and again for the frame, and models and tables read the frame more than
+    once; with a ``store`` they are written, so nobody computes the joins twice.
     """
     scores = covariates.select(F.col("rowId").alias(SUBJECT), F.col("covariateValue").alias(score))
     joined = features.join(scores, SUBJECT, "left").join(coverage, SUBJECT)
-    coded = joined.withColumn(spec.outcome_column, label_to_flag(spec.outcome_column, spec.outcome_labels[0]))
-    imputed = impute_median(coded, score)
+    if store is not None:
+        joined = store.put("joined", joined)
+    imputed = impute_median(joined, score)
     adults = imputed.filter(F.col("patient_age") >= spec.min_age)
-    return adults.withColumn("age_group", cut("patient_age", spec.age_breaks))
+    coded = label_to_flag(spec.outcome_column, spec.outcome_labels[0])
+    return adults.withColumns({spec.outcome_column: coded, "age_group": cut("patient_age", spec.age_breaks)})
+
+
+def build_long_frame(
+    flags: DataFrame, model_frame: DataFrame, conditions: Sequence[str], name: str, prefix: str = "has_"
+) -> DataFrame:
+    """A model row per subject and condition the subject has, the condition named without prefix."""
+    present = to_long(flags, [SUBJECT], conditions, name, "present").filter(F.col("present") == 1)
+    named = present.withColumn(name, strip_prefix(name, prefix)).drop("present")
+    return named.join(model_frame, SUBJECT)
 
 
 @dataclass(frozen=True)

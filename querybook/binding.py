@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from indexday.sources import Tables, run_sql
 
@@ -91,20 +92,40 @@ VIEWS: dict[str, str] = {
         from {events} where event_type in ('error', 'view')""",
 }
 
+# Condition groups and weights for the comorbidity score. The region the index conditions come
+# from has none, so persons without another condition have no score.
+SCORE_WEIGHTS = """
+    select cast(n_nationkey as bigint) as concept_id, cast(n_regionkey as varchar(10)) as score_group,
+           1 + n_nationkey % 3 as weight
+    from {nation} where n_regionkey > 0"""
+
 _PLACE = re.compile(r"\{(\w+)\}")
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def _table(spark: SparkSession, path: str) -> DataFrame:
+    """A test table; its schema is read from the files once, as that takes a job each time."""
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
+def _read(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    return run_sql(spark, text, {t: _table(spark, f"{sf_dir}/{t}.parquet") for t in _PLACE.findall(text)})
+
+
 def bind(spark: SparkSession, sf_dir: str) -> Tables:
     """The relations over one folder of test tables."""
+    return Tables(lambda name: _read(spark, sf_dir, VIEWS[name]))
 
-    def read(name: str) -> DataFrame:
-        text = VIEWS[name]
-        frames = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in _PLACE.findall(text)}
-        return run_sql(spark, text, frames)
 
-    return Tables(read)
+def score_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, SCORE_WEIGHTS)
 
 
 def oracle_views() -> dict[str, str]:
     """The same relations as SQL over the registered tables."""
-    return {name: _PLACE.sub(r"\1", text) for name, text in VIEWS.items()}
+    views = VIEWS | {"score_weights": SCORE_WEIGHTS}
+    return {name: _PLACE.sub(r"\1", text) for name, text in views.items()}

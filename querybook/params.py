@@ -63,3 +63,8 @@ LABELS = {
     "insurance_plan": "Insurance Plan",
     "treatment_status": "Treatment Status",
 }
+
+CATEGORICAL = (*MODEL.features, "severity", "gender", "age_group", "insurance_plan", "treatment_status")
+CONTINUOUS = ("patient_age", "cci")
+STRATA = ("subject_id", *CATEGORICAL, *CONTINUOUS)
+PREDICTORS = (*MODEL.features, "severity", "gender", "age_group")

@@ -28,6 +28,33 @@ def _attach(cohort: DataFrame, per_person: DataFrame, person: str) -> DataFrame:
     return cohort.join(per_person.withColumnRenamed(person, SUBJECT), SUBJECT, "left")
 
 
+def subject_dates(cohort: DataFrame) -> DataFrame:
+    """Each subject once, with its index date; a subject has only one."""
+    return cohort.select(SUBJECT, INDEX).dropDuplicates([SUBJECT])
+
+
+def known_small(cohort: DataFrame) -> DataFrame | None:
+    """Subjects and index dates marked for broadcasting, or None unless the plan shows they fit.
+
+    A written cohort has a known size. One that is still to be computed counts as large: to
+    measure it would be to compute it.
+    """
+    spine = subject_dates(cohort)
+    return F.broadcast(spine) if is_small(spine, measure=False) else None
+
+
+def of_subjects(events: DataFrame, cohort: DataFrame, person: str) -> DataFrame:
+    """Events of the cohort's subjects if that can be told in the scan's own task, else all.
+
+    Only for use ahead of a join with the cohort: it saves the aggregate between from
+    shuffling persons nobody asked for.
+    """
+    spine = known_small(cohort)
+    if spine is None:
+        return events
+    return events.join(spine.select(F.col(SUBJECT).alias(person)), person, "left_semi")
+
+
 def condition_flags(
     cohort: DataFrame,
     events: DataFrame,
@@ -44,7 +71,7 @@ def condition_flags(
     events serves all sets and no event meets another. ``strict`` asks the first event, not
     just some event, to be on or after the index.
     """
-    tagged = tag_by_ids(events.select(person, code, date), code, sets)
+    tagged = of_subjects(tag_by_ids(events.select(person, code, date), code, sets), cohort, person)
     spans = []
     for s in sets:
         day = F.when(F.col(s.name) == 1, F.col(date))
@@ -73,7 +100,8 @@ def outcome_flag(
     Codes are compared as text: a column of billing codes holds letters too. Whether some
     procedure is late enough is known from the latest one, so each person sends one date on.
     """
-    last = procedures.filter(F.col(code).isin(*codes)).groupBy(person).agg(F.max(date).alias("_last"))
+    listed = of_subjects(procedures.filter(F.col(code).isin(*codes)).select(person, date), cohort, person)
+    last = listed.groupBy(person).agg(F.max(date).alias("_last"))
     yes, no = labels
     status = F.when(F.col("_last") >= F.col(INDEX), yes).otherwise(no).alias(column)
     return _attach(cohort, last, person).select(*cohort.columns, status)
@@ -105,11 +133,10 @@ def window_flags(
         inside = (F.col(g.name) == 1) & in_window("_day", INDEX, g.before, g.after)
         flags.append(F.max(F.when(inside, 1).otherwise(0)).alias(g.name))
 
-    spine = cohort.select(SUBJECT, INDEX)
-    if is_small(spine, measure=False):
-        near = hits.join(F.broadcast(spine.distinct()), SUBJECT)
-        found = near.groupBy(SUBJECT, INDEX).agg(*flags)
-        out = cohort.join(found, [SUBJECT, INDEX], "left")
+    spine = known_small(cohort)
+    if spine is not None:
+        found = hits.join(spine, SUBJECT).groupBy(SUBJECT).agg(*flags)
+        out = cohort.join(found, SUBJECT, "left")
         return out.select(*cohort.columns, *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in names])
     daily = hits.groupBy(SUBJECT, "_day").agg(*[F.max(n).alias(n) for n in names])
     # Grouping by all cohort columns keeps the whole row without a second join; the exchange
@@ -174,12 +201,11 @@ def comorbidity_score(
     the largest weight found. Subjects without any group have no row. The earliest date per
     person, group and weight says whether it was found in time, so events fold before the join.
     """
-    found = tag_by_map(events.select(person, code, date), code, weights)
+    found = of_subjects(tag_by_map(events.select(person, code, date), code, weights), cohort, person)
     first = found.groupBy(F.col(person).alias(SUBJECT), "score_group", "weight").agg(F.min(date).alias("_first"))
-    spine = cohort.select(SUBJECT, INDEX).distinct()
-    in_time = spine.join(first, SUBJECT).filter(F.col("_first") <= F.col(INDEX))
-    per_group = in_time.groupBy(SUBJECT, INDEX, "score_group").agg(F.max("weight").alias("weight"))
-    return per_group.groupBy(SUBJECT, INDEX).agg(F.sum("weight").cast("double").alias("score")).drop(INDEX)
+    in_time = subject_dates(cohort).join(first, SUBJECT).filter(F.col("_first") <= F.col(INDEX))
+    per_group = in_time.groupBy(SUBJECT, "score_group").agg(F.max("weight").alias("weight"))
+    return per_group.groupBy(SUBJECT).agg(F.sum("weight").cast("double").alias("score"))
 
 
 def as_covariates(scores: DataFrame, covariate_id: int, value: str = "score") -> DataFrame:

@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indexday.functions import relabel
-from indexday.operators.features import INDEX, SUBJECT
-from indexday.operators.sizing import broadcast_if_small
+from indexday.operators.features import INDEX, SUBJECT, known_small, of_subjects, subject_dates
 
 
 def group_counts(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
@@ -55,13 +54,20 @@ def code_profile(
 
 
 def after_index(cohort: DataFrame, events: DataFrame, *, person: str, date: str, by: Sequence[str] = ()) -> DataFrame:
-    """Events on or after the index date, as counts by subject, day and the ``by`` columns.
+    """Number of events on or after the index date, by subject and the ``by`` columns.
 
-    Folding to days ahead of the join bounds what one heavy person brings to a task; the
-    ``n`` column keeps the counts whole.
+    A cohort known to be small meets the events in their own task. Otherwise events are counted
+    by day ahead of the join, which bounds what one heavy person brings to a task.
     """
-    daily = events.groupBy(F.col(person).alias(SUBJECT), F.col(date).alias("_day"), *by).agg(F.count("*").alias("n"))
-    return cohort.select(SUBJECT, INDEX).join(daily, SUBJECT).filter(F.col("_day") >= F.col(INDEX))
+    named = events.select(F.col(person).alias(SUBJECT), F.col(date).alias("_day"), *by)
+    spine = known_small(cohort)
+    if spine is None:
+        named = named.groupBy(SUBJECT, "_day", *by).agg(F.count("*").alias("_n"))
+        spine = subject_dates(cohort)
+    else:
+        named = named.withColumn("_n", F.lit(1))
+    late = named.join(spine, SUBJECT).filter(F.col("_day") >= F.col(INDEX))
+    return late.groupBy(SUBJECT, *by).agg(F.sum("_n").alias("n"))
 
 
 def utilisation_by_specialty(
@@ -82,15 +88,15 @@ def utilisation_by_specialty(
 
 def services_per_person(cohort: DataFrame, services: DataFrame) -> DataFrame:
     """Number of services on or after the index date, for subjects that have any."""
-    seen = after_index(cohort, services, person="person_id", date="procedure_date")
-    return seen.groupBy(SUBJECT).agg(F.sum("n").alias("n"))
+    return after_index(cohort, services, person="person_id", date="procedure_date")
 
 
 def service_status(
     cohort: DataFrame, services: DataFrame, flag: str, labels: tuple[str, str] = ("not_null", "null")
 ) -> DataFrame:
     """Each subject and flag with a label for any or no service on or after the index date."""
-    last = services.groupBy(F.col("person_id").alias(SUBJECT)).agg(F.max("procedure_date").alias("_last"))
+    own = of_subjects(services.select("person_id", "procedure_date"), cohort, "person_id")
+    last = own.groupBy(F.col("person_id").alias(SUBJECT)).agg(F.max("procedure_date").alias("_last"))
     joined = cohort.select(SUBJECT, INDEX, flag).join(last, SUBJECT, "left")
     some = F.max(F.when(F.col("_last") >= F.col(INDEX), 1).otherwise(0)) == 1
     return joined.groupBy(SUBJECT, flag).agg(F.when(some, labels[0]).otherwise(labels[1]).alias("person_status"))
@@ -131,7 +137,7 @@ def discharge_counts(
     picked = events.select(key, encounter).join(cohort.select(key), key)
     counts = group_counts(picked.join(visits.select(encounter, code), encounter), code)
     names = concept.select(F.col("concept_id").alias(code), "concept_name")
-    named = broadcast_if_small(counts).join(names, code)
+    named = counts.join(names, code)
     return by_count(named.withColumn("concept_name", relabel("concept_name", *relabels)), code)
 
 

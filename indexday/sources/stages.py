@@ -9,13 +9,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def save_stage(df: DataFrame, target: str, mode: str = "errorifexists") -> DataFrame:
+def save_stage(
+    df: DataFrame, target: str, mode: str = "errorifexists", bucket: tuple[int, str] | None = None
+) -> DataFrame:
     """Write a stage and return it read back.
 
     ``target`` is a path if it holds a slash, else a catalog table name. An existing stage is
-    an error unless ``mode`` says otherwise.
+    an error unless ``mode`` says otherwise. A table may be bucketed as (number, column): event
+    tables bucketed by person spare every later step its exchange by person.
     """
     writer = df.write.mode(mode).format("parquet")
+    if bucket is not None:
+        writer = writer.bucketBy(*bucket).sortBy(bucket[1])
     if "/" in target:
         writer.save(target)
     else:

@@ -22,7 +22,7 @@ AGE_LEVELS = ("18-29", "30-39", "40-49", "50-59", "60-69", "70-79", "80+")
 
 
 def _rounded(df, *columns: str):
-    return df.withColumns({c: F.round(c, 6) for c in columns})
+    return df.withColumns({c: F.round(c, 9) for c in columns})
 
 
 # Model frame
@@ -78,14 +78,14 @@ def _(q: Context):
 def _table_sql(stratum: str, source: str) -> str:
     cats = " union all ".join(
         f"""select {stratum}, '{c}' as variable, cast({c} as varchar) as level, count(*) as n,
-                   round(100.0 * count(*) / sum(count(*)) over (partition by {stratum}), 6)::double as pct,
+                   round(100.0 * count(*) / sum(count(*)) over (partition by {stratum}), 9)::double as pct,
                    null::double as mean, null::double as sd, null::double as min, null::double as max,
                    null::bigint as missing, null::double as median, '{LABELS.get(c, c)}' as label
             from {source} group by {stratum}, {c}""".replace("Parkinson's", "Parkinson''s")
         for c in CATEGORICAL
     )
     conts = " union all ".join(
-        f"""select {stratum}, '{c}', null, count({c}), null, round(avg({c}), 6), round(stddev_samp({c}), 6),
+        f"""select {stratum}, '{c}', null, count({c}), null, round(avg({c}), 9), round(stddev_samp({c}), 9),
                    min({c})::double, max({c})::double, count(*) - count({c}), median({c})::double, '{LABELS.get(c, c)}'
             from {source} group by {stratum}"""
         for c in CONTINUOUS
@@ -213,7 +213,7 @@ _CHI = f"""
            round(sum(power(abs(n - row_n * col_n / total)
                            - case when levels = 2 and outcomes = 2
                                   then least(0.5, abs(n - row_n * col_n / total)) else 0 end, 2)
-                     / (row_n * col_n / total)), 6) as statistic,
+                     / (row_n * col_n / total)), 9) as statistic,
            cast(any_value((levels - 1) * (outcomes - 1)) as int) as df
     from grid group by predictor"""
 

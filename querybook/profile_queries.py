@@ -181,7 +181,7 @@ def _(q: Context):
            group by r.specialty_source_value order by n desc, r.specialty_source_value limit 20) top""",
 )
 def _(q: Context):
-    return pr.utilisation_by_specialty(q.cohort, q.t.visit_occurrence, q.t.provider)
+    return pr.utilisation_by_specialty(q.staged_cohort, q.t.visit_occurrence, q.t.provider)
 
 
 _SPLIT = """
@@ -200,7 +200,7 @@ _SPLIT = """
 
 @query("c17_service_split", "C17 J12 A7 A8 P15 X5", _SPLIT)
 def _(q: Context):
-    return pr.service_split(pr.service_status(q.cohort, q.services, "has_b"), "has_b")
+    return pr.service_split(pr.service_status(q.staged_cohort, q.services, "has_b"), "has_b")
 
 
 @query(
@@ -213,13 +213,13 @@ def _(q: Context):
     ),
 )
 def _(q: Context):
-    split = pr.service_split(pr.service_status(q.cohort, q.services, "has_b"), "has_b")
+    split = pr.service_split(pr.service_status(q.staged_cohort, q.services, "has_b"), "has_b")
     return pr.service_split_long(split, "has_b", SPLIT_LABELS)
 
 
 @query("c18_service_counts", "C18 J8 L1", "select subject_id, n from service_counts")
 def _(q: Context):
-    return pr.by_count(pr.services_per_person(q.cohort, q.services), "subject_id")
+    return pr.by_count(pr.services_per_person(q.staged_cohort, q.services), "subject_id")
 
 
 @query(
@@ -233,7 +233,7 @@ def _(q: Context):
        from service_counts s, ends e group by 1, 2""",
 )
 def _(q: Context):
-    return histogram(pr.services_per_person(q.cohort, q.services), "n", 5)
+    return histogram(pr.services_per_person(q.staged_cohort, q.services), "n", 5)
 
 
 @query(
@@ -248,7 +248,7 @@ def _(q: Context):
        group by v.discharge_to_concept_id, k.concept_name""",
 )
 def _(q: Context):
-    return pr.discharge_counts(q.cohort, q.t.condition_occurrence, q.t.visit_occurrence, q.t.concept, RELABEL_HOME)
+    return pr.discharge_counts(q.staged_cohort, q.t.condition_occurrence, q.t.visit_occurrence, q.t.concept, RELABEL_HOME)
 
 
 # One person's records

@@ -49,10 +49,10 @@ def of_subjects(events: DataFrame, cohort: DataFrame, person: str) -> DataFrame:
     Only for use ahead of a join with the cohort: it saves the aggregate between from
     shuffling persons nobody asked for.
     """
-    spine = known_small(cohort)
-    if spine is None:
+    subjects = cohort.select(F.col(SUBJECT).alias(person))
+    if not is_small(subjects, measure=False):
         return events
-    return events.join(spine.select(F.col(SUBJECT).alias(person)), person, "left_semi")
+    return events.join(F.broadcast(subjects), person, "left_semi")
 
 
 def condition_flags(

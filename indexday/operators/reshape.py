@@ -56,6 +56,12 @@ def _membership(df: DataFrame, key: str, flags: Sequence[str]) -> DataFrame:
     return df.groupBy(key).agg(*[F.coalesce(F.max(f), F.lit(0)).alias(f) for f in flags])
 
 
+def set_sizes(df: DataFrame, flags: Sequence[str]) -> DataFrame:
+    """Number of rows in each set; an id with several rows counts as often as it has rows."""
+    wide = df.agg(*[F.count_if(F.col(f) == 1).alias(f) for f in flags])
+    return wide.unpivot([], wide.columns, "sets", "n")
+
+
 def overlap_counts(df: DataFrame, key: str, flags: Sequence[str]) -> DataFrame:
     """Number of distinct ids in each set and in each intersection of two or more sets."""
     sets = [c for k in range(1, len(flags) + 1) for c in combinations(flags, k)]

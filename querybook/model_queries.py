@@ -169,6 +169,18 @@ def _(q: Context):
     return rs.overlap_counts(_flagged_model(q), "subject_id", COHORT.flags)
 
 
+@query(
+    "u3_set_row_sizes",
+    "U3 D6",
+    " union all ".join(
+        f"select '{f}' as sets, count(*) as n from model_frame m join cohort c on c.subject_id = m.subject_id where {f} = 1"
+        for f in COHORT.flags
+    ),
+)
+def _(q: Context):
+    return rs.set_sizes(_flagged_model(q), COHORT.flags)
+
+
 @query(
     "u4_overlap_regions",
     "U4 D6",

@@ -39,6 +39,7 @@ def test_overlaps(frame):
     # Ids repeat, one id is in all sets, c has nobody on its own.
     df = frame([(1, 1, 0, 0), (1, 1, 0, 0), (2, 1, 1, 1), (3, 0, 1, None), (4, 0, 0, 0)], "id int, a int, b int, c int")
     flags = ["a", "b", "c"]
+    assert dict(rows(rs.set_sizes(df, flags))) == {"a": 3, "b": 2, "c": 1}
     counts = dict(rows(rs.overlap_counts(df, "id", flags)))
     assert counts == {"a": 2, "b": 2, "c": 1, "a & b": 1, "a & c": 1, "b & c": 1, "a & b & c": 1}
     regions = dict(rows(rs.overlap_regions(df, "id", flags)))

@@ -94,13 +94,13 @@ class Design:
         return out
 
     def frame(self, df: DataFrame) -> DataFrame:
-        """Weighted patterns with one column per term."""
+        """Weighted patterns with one column per term added."""
         out = covariate_patterns(df, self.outcome, self.predictors)
         for c, levels in self.dummy.items():
             out = dummies(out, c, levels)
         for c, levels in self.summed.items():
             out = sum_contrasts(out, c, levels)
-        return out.select(F.col(self.outcome).cast("double").alias("label"), F.col("weight").cast("double"), *self.terms)
+        return out.withColumns({"label": F.col(self.outcome).cast("double"), "weight": F.col("weight").cast("double")})
 
 
 def design(
@@ -146,6 +146,8 @@ def independent_terms(rows: DataFrame, terms: Sequence[str], tolerance: float =
 
 def fit_terms(rows: DataFrame, terms: Sequence[str], offset: str | None = None) -> GeneralizedLinearRegressionModel:
     """Unregularised logistic fit of weighted rows."""
+    if not terms:
+        raise ValueError("no predictor varies")
     vectors = VectorAssembler(inputCols=list(terms), outputCol="features").transform(rows)
     glm = GeneralizedLinearRegression(
         family="binomial", link="logit", regParam=0.0, weightCol="weight", labelCol="label", tol=1e-8, maxIter=25
@@ -155,6 +157,19 @@ def fit_terms(rows: DataFrame, terms: Sequence[str], offset: str | None = None)
     return glm.fit(vectors)
 
 
+def fitted_outcome(df: DataFrame, design_: Design) -> DataFrame:
+    """Covariate patterns with their weight and the outcome probability a fit gives them.
+
+    The patterns stay cached for the frame that is returned.
+    """
+    rows = design_.frame(df).persist()
+    if rows.isEmpty():
+        return rows.withColumn("fitted", F.lit(None).cast("double"))
+    terms = independent_terms(rows, design_.terms)
+    vectors = VectorAssembler(inputCols=terms, outputCol="features").transform(rows)
+    return fit_terms(rows, terms).transform(vectors).withColumnRenamed("prediction", "fitted")
+
+
 @dataclass(frozen=True)
 class Coefficient:
     term: str

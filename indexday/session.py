@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+# canChangeCachedPlanOutputPartitioning lets AQE coalesce a cached frame, so the passes of a model
+# fit over a few covariate patterns do not each run a task per shuffle partition.
 # forceOptimizeSkewedJoin lets AQE split a hot join partition even where the split costs the
 # aggregate behind it one more exchange; without it a heavy person would stay in one task.
 RUNTIME_CONF = {
@@ -11,6 +13,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -9,7 +9,7 @@ from indexday.operators import events as ev
 from indexday.operators import features as ft
 from indexday.operators.concepts import expand_concepts, tag_by_map
 from indexday.operators.profile import group_counts
-from indexday.operators.reshape import append
+from indexday.operators.reshape import append, as_text
 from indexday.plans import study
 from indexday.sources import RELATIONS, run_sql
 from querybook.book import Context, query
@@ -445,9 +445,21 @@ def _(q: Context):
     return q.t.payer_plan_period.select(PERSON, "payer_concept_id", plan)
 
 
+@query(
+    "x18_categories_as_text",
+    "X18",
+    """select visit_occurrence_id, cast(visit_concept_id as varchar) as visit_concept_id,
+              cast(discharge_to_concept_id as varchar) as discharge_to_concept_id
+       from visit_occurrence""",
+)
+def _(q: Context):
+    codes = ["visit_concept_id", "discharge_to_concept_id"]
+    return as_text(q.t.visit_occurrence.select("visit_occurrence_id", *codes), codes)
+
+
 @query(
     "x17_clean_labels",
-    "X17 X18 X19",
+    "X17 X19",
     """select provider_id, lower(replace(specialty_source_value, 'SPEC_', '')) as specialty,
               cast(provider_id as varchar) as provider_text, 'provider ' || cast(provider_id as varchar) as provider_name
        from provider""",

@@ -291,6 +291,51 @@ def _(q: Context):
         frame.unpersist()
 
 
+def _totals_sql(source: str, extra: str = "") -> str:
+    complete = "severity is not null and gender is not null and age_group is not null and cci is not null"
+    return " union all ".join(
+        f"""select {extra}'{p}' as predictor, cast({p} as varchar) as level, round(sum(treatment_status), 4)::double as treated
+            from {source} where {complete} group by {p}"""
+        for p in PREDICTORS
+    )
+
+
+def _fitted_totals(df):
+    """Fitted number of treated rows by predictor and level.
+
+    At the maximum of the likelihood it equals the observed number for every level a model has
+    an own term for, which is how plain counting can check a fit.
+    """
+    fitted = st.fitted_outcome(df, _design(df))
+    text = fitted.select("weight", "fitted", *[F.col(p).cast("string").alias(p) for p in PREDICTORS])
+    cells = text.unpivot(["weight", "fitted"], list(PREDICTORS), "predictor", "level")
+    return cells.groupBy("predictor", "level").agg(F.round(F.sum(F.col("weight") * F.col("fitted")), 4).alias("treated"))
+
+
+@query("m1_fitted_totals", "M1 M7 M8 M9", _totals_sql("model_frame"))
+def _(q: Context):
+    return _fitted_totals(q.model_frame)
+
+
+_JOINED = "(select m.*, has_a, has_b, has_c from model_frame m join cohort c on c.subject_id = m.subject_id) j"
+
+
+@query(
+    "m2_fitted_totals_by_group",
+    "M2 P19",
+    " union all ".join(
+        _totals_sql(f"(select * from {_JOINED} where {f} = 1) g", f"'{f}' as flag, ") for f in COHORT.flags
+    ),
+)
+def _(q: Context):
+    flagged = _flagged_model(q)
+    parts = []
+    for f in COHORT.flags:
+        part = flagged.filter(F.col(f) == 1)
+        parts.append(_fitted_totals(part).select(F.lit(f).alias("flag"), "*"))
+    return rs.append(*parts)
+
+
 @query("m2_logistic_by_group", "M2 M3 P19")
 def _(q: Context):
     flagged = _flagged_model(q).persist()

@@ -61,6 +61,23 @@ def test_model_matches_newton_steps(model_rows, study):
         assert c.ci_upper - c.estimate == pytest.approx(1.959964 * c.std_error, rel=1e-6)
 
 
+def test_fitted_outcome_reproduces_the_margins(model_rows, study):
+    d = st.design(model_rows, "y", ["flag", "score"], ["sex"], ["band"])
+    fitted = [(r.band, r.sex, r.weight * r.fitted) for r in st.fitted_outcome(model_rows, d).collect()]
+    y, _, _, sex, band = study
+    for level in ("18-29", "30-39", "40-49"):
+        assert sum(v for b, _, v in fitted if b == level) == pytest.approx(y[band == level].sum(), abs=1e-5)
+    assert sum(v for _, s, v in fitted if s == "M") == pytest.approx(y[sex == "M"].sum(), abs=1e-5)
+
+
+def test_models_without_rows_or_variation(frame):
+    none = frame([], "y int, x int")
+    assert st.fitted_outcome(none, st.design(none, "y", ["x"])).count() == 0
+    flat = frame([(0, 1), (1, 1)], "y int, x int")
+    with pytest.raises(ValueError, match="no predictor varies"):
+        st.fit_logistic(flat, st.design(flat, "y", ["x"]))
+
+
 def test_profile_limits_lie_where_the_deviance_has_risen(model_rows, study):
     d = st.design(model_rows, "y", ["flag", "score"], ["sex"], ["band"])
     table = st.fit_logistic(model_rows, d, interval="profile", profiled=["flag"])

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from indexday.operators.sizing import BROADCAST_BYTES, is_small
+
 # Rank error of percentile_approx is at most rows / ACCURACY.
 ACCURACY = 10_000
 
@@ -29,6 +31,10 @@ def _snap(df: DataFrame, by: Sequence[str], value: str, points: Sequence[float],
     sketch = F.percentile_approx(value, F.array(*[F.lit(e) for e in edges]), ACCURACY)
     ends = df.groupBy(*by).agg(sketch.alias("_edges"), F.count(value).alias("_n"))
     if by:
+        # Few groups, as strata are, spare the rows a shuffle by group. A row of ends takes some
+        # ten times the bytes of its keys.
+        if is_small(df.select(*by).distinct(), BROADCAST_BYTES // 10):
+            ends = F.broadcast(ends)
         on = [F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}")) for k in by]
         both = df.alias("_l").join(ends.alias("_r"), on).select("_l.*", "_edges", "_n")
     else:

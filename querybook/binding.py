@@ -7,6 +7,7 @@ relations. ``{name}`` is a test table.
 from __future__ import annotations
 
 import re
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -116,9 +117,18 @@ def _read(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     return run_sql(spark, text, {t: _table(spark, f"{sf_dir}/{t}.parquet") for t in _PLACE.findall(text)})
 
 
+_BOUND: WeakKeyDictionary[SparkSession, dict[str, Tables]] = WeakKeyDictionary()
+
+
 def bind(spark: SparkSession, sf_dir: str) -> Tables:
-    """The relations over one folder of test tables."""
-    return Tables(lambda name: _read(spark, sf_dir, VIEWS[name]))
+    """The relations over one folder of test tables.
+
+    The plans are kept per session, since parsing them costs more than some queries; no data is.
+    """
+    bound = _BOUND.setdefault(spark, {})
+    if sf_dir not in bound:
+        bound[sf_dir] = Tables(lambda name: _read(spark, sf_dir, VIEWS[name]))
+    return bound[sf_dir]
 
 
 def score_weights(spark: SparkSession, sf_dir: str) -> DataFrame:

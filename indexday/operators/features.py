@@ -55,6 +55,30 @@ def of_subjects(events: DataFrame, cohort: DataFrame, person: str) -> DataFrame:
     return events.join(F.broadcast(subjects), person, "left_semi")
 
 
+def events_in_window(
+    cohort: DataFrame,
+    events: DataFrame,
+    *,
+    person: str,
+    date: str,
+    before: int | None = 0,
+    after: int | None = None,
+) -> DataFrame:
+    """Events of the cohort's subjects whose date lies in a window around their index date.
+
+    ``None`` leaves a side open. A cohort known to be small meets the events in their own task;
+    otherwise both shuffle by person and AQE splits the partition of a heavy one.
+    """
+    spine = known_small(cohort)
+    if spine is None:
+        spine = subject_dates(cohort)
+    day, index = F.col(date), F.col(INDEX)
+    near = events.withColumnRenamed(person, SUBJECT).join(spine, SUBJECT)
+    if before is not None:
+        near = near.filter(day >= F.date_sub(index, before))
+    return near if after is None else near.filter(day <= F.date_add(index, after))
+
+
 def condition_flags(
     cohort: DataFrame,
     events: DataFrame,

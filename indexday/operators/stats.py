@@ -260,6 +260,27 @@ def fit_logistic(
         rows.unpersist()
 
 
+@dataclass(frozen=True)
+class FitSummary:
+    n: int
+    terms: int
+    null_deviance: float
+    deviance: float
+    aic: float
+
+
+def fit_summary(df: DataFrame, design_: Design) -> FitSummary:
+    """Rows used, terms estimated (the intercept included), deviances and AIC of a fit."""
+    rows = design_.frame(df).persist()
+    try:
+        terms = independent_terms(rows, design_.terms)
+        result = fit_terms(rows, terms).summary
+        n = rows.agg(F.sum("weight")).first()[0]
+        return FitSummary(int(n), len(terms) + 1, result.nullDeviance, result.deviance, result.aic)
+    finally:
+        rows.unpersist()
+
+
 def coefficient_frame(spark, table: Sequence[Coefficient]) -> DataFrame:
     """The coefficient table with odds ratios; one row per model term."""
     return spark.createDataFrame([astuple(c) for c in table], COEFFICIENT_SCHEMA).withColumn("odds_ratio", F.exp("estimate"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,21 +53,33 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class StageStore:
-    """Stages of one run below the shared folder.
+    """Stages of one run, below the shared folder or as tables of a schema.
 
     A written stage ends the lineage, so a lost executor costs at most the stage at work, and
-    its size is known to the planner, which then decides on broadcasts from facts.
+    its size is known to the planner, which then decides on broadcasts from facts. ``names``
+    gives stages other names than the study's.
     """
 
-    def __init__(self, spark: SparkSession, root: str | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str | None = None,
+        schema: str | None = None,
+        names: Mapping[str, str] | None = None,
+    ):
         self.spark = spark
-        self.root = root or os.path.join(shared_folder(spark), f"stages-{uuid.uuid4().hex}")
+        self.schema = schema
+        self.names = dict(names or {})
+        self.root = root
+        if root is None and schema is None:
+            self.root = os.path.join(shared_folder(spark), f"stages-{uuid.uuid4().hex}")
 
-    def path(self, name: str) -> str:
-        return os.path.join(self.root, name)
+    def target(self, name: str) -> str:
+        name = self.names.get(name, name)
+        return f"{self.schema}.{name}" if self.schema else os.path.join(self.root, name)
 
     def put(self, name: str, df: DataFrame) -> DataFrame:
-        return save_stage(df, self.path(name))
+        return save_stage(df, self.target(name))
 
     def get(self, name: str) -> DataFrame:
-        return read_stage(self.spark, self.path(name))
+        return read_stage(self.spark, self.target(name))

@@ -53,6 +53,10 @@ class Context:
     def target(self) -> DataFrame:
         return study.target_population(self.cohort, COHORT.flags)
 
+    @cached_property
+    def staged_target(self) -> DataFrame:
+        return study.target_population(self.staged_cohort, COHORT.flags)
+
     @cached_property
     def features(self) -> DataFrame:
         return study.build_features(STUDY, self.t, self.cohort)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from indexday.functions import any_flag, categorize, code_matches, days_between, in_interval, in_window, strip_prefix
+from indexday.functions import any_flag, categorize, code_matches, days_between, in_interval, strip_prefix
 from indexday.operators import events as ev
 from indexday.operators import features as ft
 from indexday.operators.concepts import expand_concepts, tag_by_map
@@ -131,10 +131,8 @@ _GROUPED = " or ".join(code_test(g, "k.concept_code") for g in MODEL.code_groups
 def _events_near(q: Context, before: int, after: int):
     events = q.t.condition_occurrence.select(PERSON, EVENT, DATE, "condition_source_concept_id")
     coded = tag_by_map(events, "condition_source_concept_id", q.code_map.select("concept_id"))
-    spine = q.target.select(F.col("subject_id").alias(PERSON), "cohort_start_date")
-    near = coded.join(spine, PERSON).filter(in_window(DATE, "cohort_start_date", before, after))
-    offset = days_between("cohort_start_date", DATE).alias("day_offset")
-    return near.select(F.col(PERSON).alias("subject_id"), EVENT, offset)
+    near = ft.events_in_window(q.staged_target, coded, person=PERSON, date=DATE, before=before, after=after)
+    return near.select("subject_id", EVENT, days_between("cohort_start_date", DATE).alias("day_offset"))
 
 
 def _near_sql(before: int, after: int) -> str:
@@ -166,9 +164,9 @@ def _(q: Context):
 )
 def _(q: Context):
     listed = q.t.procedure_occurrence.filter(F.col("procedure_source_value").isin(*MODEL.procedure_codes))
-    listed = listed.select(F.col(PERSON).alias("subject_id"), "procedure_date", "procedure_source_value")
-    spine = q.target.select("subject_id", "cohort_start_date")
-    return listed.join(spine, "subject_id").filter("procedure_date >= cohort_start_date").drop("cohort_start_date")
+    listed = listed.select(PERSON, "procedure_date", "procedure_source_value")
+    late = ft.events_in_window(q.staged_target, listed, person=PERSON, date="procedure_date")
+    return late.drop("cohort_start_date")
 
 
 @query(

@@ -112,6 +112,19 @@ def test_weight_map(spark):
     assert rows(ft.weight_map(spark, {5: ("g", 2)})) == [(5, "g", 2)]
 
 
+def test_events_in_window(cohort, frame):
+    days = (-181, -180, -1, 0, 30, 31)
+    events = frame([(1, day(d), d) for d in days] + [(9, day(0), 0), (2, None, 7)], "person_id long, d date, off int")
+
+    def offsets(before, after):
+        near = ft.events_in_window(cohort(), events, person="person_id", date="d", before=before, after=after)
+        return sorted(r.off for r in near.collect())
+
+    assert offsets(180, 30) == [-180, -1, 0, 30]
+    assert offsets(0, None) == [0, 30, 31]
+    assert offsets(None, -1) == [-181, -180, -1]
+
+
 def test_events_after_index(cohort, frame):
     events = frame([(1, day(0), 7), (1, day(0), 7), (1, day(2), 8), (2, day(-1), 7), (9, day(5), 7)],
                    "person_id long, d date, provider_id long")

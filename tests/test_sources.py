@@ -65,6 +65,15 @@ def test_stage_store_uses_the_named_folder(spark, frame):
     assert rows(store.get("s")) == [(7,)]
 
 
+def test_stages_as_named_tables(spark, frame):
+    spark.sql("create database if not exists study")
+    store = StageStore(spark, schema="study", names={"cohort": "my_cohort"})
+    store.put("cohort", frame([(3,)], "a int"))
+    assert rows(spark.table("study.my_cohort")) == rows(store.get("cohort")) == [(3,)]
+    with pytest.raises(Exception, match="(?i)exists"):
+        store.put("cohort", frame([(4,)], "a int"))
+
+
 def test_bucketed_events_need_no_exchange(spark, frame):
     df = frame([(1, 2), (1, 3), (2, 4)], "person_id long, v int")
     stored = save_stage(df, "events_by_person", mode="overwrite", bucket=(4, "person_id"))

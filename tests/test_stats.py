@@ -70,6 +70,16 @@ def test_fitted_outcome_reproduces_the_margins(model_rows, study):
     assert sum(v for _, s, v in fitted if s == "M") == pytest.approx(y[sex == "M"].sum(), abs=1e-5)
 
 
+def test_fit_summary_is_that_of_single_rows(model_rows, study):
+    out = st.fit_summary(model_rows, st.design(model_rows, "y", ["flag", "score"], ["sex"], ["band"]))
+    x, y = design_matrix(study)
+    share = y.mean()
+    assert (out.n, out.terms) == (600, 6)
+    assert out.deviance == pytest.approx(irls(x, y)[2], abs=1e-6)
+    assert out.null_deviance == pytest.approx(-2 * 600 * (share * np.log(share) + (1 - share) * np.log(1 - share)))
+    assert out.aic == pytest.approx(out.deviance + 2 * 6)
+
+
 def test_models_without_rows_or_variation(frame):
     none = frame([], "y int, x int")
     assert st.fitted_outcome(none, st.design(none, "y", ["x"])).count() == 0

@@ -83,3 +83,14 @@ class StageStore:
 
     def get(self, name: str) -> DataFrame:
         return read_stage(self.spark, self.target(name))
+
+    def drop(self, *names: str) -> None:
+        """Delete stages that no plan reads any more."""
+        for name in names:
+            target = self.target(name)
+            if "/" in target:
+                path = self.spark._jvm.org.apache.hadoop.fs.Path(target)
+                files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+                files.delete(path, True)
+            else:
+                self.spark.sql(f"DROP TABLE IF EXISTS {target}")

@@ -100,3 +100,11 @@ def test_sql_with_frames_values_and_table_names(spark, frame):
     assert rows(out) == [(2,)]
     save_stage(people, "sql_people", mode="overwrite")
     assert rows(run_sql(spark, "select count(*) from IDENTIFIER(:t)", args={"t": "sql_people"})) == [(2,)]
+
+
+def test_stage_is_dropped(spark, frame, tmp_path):
+    store = StageStore(spark, root=str(tmp_path))
+    store.put("one", frame([(1,)], "x int"))
+    store.put("two", frame([(2,)], "x int"))
+    store.drop("one", "never_written")
+    assert not (tmp_path / "one").exists() and rows(store.get("two")) == [(2,)]

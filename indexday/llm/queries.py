@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
+from indexday.llm import bpe, huffman
 from indexday.llm.book import query
 from indexday.llm.common import table
 from indexday.llm.langid import identify_with_folds
@@ -33,3 +35,17 @@ def op2_top_k(spark, sf_dir):
 def op9_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return identify_with_folds(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op3_huffman_ids")
+def op3_huffman_ids(spark, sf_dir):
+    encode = huffman.tokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    files = huffman.write_ids(table(spark, sf_dir, "documents"), encode, end_id=2)
+    return files.read().select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op7_byte_bpe")
+def op7_byte_bpe(spark, sf_dir):
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    ids = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return bpe.digests(bpe.decode(ids, ranks))

@@ -25,7 +25,8 @@ SLICE_WORDS = 200_000
 # White space as Unicode defines it, which is what \s means to the library's pattern. Every match of the
 # pattern that reaches from a character into white space starts there, so a word is taken with the white
 # space before it: no match crosses such a boundary, and none looks past the end of the word.
-_WHITE = r"\t-\r \x85\xa0  -     　"
+_OTHER_WHITE = (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+_WHITE = r"\t-\r " + "".join(map(chr, _OTHER_WHITE))
 WORDS = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
 
 

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from indexday.llm import bpe, huffman
 from indexday.llm.book import query
 from indexday.llm.common import table
+from indexday.llm.hilbert import shard
 from indexday.llm.langid import identify_with_folds
+from indexday.llm.mixture import mix
 from indexday.llm.topk import top_k
 
 
@@ -49,3 +51,29 @@ def op7_byte_bpe(spark, sf_dir):
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     ids = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
     return bpe.digests(bpe.decode(ids, ranks))
+
+
+SHARDS = 24
+
+
+@query("op4_hilbert_shards")
+def op4_hilbert_shards(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    body = F.coalesce("text", F.lit(""))
+    ties = [F.crc32(body), F.col("doc_id")]
+    placed = shard(docs, ["lang", "source", "n_chars"], ties, SHARDS)
+    return placed.select(
+        "doc_id",
+        (F.octet_length(body) + 8).cast("long").alias("size"),
+        F.crc32(body).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query("op5_source_mixture")
+def op5_source_mixture(spark, sf_dir):
+    mixture = mix(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return mixture.taken().select("doc_id", "size", "source_size", "target", "taken")

@@ -74,7 +74,7 @@ class Profiles:
         self.dimensions, self.seed = dimensions, seed
         self._letter: dict[int, np.ndarray] = {}
         self._row: dict[int, int] = {}
-        self._vectors = np.zeros((self.KEPT, dimensions), np.float32)
+        self._vectors: np.ndarray | None = None  # made in the task, not sent to it
 
     def letter(self, code: int) -> np.ndarray:
         if code not in self._letter:
@@ -95,6 +95,8 @@ class Profiles:
         out = np.zeros((n, self.dimensions), np.float32)
         if not len(grams):
             return out
+        if self._vectors is None:
+            self._vectors = np.empty((self.KEPT, self.dimensions), np.float32)
         names, place = _numbered(grams)
         if len(names) > self.KEPT:
             return self._in_pieces(owner, names, place, out)

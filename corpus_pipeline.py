@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from indexday.llm.common import prepared, table
 from indexday.llm.langid import UNKNOWN, identify_with_folds
 
-MIN_SCORE = 0.1
+MIN_SCORE = 0.0
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised: those without letters, or far from every profile, go."""
+    """Documents whose language is recognised: those without letters, or unlike every profile, go."""
     named = identify_with_folds(docs)
-    return named.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_SCORE)).select(*docs.columns)
+    return named.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") > MIN_SCORE)).select(*docs.columns)
 
 
 STAGES = [("language", language)]

@@ -11,6 +11,7 @@ from indexday.llm.common import table
 from indexday.llm.hilbert import shard
 from indexday.llm.langid import identify_with_folds
 from indexday.llm.mixture import mix
+from indexday.llm.templates import extract
 from indexday.llm.topk import top_k
 
 
@@ -77,3 +78,8 @@ def op4_hilbert_shards(spark, sf_dir):
 def op5_source_mixture(spark, sf_dir):
     mixture = mix(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return mixture.taken().select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op1_main_text")
+def op1_main_text(spark, sf_dir):
+    return extract(table(spark, sf_dir, "pages"))

@@ -11,6 +11,7 @@ from indexday.llm.common import table
 from indexday.llm.hilbert import shard
 from indexday.llm.langid import identify_with_folds
 from indexday.llm.mixture import mix
+from indexday.llm.ngram_join import near_duplicates
 from indexday.llm.templates import extract
 from indexday.llm.topk import top_k
 
@@ -83,3 +84,8 @@ def op5_source_mixture(spark, sf_dir):
 @query("op1_main_text")
 def op1_main_text(spark, sf_dir):
     return extract(table(spark, sf_dir, "pages"))
+
+
+@query("op10_ngram_jaccard")
+def op10_ngram_jaccard(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from indexday.llm import bpe, huffman
+from indexday.llm import bpe, huffman, nndescent
 from indexday.llm.book import query
 from indexday.llm.common import table
 from indexday.llm.hilbert import shard
@@ -89,3 +89,8 @@ def op1_main_text(spark, sf_dir):
 @query("op10_ngram_jaccard")
 def op10_ngram_jaccard(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op8_embedding_duplicates")
+def op8_embedding_duplicates(spark, sf_dir):
+    return nndescent.near_duplicates(table(spark, sf_dir, "embeddings")).links

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from indexday.llm import bpe
 from indexday.llm.common import prepared, table
 from indexday.llm.langid import UNKNOWN, identify_with_folds
+from indexday.llm.mixture import mix
+from indexday.llm.ngram_join import near_duplicates
+from indexday.operators.sizing import broadcast_if_small
 
 MIN_SCORE = 0.0
 
@@ -17,7 +22,36 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return named.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") > MIN_SCORE)).select(*docs.columns)
 
 
-STAGES = [("language", language)]
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one of least id; of repeated rows one.
+
+    Only the ids that go are looked for in the documents, whose texts stay where they are if these are few.
+    """
+    store = prepared(spark)
+    found = store.put("found", near_duplicates(docs).select("doc_id", "component_id"))
+    gone = store.put("gone", found.filter("doc_id <> component_id").select("doc_id").distinct())
+    left = docs.join(broadcast_if_small(gone), "doc_id", "left_anti")
+    again = found.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 AND doc_id IS NOT NULL").select("doc_id")
+    again = broadcast_if_small(store.put("again", again))
+    once = left.join(again, "doc_id", "left_anti")
+    repeated = left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return once.unionByName(repeated).select(*docs.columns)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The sources at their target weights: a row for each document and epoch, with the words taken."""
+    taken = mix(docs).documents()
+    return taken.withColumn("n_chars", F.when(F.col("whole"), F.col("n_chars")).otherwise(F.char_length("text"))).select(*docs.columns)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids) of every row."""
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    ids = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
+STAGES = [("language", language), ("distinct", distinct), ("mixture", mixture), ("token_ids", token_ids)]
 
 # Language profiles, similarity search and token ids are beyond SQL; tests hold them against brute force.
 ORACLE_SQL = None

@@ -89,7 +89,7 @@ class Mixture:
     def documents(self, text_col: str = "text") -> DataFrame:
         """The mixture as documents: for each row and epoch its taken words, the whole text if all are taken.
 
-        Words of partly taken rows stand between single spaces.
+        Words of partly taken rows stand between single spaces; ``whole`` tells them from the others.
         """
         spans = self.pieces().groupBy("row_at", "epoch").agg(
             F.sort_array(F.collect_list(F.struct("from_word", "to_word"))).alias("spans"),
@@ -100,8 +100,8 @@ class Mixture:
             " ", F.flatten(F.transform("spans", lambda s: F.slice(words, s["from_word"] + 1, s["to_word"] - s["from_word"])))
         )
         joined = self.rows.join(spans, "row_at")
-        text = F.when(F.col("in_copy") == F.col("size"), F.col(text_col)).otherwise(cut)
-        return joined.withColumn(text_col, text).drop("spans", "in_copy")
+        joined = joined.withColumn("whole", F.col("in_copy") == F.col("size"))
+        return joined.withColumn(text_col, F.when(F.col("whole"), F.col(text_col)).otherwise(cut)).drop("spans", "in_copy")
 
 
 def mix(
@@ -126,7 +126,7 @@ def mix(
     """
     spark = docs.sparkSession
     store = prepared(spark)
-    own = {"row_at", "size", "source_no", "start", "source_size", "target", "source", "taken"}
+    own = {"row_at", "size", "source_no", "start", "source_size", "target", "source", "taken", "epoch", "whole"}
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in own]
     order = ["doc_id"] if order is None else order
     sized = docs.select(*keep, F.col(source_col).alias("source"), (n_words("text") if size is None else size).alias("size"))

@@ -14,6 +14,7 @@ from indexday.llm.mixture import mix
 from indexday.llm.ngram_join import near_duplicates
 from indexday.llm.templates import extract
 from indexday.llm.topk import top_k
+from indexday.llm.warc import capture_log, resolve
 
 
 @query(
@@ -94,3 +95,51 @@ def op10_ngram_jaccard(spark, sf_dir):
 @query("op8_embedding_duplicates")
 def op8_embedding_duplicates(spark, sf_dir):
     return nndescent.near_duplicates(table(spark, sf_dir, "embeddings")).links
+
+
+@query(
+    "op6_revisits",
+    sql=r"""
+    WITH parts AS (
+        SELECT page_id, html, md5(html) AS sum,
+               regexp_replace(regexp_replace(url, '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?@]*@)?', '') AS rest
+        FROM pages
+    ), named AS (
+        SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(rest, '^([^/?]*)', 1)), '^www\.', ''), ':(80|443)$', '') AS host,
+               regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+               array_to_string(list_sort([p FOR p IN string_split(regexp_extract(rest, '\?(.*)$', 1), '&')
+                   IF p <> '' AND NOT regexp_full_match(p, '(utm_[^&=]*|ref|fbclid|gclid)(=[^&]*)?')]), '&') AS query
+        FROM parts
+    ), keyed AS (
+        SELECT *, CASE WHEN host <> '' THEN host || path || CASE WHEN query <> '' THEN '?' || query ELSE '' END END AS canonical_url
+        FROM named
+    ), matched AS (
+        SELECT r.page_id, r.canonical_url, max(f.page_id) AS source
+        FROM keyed r LEFT JOIN keyed f ON f.canonical_url = r.canonical_url AND f.page_id < r.page_id + 1000
+        GROUP BY r.page_id, r.canonical_url
+    ), checked AS (
+        SELECT m.page_id, m.canonical_url, m.source, f.html, f.sum,
+               CASE WHEN m.source IS NULL THEN 'no_response'
+                    WHEN m.page_id % 5 = 0 THEN 'changed'
+                    WHEN m.page_id % 5 = 2 THEN CASE WHEN m.source = m.page_id THEN 'resolved' ELSE 'changed' END
+                    WHEN f.sum = r.sum THEN 'resolved' ELSE 'changed' END AS outcome
+        FROM matched m JOIN keyed r ON r.page_id = m.page_id LEFT JOIN keyed f ON f.page_id = m.source
+    )
+    SELECT page_id * 2 + 1 AS record_id, canonical_url, page_id + 1000 AS captured_at, source * 2 AS refers_to, outcome,
+           CASE WHEN outcome = 'resolved' THEN sum END AS body_md5,
+           CASE WHEN outcome = 'resolved' THEN strlen(html)::VARCHAR END AS content_length,
+           CASE WHEN outcome = 'resolved' THEN 'max-age=120' END AS cache_control,
+           CASE WHEN outcome = 'resolved' THEN 'later than day ' || page_id END AS date,
+           CASE WHEN outcome = 'resolved' THEN CASE WHEN page_id % 5 = 1 THEN 'W/' ELSE '' END || '"' || sum || '"' END AS etag
+    FROM checked""",
+)
+def op6_revisits(spark, sf_dir):
+    found = resolve(capture_log(table(spark, sf_dir, "pages")))
+    return found.select(
+        "record_id", "canonical_url", "captured_at", "refers_to", "outcome",
+        F.md5(F.col("body").cast("binary")).alias("body_md5"),
+        F.col("headers")["content-length"].alias("content_length"),
+        F.col("headers")["cache-control"].alias("cache_control"),
+        F.col("headers")["date"].alias("date"),
+        F.col("headers")["etag"].alias("etag"),
+    )

@@ -100,11 +100,16 @@ def cells(df: DataFrame, dimensions: list[str], bits: int) -> list[Column]:
     ).first()
     out = []
     for i, key in enumerate(keys.values()):
-        marks = F.array(*[F.lit(float(x)) for x in sorted(set(cuts[i] or []))]).cast("array<double>")
-        out.append(F.coalesce(F.size(F.filter(marks, lambda m, key=key: m < key)), F.lit(0)))
+        out.append(_above([float(x) for x in sorted(set(cuts[i] or []))], key))
     return out
 
 
+def _above(marks: list[float], key: Column) -> Column:
+    """How many of the marks a key is above; none for null."""
+    listed = F.array(*[F.lit(x) for x in marks]).cast("array<double>")
+    return F.when(key.isNull(), 0).otherwise(F.size(F.filter(listed, lambda m: m < key)))
+
+
 def shard(df: DataFrame, dimensions: list[str], ties: list[Column], shards: int, bits: int = 6) -> DataFrame:
     """``df`` with ``curve``, ``shard`` and ``slot``: rows in curve order, cut into runs of equal count.
 

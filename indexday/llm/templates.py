@@ -109,7 +109,7 @@ def _order_and_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     """What a page shows of its group's classes.
 
     ``class``: the order of its tokens (empty if their occurrences do not take turns) and the slot of the root
-    class they lie in (empty if several). ``slot``: the characters of text in a root slot and its container.
+    class they lie in (empty if several); a slot begins at a tag of the root. ``slot``: the characters of text in a root slot and its container.
     """
     found: dict[tuple, list[int]] = {}
     known = _Known()
@@ -129,7 +129,7 @@ def _order_and_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 if i is not None:
                     seen[i].append(role)
                     slots[i].add(slot)
-                    if role in root:
+                    if role in root and piece.kind != "text":
                         slot = role
                 if piece.kind == "text" and piece is not last:
                     text[slot, piece.path, piece.cut] += len(piece.name.strip())

@@ -27,6 +27,7 @@ SLICE_WORDS = 200_000
 # space before it: no match crosses such a boundary, and none looks past the end of the word.
 _OTHER_WHITE = (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 _WHITE = r"\t-\r " + "".join(map(chr, _OTHER_WHITE))
+BARE_WORDS = f"[^{_WHITE}]+"
 WORDS = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
 
 

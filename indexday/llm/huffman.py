@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import os
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -14,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from indexday.llm.common import prepared
+from indexday.operators.sizing import broadcast_if_small
 from indexday.sources import StageStore
 
 FRAME_TOKENS = 1 << 19
@@ -122,18 +125,19 @@ def unpack(data: bytes, checkpoints: np.ndarray, n: int, table: np.ndarray, leng
     return out.ravel()[:n]
 
 
-def _frames(encode: Callable[[], Callable[[list[str]], list[list[int]]]], end_id: int):
+def _frames(encode: Callable[[], Callable[[list[str]], Iterator[bytes]]], end_id: int):
     """Tokenize sorted documents and cut them into frames of whole documents."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run, part = encode(), TaskContext.get().partitionId()
         names, sizes, ids, held, frame = [], [], [], 0, 0
+        end = np.array([end_id], "<u4").tobytes()
 
         def flush():
             columns = [
                 pa.array([part], pa.int32()), pa.array([frame], pa.int32()),
                 pa.array([names], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32())),
-                pa.array([np.concatenate(ids).astype("<u4").tobytes()], pa.binary()),
+                pa.array([b"".join(ids)], pa.binary()),
             ]
             return pa.RecordBatch.from_arrays(columns, ["part", "frame", "doc_ids", "sizes", "ids"])
 
@@ -141,9 +145,9 @@ def _frames(encode: Callable[[], Callable[[list[str]], list[list[int]]]], end_id
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for name, own in zip(batch.column("doc_id").to_pylist(), run(texts), strict=True):
                 names.append(name)
-                sizes.append(len(own) + 1)
-                ids.append(np.array([*own, end_id], np.int64))
-                held += len(own) + 1
+                sizes.append(len(own) // 4 + 1)
+                ids.append(own + end)
+                held += sizes[-1]
                 if held >= FRAME_TOKENS:
                     yield flush()
                     names, sizes, ids, held, frame = [], [], [], 0, frame + 1
@@ -190,18 +194,16 @@ def _decode(code: Code):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {c: batch.column(c)[i].as_py() for c in ("part", "frame", "doc_ids", "sizes", "bits")}
+                row = {c: batch.column(c)[i].as_py() for c in ("start", "doc_ids", "sizes", "bits")}
                 sizes = np.array(row["sizes"], np.int64)
                 offsets = batch.column("checkpoints")[i].values.to_numpy()
                 ids = unpack(row["bits"], offsets, int(sizes.sum()), table, lengths).astype("<u4")
                 ends = np.cumsum(sizes)
                 data = [ids[a:b].tobytes() for a, b in zip(ends - sizes, ends, strict=True)]
-                n = len(data)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["part"]] * n, pa.int32()), pa.array([row["frame"]] * n, pa.int32()),
-                     pa.array(row["doc_ids"], pa.int64()), pa.array(ends - sizes, pa.int64()),
+                    [pa.array(row["doc_ids"], pa.int64()), pa.array(row["start"] + ends - sizes, pa.int64()),
                      pa.array(sizes, pa.int64()), pa.array(data, pa.binary())],
-                    ["part", "frame", "doc_id", "at", "n_tokens", "ids"],
+                    ["doc_id", "start", "n_tokens", "ids"],
                 )
 
     return scan
@@ -234,23 +236,22 @@ class IdFiles:
         files = files.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("file_start"))
         inside = Window.partitionBy("part").orderBy("frame").rowsBetween(Window.unboundedPreceding, -1)
         held = held.select("part", "frame", F.coalesce(F.sum("n").over(inside), F.lit(0)).alias("frame_start"))
-        starts = held.join(files, "part").select("part", "frame", (F.col("file_start") + F.col("frame_start")).alias("f"))
+        starts = held.join(files, "part").select("part", "frame", (F.col("file_start") + F.col("frame_start")).alias("start"))
         code = self.code
         if not len(code.ids):
             return frames.sparkSession.createDataFrame([], "doc_id long, start long, n_tokens long, ids binary")
-        docs = frames.mapInArrow(
-            _decode(code), "part int, frame int, doc_id long, at long, n_tokens long, ids binary"
-        )
-        return docs.join(starts, ["part", "frame"]).select("doc_id", (F.col("f") + F.col("at")).alias("start"), "n_tokens", "ids")
+        placed = frames.join(broadcast_if_small(starts), ["part", "frame"])
+        placed = placed.select("start", "doc_ids", "sizes", "checkpoints", "bits")
+        return placed.mapInArrow(_decode(code), "doc_id long, start long, n_tokens long, ids binary")
 
 
 def write_ids(
-    docs: DataFrame, encode: Callable[[], Callable[[list[str]], list[list[int]]]], end_id: int,
+    docs: DataFrame, encode: Callable[[], Callable[[list[str]], Iterator[bytes]]], end_id: int,
     store: StageStore | None = None, max_bits: int = MAX_BITS,
 ) -> IdFiles:
     """Encode (doc_id, text), append ``end_id`` to each document and write the ids in ascending doc_id order.
 
-    ``encode`` makes, in a task, the function from texts to ids. Documents are dealt in ranges of doc_id;
+    ``encode`` makes, in a task, the function from texts to their ids as little-endian 32-bit integers. Documents are dealt in ranges of doc_id;
     the counts of all ids, one line per id of the vocabulary, are added up and give one canonical code for all.
 
     Null and empty texts hold the end id alone. Rows with equal doc_id follow each other by text, a null
@@ -274,17 +275,51 @@ def write_ids(
     return IdFiles(store)
 
 
-def tokenizer(path: str) -> Callable[[], Callable[[list[str]], list[list[int]]]]:
-    """The encoder of a tokenizer file, read here and sent to the tasks with their code."""
+_MEMORY: dict[str, dict[str, bytes]] = {}
+KNOWN_WORDS = 600_000
+PIECES = 4096
+
+
+def _memory(key: str) -> dict[str, bytes]:
+    """What this worker knows of a tokenizer, kept from one task to the next."""
+    return _MEMORY.setdefault(key, {})
+
+
+def tokenizer(path: str, words: str | None = None) -> Callable[[], Callable[[list[str]], Iterator[bytes]]]:
+    """The encoder of a tokenizer file, read here and sent to the tasks with their code.
+
+    ``words`` is a pattern whose matches the tokenizer encodes independently of what is around them and of
+    what is between them, as words of a tokenizer that drops white space. A worker then encodes a word once
+    as long as it remembers it. Without it texts are encoded whole.
+    """
     with open(path, encoding="utf-8") as f:
         text = f.read()
+    key = hashlib.sha256(text.encode()).hexdigest()
 
     def make():
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         own = Tokenizer.from_str(text)
-        return lambda texts: [e.ids for e in own.encode_batch(texts, add_special_tokens=False)]
+
+        def whole(texts: list[str]) -> Iterator[bytes]:
+            for start in range(0, len(texts), PIECES):
+                for found in own.encode_batch(texts[start : start + PIECES], add_special_tokens=False):
+                    yield np.array(found.ids, "<u4").tobytes()
+
+        def by_word(texts: list[str]) -> Iterator[bytes]:
+            known = _memory(key)
+            for one in texts:
+                found = pattern.findall(one)
+                new = list(set(found).difference(known))
+                if len(known) + len(new) > KNOWN_WORDS:
+                    known.clear()
+                    new = list(set(found))
+                known.update(zip(new, whole(new), strict=True))
+                yield b"".join(map(known.__getitem__, found))
+
+        pattern = re.compile(words) if words else None
+        return by_word if words else whole
 
     return make
 

@@ -13,24 +13,21 @@ from pyspark.sql import types as T
 
 
 def chi_squared_upper(x: float, df: int) -> float:
-    """P(X > x) for a chi-squared variable, by the closed series for whole degrees of freedom."""
+    """P(X > x) for a chi-squared variable, by the closed sums for whole degrees of freedom.
+
+    Each term is the exponential of its logarithm, so none overflows and large statistics give 0.
+    """
     if x is None or df is None or math.isnan(x) or df < 1:
         return math.nan
     if x <= 0:
         return 1.0
+    if math.isinf(x):
+        return 0.0
     half = x / 2
-    if df % 2 == 0:
-        term, total = 1.0, 1.0
-        for i in range(1, df // 2):
-            term *= half / i
-            total += term
-        return min(1.0, math.exp(-half) * total)
-    total = math.erfc(math.sqrt(half))
-    term = math.exp(-half) * math.sqrt(half) / math.gamma(1.5)
-    for i in range(1, (df - 1) // 2 + 1):
-        total += term
-        term *= half / (i + 0.5)
-    return min(1.0, total)
+    odd = df % 2
+    first = 0.5 if odd else 0.0
+    terms = (math.exp((i + first) * math.log(half) - half - math.lgamma(i + first + 1)) for i in range(df // 2))
+    return min(1.0, (math.erfc(math.sqrt(half)) if odd else 0.0) + math.fsum(terms))
 
 
 @F.pandas_udf(T.DoubleType())

@@ -146,7 +146,8 @@ def window_flags(
     One pass over the events for all groups, whatever their windows. With a cohort known to be
     small the events meet it in their own task and fold to one row per person there. Otherwise
     they fold to one row per person and day before the join by person, which bounds what a
-    single heavy person can bring to one task.
+    single heavy person can bring to one task. Either way the flags are found per subject and
+    joined to the cohort, whose rows all stay, equal ones too.
     """
     names = [g.name for g in groups]
     hits = tag_by_map(events.select(person, code, date).filter(F.col(date).isNotNull()), code, mapping)
@@ -158,14 +159,12 @@ def window_flags(
         flags.append(F.max(F.when(inside, 1).otherwise(0)).alias(g.name))
 
     spine = known_small(cohort)
-    if spine is not None:
-        found = hits.join(spine, SUBJECT).groupBy(SUBJECT).agg(*flags)
-        out = cohort.join(found, SUBJECT, "left")
-        return out.select(*cohort.columns, *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in names])
-    daily = hits.groupBy(SUBJECT, "_day").agg(*[F.max(n).alias(n) for n in names])
-    # Grouping by all cohort columns keeps the whole row without a second join; the exchange
-    # by person serves the join and the aggregate.
-    return cohort.join(daily, SUBJECT, "left").groupBy(*cohort.columns).agg(*flags)
+    if spine is None:
+        spine = subject_dates(cohort)
+        hits = hits.groupBy(SUBJECT, "_day").agg(*[F.max(n).alias(n) for n in names])
+    found = hits.join(spine, SUBJECT).groupBy(SUBJECT).agg(*flags)
+    out = cohort.join(found, SUBJECT, "left")
+    return out.select(*cohort.columns, *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in names])
 
 
 def stay_severity(

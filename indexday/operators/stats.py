@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import astuple, dataclass, replace
 from math import exp, sqrt
 
 import numpy as np
+import pandas as pd
 from pyspark.errors import UnsupportedOperationException
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression, GeneralizedLinearRegressionModel
@@ -23,18 +23,32 @@ Z_95 = 1.959963984540054
 CHI2_95 = 3.841458820694124
 
 MAX_LEVELS = 1000
+MAX_ITERATIONS = 25
+MAX_PROFILE_STEPS = 60
+PROFILE_TOLERANCE = 1e-7
 INTERCEPT = "(Intercept)"
 
+# Columns, or columns with their levels in order.
+Levels = Sequence[str] | Mapping[str, Sequence[str]]
 
-def level_values(df: DataFrame, column: str) -> list[str]:
-    """The levels of a categorical predictor in alphabetical order.
 
-    Levels become model columns, so a column with more than ``MAX_LEVELS`` is refused.
+def level_values(
+    df: DataFrame, column: str, order: Sequence[str] | None = None, max_levels: int = MAX_LEVELS
+) -> list[str]:
+    """The levels of a categorical predictor that have rows, in ``order`` or else alphabetically.
+
+    Levels become model columns, so a column with more than ``max_levels`` is refused, as is a
+    level that ``order`` does not name.
     """
-    rows = df.filter(F.col(column).isNotNull()).select(column).distinct().limit(MAX_LEVELS + 1).collect()
-    if len(rows) > MAX_LEVELS:
-        raise ValueError(f"{column} has more than {MAX_LEVELS} levels")
-    return sorted(r[0] for r in rows)
+    rows = df.filter(F.col(column).isNotNull()).select(column).distinct().limit(max_levels + 1).collect()
+    if len(rows) > max_levels:
+        raise ValueError(f"{column} has more than {max_levels} levels")
+    found = {r[0] for r in rows}
+    if order is None:
+        return sorted(found)
+    if unknown := found.difference(order):
+        raise ValueError(f"{column} has levels without a place: {sorted(unknown)}")
+    return [level for level in order if level in found]
 
 
 def contrast_name(column: str, position: int) -> str:
@@ -107,20 +121,23 @@ def design(
     df: DataFrame,
     outcome: str,
     numeric: Sequence[str] = (),
-    dummy: Sequence[str] = (),
-    summed: Sequence[str] = (),
+    dummy: Levels = (),
+    summed: Levels = (),
+    max_levels: int = MAX_LEVELS,
 ) -> Design:
     """A design whose levels are those present in complete rows.
 
-    A level without rows would make a term redundant, as happens in subgroups.
+    A level without rows would make a term redundant, as happens in subgroups. ``dummy`` and
+    ``summed`` name columns, whose levels are then in alphabetical order, or map columns to their
+    ordered levels: the first dummy level is the baseline, the last summed level the one coded -1.
     """
     used = df.select(outcome, *numeric, *dummy, *summed).dropna()
-    return Design(
-        outcome,
-        tuple(numeric),
-        {c: level_values(used, c) for c in dummy},
-        {c: level_values(used, c) for c in summed},
-    )
+
+    def levels(columns: Levels) -> dict[str, list[str]]:
+        orders = columns if isinstance(columns, Mapping) else dict.fromkeys(columns)
+        return {c: level_values(used, c, order, max_levels) for c, order in orders.items()}
+
+    return Design(outcome, tuple(numeric), levels(dummy), levels(summed))
 
 
 def independent_terms(rows: DataFrame, terms: Sequence[str], tolerance: float = 1e-8) -> list[str]:
@@ -150,7 +167,8 @@ def fit_terms(rows: DataFrame, terms: Sequence[str], offset: str | None = None)
         raise ValueError("no predictor varies")
     vectors = VectorAssembler(inputCols=list(terms), outputCol="features").transform(rows)
     glm = GeneralizedLinearRegression(
-        family="binomial", link="logit", regParam=0.0, weightCol="weight", labelCol="label", tol=1e-8, maxIter=25
+        family="binomial", link="logit", regParam=0.0, weightCol="weight", labelCol="label",
+        tol=1e-8, maxIter=MAX_ITERATIONS,
     )
     if offset is not None:
         glm = glm.setOffsetCol(offset)
@@ -179,11 +197,13 @@ class Coefficient:
     p_value: float | None = None
     ci_lower: float | None = None
     ci_upper: float | None = None
+    interval: str | None = None
+    converged: bool = True
 
 
 COEFFICIENT_SCHEMA = (
     "term string, estimate double, std_error double, z_value double, p_value double, "
-    "ci_lower double, ci_upper double"
+    "ci_lower double, ci_upper double, interval string, converged boolean"
 )
 
 
@@ -199,44 +219,108 @@ def _wald(model: GeneralizedLinearRegressionModel, fitted: Sequence[str], terms:
         errors = dict(zip([*fitted, INTERCEPT], model.summary.coefficientStandardErrors))
     except UnsupportedOperationException:
         errors = {}
+    converged = model.summary.numIterations < MAX_ITERATIONS
     out = []
     for term in [INTERCEPT, *terms]:
         b, se = estimates.get(term), errors.get(term)
         if b is None or not se:
-            out.append(Coefficient(term, b))
+            out.append(Coefficient(term, b, converged=converged))
         else:
-            out.append(Coefficient(term, b, se, b / se, normal_two_sided(b / se), b - Z_95 * se, b + Z_95 * se))
+            z = b / se
+            out.append(
+                Coefficient(term, b, se, z, normal_two_sided(z), b - Z_95 * se, b + Z_95 * se, "wald", converged)
+            )
     return out
 
 
-def _profile_end(rows: DataFrame, terms: Sequence[str], c: Coefficient, best: float, sign: int) -> float:
-    """Where the deviance, with the coefficient held fixed and the rest refitted, has risen by
-    the 95 % quantile. The signed root of the rise is close to linear, so the secant is quick."""
-    others = [t for t in terms if t != c.term]
+def _moments(rows: DataFrame, terms: Sequence[str], points: np.ndarray) -> list[tuple[float, np.ndarray, np.ndarray]]:
+    """Log-likelihood, gradient and information at each point (a row: the terms, then the intercept).
 
-    def rise(value: float) -> float:
-        held = rows.withColumn("held", F.col(c.term).cast("double") * F.lit(value))
-        return sqrt(max(fit_terms(held, others, "held").summary.deviance - best, 0.0))
-
-    target = sqrt(CHI2_95)
-    a, fa = c.estimate, 0.0
-    b = c.estimate + sign * Z_95 * c.std_error
-    for _ in range(12):
-        fb = rise(b)
-        if abs(fb - target) < 1e-4 or fb == fa:
+    One pass over the patterns for all points: tasks add up their sums, which are added by
+    position, so what arrives is one number per sum.
+    """
+    n, size = points.shape
+
+    def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((n, 1 + size + size * size))
+        for frame in frames:
+            x = np.column_stack([frame[list(terms)].to_numpy(float), np.ones(len(frame))])
+            y, w = frame["label"].to_numpy(), frame["weight"].to_numpy()
+            for i, point in enumerate(points):
+                eta = x @ point
+                fitted = 1 / (1 + np.exp(-np.clip(eta, -700, 700)))
+                spread = w * fitted * (1 - fitted)
+                total[i, 0] += w @ (y * eta - np.logaddexp(0, eta))
+                total[i, 1 : 1 + size] += x.T @ (w * (y - fitted))
+                total[i, 1 + size :] += ((x.T * spread) @ x).ravel()
+        yield pd.DataFrame({"at": np.arange(total.size), "value": total.ravel()})
+
+    used = rows.select(*[F.col(t).cast("double").alias(t) for t in terms], "label", "weight")
+    sums = used.mapInPandas(add, "at long, value double").groupBy("at").agg(F.sum("value").alias("value"))
+    flat = np.zeros(n * (1 + size + size * size))
+    for r in sums.collect():
+        flat[r["at"]] = r["value"]
+    out = flat.reshape(n, -1)
+    return [(o[0], o[1 : 1 + size], o[1 + size :].reshape(size, size)) for o in out]
+
+
+def _profile_limits(
+    rows: DataFrame, terms: Sequence[str], estimates: Sequence[float], wanted: Sequence[str]
+) -> dict[str, tuple[float | None, float | None]]:
+    """Where the deviance, with the term held fixed and the rest refitted, has risen by the 95 % quantile.
+
+    Both ends of all terms are sought together. An end is a point where the log-likelihood is
+    lower by half the quantile and has no slope in the other terms; Newton steps on these
+    equations start from the Wald limit, and a step that does not come nearer is halved. Each
+    step of all ends is one pass. An end not reached within ``MAX_PROFILE_STEPS`` is None.
+    """
+    centre = np.array(estimates, float)
+    best, _, information = _moments(rows, terms, centre[None])[0]
+    cov = np.linalg.inv(information)
+    errors = np.sqrt(np.diag(cov))
+    ends = [(terms.index(t), sign) for t in wanted for sign in (-1, 1)]
+    points = np.array([centre + sign * sqrt(CHI2_95) * cov[:, j] / errors[j] for j, sign in ends])
+    known: list[tuple | None] = [None] * len(ends)
+    reached = [False] * len(ends)
+    trial = points.copy()
+    for _ in range(MAX_PROFILE_STEPS):
+        open_ = [i for i, done in enumerate(reached) if not done]
+        if not open_:
             break
-        a, fa, b = b, fb, b + (target - fb) * (b - a) / (fb - fa)
-    return b
+        for i, (level, slope, info) in zip(open_, _moments(rows, terms, trial[open_]), strict=True):
+            j, sign = ends[i]
+            others = np.arange(len(centre)) != j
+            gap = level - best + CHI2_95 / 2
+            off = max(abs(gap), float(np.abs(slope[others] * errors[others]).max(initial=0.0)))
+            if known[i] is not None and not off < known[i][0]:
+                trial[i] = (trial[i] + points[i]) / 2
+                continue
+            points[i], known[i] = trial[i], (off,)
+            reached[i] = off < PROFILE_TOLERANCE
+            system = np.vstack([slope, -info[others]])
+            try:
+                step = np.linalg.solve(system, np.append(gap, slope[others]))
+            except np.linalg.LinAlgError:
+                continue
+            trial[i] = points[i] - step
+            if sign * (trial[i][j] - centre[j]) <= 0:  # across the estimate lies the other end
+                trial[i] = (points[i] + centre) / 2
+    limits: dict[str, tuple[float | None, float | None]] = {}
+    for k, term in enumerate(wanted):
+        j = terms.index(term)
+        low, high = (float(points[i][j]) if reached[i] else None for i in (2 * k, 2 * k + 1))
+        limits[term] = (low, high)
+    return limits
 
 
 def fit_logistic(
-    df: DataFrame, design_: Design, *, interval: str = "wald", profiled: Sequence[str] | None = None, parallel: int = 8
+    df: DataFrame, design_: Design, *, interval: str = "wald", profiled: Sequence[str] | None = None
 ) -> list[Coefficient]:
     """Coefficients of a logistic regression, intercept first.
 
     ``interval="profile"`` replaces the Wald limits of the ``profiled`` terms (all but the
-    intercept if not given) by profile-likelihood limits. Every fit is a distributed pass over
-    the patterns per iteration; independent refits are submitted side by side.
+    intercept if not given) by profile-likelihood limits; a limit that was not found is None.
+    ``interval`` in the result tells them apart, ``converged`` whether the fit itself has.
     """
     rows = design_.frame(df).persist()
     try:
@@ -247,14 +331,16 @@ def fit_logistic(
         table = _wald(model, fitted, design_.terms)
         if interval == "wald":
             return table
-        best = model.summary.deviance
-        wanted = [c for c in table if c.std_error and c.term != INTERCEPT and (profiled is None or c.term in profiled)]
-        jobs = [(c, sign) for c in wanted for sign in (-1, 1)]
-        with ThreadPoolExecutor(parallel) as pool:
-            ends = list(pool.map(lambda j: _profile_end(rows, fitted, j[0], best, j[1]), jobs))
-        limits = {c.term: (ends[2 * i], ends[2 * i + 1]) for i, c in enumerate(wanted)}
+        wanted = [
+            c.term for c in table if c.std_error and c.term != INTERCEPT and (profiled is None or c.term in profiled)
+        ]
+        estimates = [*model.coefficients.toArray().tolist(), model.intercept]
+        limits = _profile_limits(rows, fitted, estimates, wanted) if wanted else {}
         return [
-            replace(c, ci_lower=limits[c.term][0], ci_upper=limits[c.term][1]) if c.term in limits else c for c in table
+            replace(c, ci_lower=limits[c.term][0], ci_upper=limits[c.term][1], interval="profile")
+            if c.term in limits
+            else c
+            for c in table
         ]
     finally:
         rows.unpersist()
@@ -295,8 +381,8 @@ def fit_by_group(
     flags: Sequence[str],
     outcome: str,
     numeric: Sequence[str] = (),
-    dummy: Sequence[str] = (),
-    summed: Sequence[str] = (),
+    dummy: Levels = (),
+    summed: Levels = (),
 ) -> dict[str, list[Coefficient]]:
     """The same model on each subgroup with the flag set, with the levels the subgroup has."""
     out = {}

@@ -52,13 +52,19 @@ VIEWS: dict[str, str] = {
                l_suppkey % 50 as procedure_concept_id,
                cast(92500 + l_partkey % 500 as varchar(10)) as procedure_source_value
         from {lineitem} join {orders} on l_orderkey = o_orderkey where l_returnflag = 'R'""",
+    # Every fourth person has a second period around the first, so both can qualify.
     "observation_period": """
         select o_custkey as observation_period_id, o_custkey as person_id,
                cast(min(cast(o_orderdate as date)) - cast(o_custkey % 400 as int) as date)
                    as observation_period_start_date,
                cast(max(cast(o_orderdate as date)) + cast(o_custkey % 300 as int) as date)
                    as observation_period_end_date
-        from {orders} group by o_custkey""",
+        from {orders} group by o_custkey
+        union all
+        select 100000000 + o_custkey, o_custkey,
+               cast(min(cast(o_orderdate as date)) - cast(200 + o_custkey % 400 as int) as date),
+               cast(max(cast(o_orderdate as date)) + cast(250 + o_custkey % 300 as int) as date)
+        from {orders} where o_custkey % 4 = 0 group by o_custkey""",
     # The second branch leaves out persons on purpose: some must have no plan on their index date.
     "payer_plan_period": """
         select c_custkey as person_id, 501 as payer_concept_id, concat('A|', c_mktsegment) as payer_source_value,

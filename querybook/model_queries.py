@@ -235,9 +235,20 @@ def _(q: Context):
     return _rounded(st.chi_squared(st.crosstab_cells(q.model_frame, PREDICTORS, OUTCOME)), "statistic")
 
 
-@query("f4_crosstab_test", "F4 M10")
+def _upper_gamma(a: str, x: str) -> str:
+    """SQL for the upper regularised gamma function by the series of the lower one."""
+    term = f"exp(({a} + i) * ln({x}) - {x} - lgamma(({a} + i + 1)::double))"
+    return f"case when {x} <= 0 then 1.0 else greatest(0.0, 1 - list_sum([{term} for i in generate_series(0, 1500)])) end"
+
+
+@query(
+    "f4_crosstab_test",
+    "F4 M10",
+    f"select predictor, statistic, df, round({_upper_gamma('df / 2.0', '(statistic / 2)')}, 7) as p_value from ({_CHI}) tested",
+)
 def _(q: Context):
-    return st.crosstab_test(q.model_frame, PREDICTORS, OUTCOME)
+    tested = st.crosstab_test(q.model_frame, PREDICTORS, OUTCOME)
+    return _rounded(tested, "statistic").withColumn("p_value", F.round("p_value", 7))
 
 
 @query(
@@ -279,7 +290,69 @@ def _(q: Context):
 
 
 def _design(df):
-    return st.design(df, OUTCOME, [*MODEL.features, "cci"], ["severity", "gender"], ["age_group"])
+    return st.design(df, OUTCOME, [*MODEL.features, "cci"], ["severity", "gender"], {"age_group": AGE_LEVELS})
+
+
+# A model with as many terms as groups has closed forms: its estimates are linear in the groups'
+# logits, whose variance is the sum of the reciprocal counts.
+
+
+def _closed_sql(cells: str) -> str:
+    """Coefficient table from (term, estimate, variance)."""
+    return f"""
+        select term, round(estimate, 5) as estimate, round(sqrt(variance), 5) as std_error,
+               round(estimate / sqrt(variance), 4) as z_value,
+               round({_upper_gamma('0.5', '(estimate * estimate / variance / 2)')}, 5) as p_value,
+               round(estimate - {st.Z_95} * sqrt(variance), 5) as ci_lower,
+               round(estimate + {st.Z_95} * sqrt(variance), 5) as ci_upper,
+               'wald' as interval, true as converged, round(exp(estimate), 5) as odds_ratio
+        from ({cells}) closed"""
+
+
+def _logits_sql(column: str) -> str:
+    return f"""
+        select {column} as level, ln(sum(treatment_status) / (count(*) - sum(treatment_status))) as logit,
+               1 / sum(treatment_status) + 1 / (count(*) - sum(treatment_status)) as variance
+        from model_frame where {column} is not null group by {column}"""
+
+
+def _closed_model(q: Context, **columns):
+    frame = q.model_frame
+    out = st.coefficient_frame(q.spark, st.fit_logistic(frame, st.design(frame, OUTCOME, **columns)))
+    fine = ("estimate", "std_error", "p_value", "ci_lower", "ci_upper", "odds_ratio")
+    return out.withColumns({c: F.round(c, 5) for c in fine} | {"z_value": F.round("z_value", 4)})
+
+
+@query(
+    "m3_two_group_model",
+    "M1 M3 M5 M8",
+    _closed_sql(
+        f"""select '(Intercept)' as term, logit as estimate, variance from ({_logits_sql('severity')}) a where level = 'mild'
+            union all
+            select 'severity_severe', b.logit - a.logit, a.variance + b.variance
+            from ({_logits_sql('severity')}) a, ({_logits_sql('severity')}) b
+            where a.level = 'mild' and b.level = 'severe'"""
+    ),
+)
+def _(q: Context):
+    return _closed_model(q, dummy={"severity": SEVERITIES})
+
+
+@query(
+    "m7_contrast_model",
+    "M1 M3 M5 M7",
+    _closed_sql(
+        f"""with logits as ({_logits_sql('age_group')}),
+                 whole as (select avg(logit) as mean, sum(variance) as variance, count(*) as k from logits)
+            select '(Intercept)' as term, mean as estimate, variance / (k * k) as variance from whole
+            union all
+            select 'age_group_' || row_number() over (order by level), logit - mean,
+                   l.variance * (1 - 2.0 / k) + w.variance / (k * k)
+            from logits l, whole w qualify row_number() over (order by level) < k"""
+    ),
+)
+def _(q: Context):
+    return _closed_model(q, summed={"age_group": AGE_LEVELS})
 
 
 @query("m1_logistic_model", "M1 M3 M6 M7 M8 M9")
@@ -341,7 +414,7 @@ def _(q: Context):
     flagged = _flagged_model(q).persist()
     try:
         fits = st.fit_by_group(
-            flagged, COHORT.flags, OUTCOME, [*MODEL.features, "cci"], ["severity", "gender"], ["age_group"]
+            flagged, COHORT.flags, OUTCOME, [*MODEL.features, "cci"], ["severity", "gender"], {"age_group": AGE_LEVELS}
         )
     finally:
         flagged.unpersist()
@@ -353,8 +426,7 @@ def _(q: Context):
 def _(q: Context):
     frame = q.model_frame.persist()
     try:
-        profiled = ["cci", "severity_severe", "gender_M"]
-        return st.coefficient_frame(q.spark, st.fit_logistic(frame, _design(frame), interval="profile", profiled=profiled))
+        return st.coefficient_frame(q.spark, st.fit_logistic(frame, _design(frame), interval="profile"))
     finally:
         frame.unpersist()
 
@@ -364,7 +436,7 @@ def _(q: Context):
     frame = q.model_frame.persist()
     try:
         d = _design(frame)
-        rows = st.plot_table(st.fit_logistic(frame, d), "age_group", d.summed["age_group"])
+        rows = st.plot_table(st.fit_logistic(frame, d, interval="profile"), "age_group", d.summed["age_group"])
         return q.spark.createDataFrame(
             [(r["group"], r["coefficient"], r["lower"], r["upper"], r["significant"]) for r in rows],
             "term string, coefficient double, lower double, upper double, significant boolean",

@@ -149,3 +149,23 @@ def test_one_heavy_person(spark, cohort):
         for s in range(1, 6)
     }
     assert dict(rows(out)) == brute
+
+
+def test_rows_of_a_subject_all_stay(spark, frame, tmp_path):
+    """Equal cohort rows and rows of two periods keep their number, planned or written."""
+    data = [(1, day(0), day(7), 10), (1, day(0), day(7), 10), (1, day(0), day(7), 11), (2, day(0), day(9), 20)]
+    planned = frame(data, COHORT + ", observation_period_id int")
+    planned.write.parquet(str(tmp_path / "cohort"))
+    written = spark.read.parquet(str(tmp_path / "cohort"))
+    events = frame([(1, 1, day(-3)), (1, 1, day(2)), (1, 1, day(2)), (2, 2, day(1))], CONDITIONS)
+    procedures = frame([(1, "x", day(1))], "person_id long, procedure_source_value string, procedure_date date")
+    mapping = frame([(1, 1)], "concept_id int, g int")
+    steps = {
+        "condition": lambda c: ft.condition_flags(c, events, SETS),
+        "outcome": lambda c: ft.outcome_flag(c, procedures, ["x"], column="status", labels=("yes", "no")),
+        "window": lambda c: ft.window_flags(c, events, mapping, [CodeGroup("g")], code="condition_concept_id"),
+    }
+    for name, step in steps.items():
+        small, large = rows(step(written)), rows(step(planned))
+        assert small == large and len(small) == len(data), name
+        assert [r[:4] for r in small] == sorted(tuple(r) for r in data), name

@@ -69,6 +69,14 @@ def test_chi_squared_tail(x, df, p):
     assert chi_squared_upper(x, df) == pytest.approx(p, abs=1e-6)
 
 
+def test_chi_squared_tail_of_large_statistics():
+    assert chi_squared_upper(1e6, 200) == 0
+    assert chi_squared_upper(2000, 2000) == pytest.approx(0.4958, abs=1e-4)
+    assert chi_squared_upper(2000, 2001) == pytest.approx(0.5021, abs=1e-4)
+    assert chi_squared_upper(math.inf, 3) == 0
+    assert chi_squared_upper(1e-300, 5) == pytest.approx(1)
+
+
 def test_normal_tail():
     assert normal_two_sided(1.959963984540054) == pytest.approx(0.05, abs=1e-9)
     assert math.isnan(chi_squared_upper(1.0, 0))

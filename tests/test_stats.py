@@ -90,12 +90,29 @@ def test_models_without_rows_or_variation(frame):
 
 def test_profile_limits_lie_where_the_deviance_has_risen(model_rows, study):
     d = st.design(model_rows, "y", ["flag", "score"], ["sex"], ["band"])
-    table = st.fit_logistic(model_rows, d, interval="profile", profiled=["flag"])
-    flag = next(c for c in table if c.term == "flag")
+    table = {c.term: c for c in st.fit_logistic(model_rows, d, interval="profile")}
     x, y = design_matrix(study)
     best = irls(x, y)[2]
-    for end in (flag.ci_lower, flag.ci_upper):
-        assert irls(x[:, 1:], y, x[:, 0] * end)[2] - best == pytest.approx(3.841459, abs=2e-3)
+    for i, term in enumerate(d.terms):
+        c = table[term]
+        assert c.interval == "profile" and c.ci_lower < c.estimate < c.ci_upper
+        for end in (c.ci_lower, c.ci_upper):
+            assert irls(np.delete(x, i, axis=1), y, x[:, i] * end)[2] - best == pytest.approx(3.841459, abs=1e-4)
+    assert table["(Intercept)"].interval == "wald"
+    some = {c.term: c for c in st.fit_logistic(model_rows, d, interval="profile", profiled=["flag"])}
+    assert some["flag"].ci_upper == pytest.approx(table["flag"].ci_upper) and some["score"].interval == "wald"
+
+
+def test_ends_not_reached_are_missing(model_rows, monkeypatch):
+    monkeypatch.setattr(st, "MAX_PROFILE_STEPS", 1)
+    d = st.design(model_rows, "y", ["flag", "score"])
+    flag = next(c for c in st.fit_logistic(model_rows, d, interval="profile") if c.term == "flag")
+    assert (flag.ci_lower, flag.ci_upper, flag.interval) == (None, None, "profile")
+
+
+def test_a_fit_that_does_not_converge_says_so(frame):
+    df = frame([(int(x > 2), float(x)) for x in range(6)] * 3, "y int, x double")
+    assert not any(c.converged for c in st.fit_logistic(df, st.design(df, "y", ["x"])) if c.std_error)
 
 
 def test_coefficient_frame_has_odds_ratios(spark):
@@ -119,10 +136,28 @@ def test_levels_without_complete_rows_are_not_coded(frame):
     assert st.design(df, "y", ["x"], summed=["g"]).summed == {"g": ["a", "b"]}
 
 
-def test_too_many_levels_are_refused(spark, frame, monkeypatch):
-    monkeypatch.setattr(st, "MAX_LEVELS", 2)
+def test_too_many_levels_are_refused(frame):
+    df = frame([("a", 1), ("b", 0), ("c", 1)], "g string, y int")
+    with pytest.raises(ValueError, match="more than 2"):
+        st.level_values(df, "g", max_levels=2)
     with pytest.raises(ValueError, match="more than 2"):
-        st.level_values(frame([("a",), ("b",), ("c",)], "g string"), "g")
+        st.design(df, "y", dummy=["g"], max_levels=2)
+
+
+def test_ordered_levels_name_the_contrasts(frame):
+    order = ["5-17", "18-29", "30+", "never"]
+    data = [(y, g) for g, treated in (("5-17", 6), ("18-29", 3), ("30+", 2)) for y in [1] * treated + [0] * (10 - treated)]
+    df = frame(data, "y int, g string")
+    d = st.design(df, "y", summed={"g": order})
+    assert d.summed == {"g": ["5-17", "18-29", "30+"]}
+    rows_ = st.plot_table(st.fit_logistic(df, d), "g", d.summed["g"])
+    logit = {g: math.log(t / (10 - t)) for g, t in (("5-17", 6), ("18-29", 3), ("30+", 2))}
+    mean = sum(logit.values()) / 3
+    assert {r["group"]: pytest.approx(r["coefficient"], abs=1e-6) for r in rows_} == {
+        f"{g} vs g grand mean": logit[g] - mean for g in ("5-17", "18-29")
+    }
+    with pytest.raises(ValueError, match="without a place"):
+        st.design(df, "y", summed={"g": order[:2]})
 
 
 def test_subgroups_are_fitted_on_their_own(model_rows, study):

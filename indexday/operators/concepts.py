@@ -39,6 +39,8 @@ def code_map(concept: DataFrame, groups: Sequence[CodeGroup]) -> DataFrame:
     for g in groups:
         hit = code_matches("concept_code", g.prefixes, g.codes)
         if g.vocabulary is not None:
+            if "vocabulary_id" not in concept.columns:
+                raise ValueError(f"group {g.name} names a vocabulary, but concept has no vocabulary_id")
             hit = hit & (F.col("vocabulary_id") == g.vocabulary)
         flags.append(F.when(hit, 1).otherwise(0).alias(g.name))
     return concept.select("concept_id", *flags).filter(any_flag(*[g.name for g in groups]))

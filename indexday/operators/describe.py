@@ -59,32 +59,32 @@ def percentiles(
     points: Sequence[float],
     names: Sequence[str],
     *,
-    continuous: bool = False,
+    discrete: bool = False,
     large: int = 1_000_000,
 ) -> DataFrame:
     """Exact interpolated percentiles per group, NULLs left out.
 
     Values are counted first, so a task that ends a group holds its distinct values, not its
-    rows. That is little for ages, scores and day counts. For a measure whose distinct values
-    grow with the data, ``continuous`` first folds away all values that are not near a wanted
-    rank; the result is the same.
+    rows. All values that are not near a wanted rank are folded away before, since the distinct
+    values of a measure grow with the data; the result is the same. ``discrete`` says that they
+    do not, as those of ages, scores and day counts, and spares the passes that fold.
     """
     df = df.select(*by, value)
-    if continuous:
+    if not discrete:
         df = _snap(df.filter(F.col(value).isNotNull()), by, value, points, large)
     wanted = F.array(*[F.lit(float(p)) for p in points])
     out = _counts_by_value(df, by, value).groupBy(*by).agg(F.percentile(value, wanted, F.col("_freq")).alias("_p"))
     return out.select(*by, *[F.get("_p", F.lit(i)).alias(n) for i, n in enumerate(names)])
 
 
-def median(df: DataFrame, value: str, name: str = "median", *, continuous: bool = False) -> DataFrame:
+def median(df: DataFrame, value: str, name: str = "median", *, discrete: bool = False) -> DataFrame:
     """Exact median as one row; NULL when there is no value."""
-    return percentiles(df, [], value, [0.5], [name], continuous=continuous)
+    return percentiles(df, [], value, [0.5], [name], discrete=discrete)
 
 
-def impute_median(df: DataFrame, column: str, *, continuous: bool = False) -> DataFrame:
+def impute_median(df: DataFrame, column: str, *, discrete: bool = False) -> DataFrame:
     """Replace NULLs by the column's median, which enters the plan as a scalar subquery."""
-    middle = median(df, column, continuous=continuous)
+    middle = median(df, column, discrete=discrete)
     return df.withColumn(column, F.coalesce(F.col(column).cast("double"), middle.scalar()))
 
 
@@ -112,13 +112,13 @@ def histogram(
     return counts.select("bin", (F.col("_lo") + F.col("bin") * float(width)).alias("bin_start"), name)
 
 
-def box_stats(df: DataFrame, column: str, *, reach: float = 1.5, continuous: bool = False) -> DataFrame:
+def box_stats(df: DataFrame, column: str, *, reach: float = 1.5, discrete: bool = False) -> DataFrame:
     """Five-number summary, whisker ends and number of values beyond them, as one row.
 
     A whisker ends at the most extreme value within ``reach`` interquartile ranges of the box.
     """
     names = ["min", "q1", "median", "q3", "max"]
-    five = percentiles(df, [], column, [0, 0.25, 0.5, 0.75, 1], names, continuous=continuous)
+    five = percentiles(df, [], column, [0, 0.25, 0.5, 0.75, 1], names, discrete=discrete)
     values = df.select(F.col(column).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     boxed = values.withColumn("_b", five.select(F.struct(*names).alias("b")).scalar())
     spread = (F.col("_b.q3") - F.col("_b.q1")) * reach
@@ -137,9 +137,11 @@ def category_counts(df: DataFrame, column: str, name: str = "n") -> DataFrame:
 
 
 def summarize_continuous(
-    df: DataFrame, stratum: str, columns: Sequence[str], *, continuous: Sequence[str] = ()
+    df: DataFrame, stratum: str, columns: Sequence[str], *, discrete: Sequence[str] = ()
 ) -> DataFrame:
-    """Count, mean, SD, median, range and missing count per stratum and variable."""
+    """Count, mean, SD, median, range and missing count per stratum and variable.
+
+    ``discrete`` names the variables whose distinct values do not grow with the data."""
     moments = []
     for c in columns:
         x = F.col(c).cast("double")
@@ -155,15 +157,16 @@ def summarize_continuous(
         )
     wide = df.groupBy(stratum).agg(*moments)
     tidy = wide.unpivot([stratum], list(columns), "variable", "_m").select(stratum, "variable", "_m.*")
-    discrete = [c for c in columns if c not in continuous]
+    counted = [c for c in columns if c in discrete]
     parts = []
-    if discrete:
-        values = df.select(stratum, *[F.col(c).cast("double").alias(c) for c in discrete])
-        values = values.unpivot([stratum], discrete, "variable", "_v")
-        parts.append(percentiles(values, [stratum, "variable"], "_v", [0.5], ["median"]))
-    for c in continuous:
-        values = df.select(stratum, F.lit(c).alias("variable"), F.col(c).cast("double").alias("_v"))
-        parts.append(percentiles(values, [stratum, "variable"], "_v", [0.5], ["median"], continuous=True))
+    if counted:
+        values = df.select(stratum, *[F.col(c).cast("double").alias(c) for c in counted])
+        values = values.unpivot([stratum], counted, "variable", "_v")
+        parts.append(percentiles(values, [stratum, "variable"], "_v", [0.5], ["median"], discrete=True))
+    for c in columns:
+        if c not in discrete:
+            values = df.select(stratum, F.lit(c).alias("variable"), F.col(c).cast("double").alias("_v"))
+            parts.append(percentiles(values, [stratum, "variable"], "_v", [0.5], ["median"]))
     middle = parts[0]
     for p in parts[1:]:
         middle = middle.unionByName(p)
@@ -191,15 +194,17 @@ def table_one(
     categorical: Sequence[str] = (),
     continuous: Sequence[str] = (),
     labels: Mapping[str, str] | None = None,
+    discrete: Sequence[str] = (),
 ) -> DataFrame:
     """Stratified summary in long form: a row per level of a categorical variable, and a row per
-    continuous variable, with a readable label for each."""
+    continuous variable, with a readable label for each. ``discrete`` is as in
+    :func:`summarize_continuous`."""
     names = F.create_map(*[F.lit(x) for kv in (labels or {}).items() for x in kv]) if labels else None
     parts = []
     if categorical:
         parts.append(summarize_categorical(df, stratum, categorical))
     if continuous:
-        parts.append(summarize_continuous(df, stratum, continuous))
+        parts.append(summarize_continuous(df, stratum, continuous, discrete=discrete))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)

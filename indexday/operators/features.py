@@ -39,8 +39,9 @@ def known_small(cohort: DataFrame) -> DataFrame | None:
     A written cohort has a known size. One that is still to be computed counts as large: to
     measure it would be to compute it.
     """
-    spine = subject_dates(cohort)
-    return F.broadcast(spine) if is_small(spine, measure=False) else None
+    if not is_small(cohort.select(SUBJECT, INDEX), measure=False):
+        return None
+    return F.broadcast(subject_dates(cohort))
 
 
 def of_subjects(events: DataFrame, cohort: DataFrame, person: str) -> DataFrame:
@@ -140,6 +141,7 @@ def window_flags(
     person: str = "person_id",
     code: str = "condition_source_concept_id",
     date: str = "condition_start_date",
+    subjects: DataFrame | None = None,
 ) -> DataFrame:
     """Add a 0/1 column per code group: some event of the group inside the group's window.
 
@@ -147,7 +149,9 @@ def window_flags(
     small the events meet it in their own task and fold to one row per person there. Otherwise
     they fold to one row per person and day before the join by person, which bounds what a
     single heavy person can bring to one task. Either way the flags are found per subject and
-    joined to the cohort, whose rows all stay, equal ones too.
+    joined to the cohort, whose rows all stay, equal ones too. ``subjects`` is a written frame
+    that holds all of the cohort's subjects with their index dates, for a cohort that is itself
+    still a plan.
     """
     names = [g.name for g in groups]
     hits = tag_by_map(events.select(person, code, date).filter(F.col(date).isNotNull()), code, mapping)
@@ -158,9 +162,10 @@ def window_flags(
         inside = (F.col(g.name) == 1) & in_window("_day", INDEX, g.before, g.after)
         flags.append(F.max(F.when(inside, 1).otherwise(0)).alias(g.name))
 
-    spine = known_small(cohort)
+    known = cohort if subjects is None else subjects
+    spine = known_small(known)
     if spine is None:
-        spine = subject_dates(cohort)
+        spine = subject_dates(known)
         hits = hits.groupBy(SUBJECT, "_day").agg(*[F.max(n).alias(n) for n in names])
     found = hits.join(spine, SUBJECT).groupBy(SUBJECT).agg(*flags)
     out = cohort.join(found, SUBJECT, "left")

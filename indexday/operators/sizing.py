@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 32 * 1024 * 1024
+# Columns with a row's identity do not compress further than this below their size in memory.
+PLANNED_MARGIN = 32
 
 _WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4, T.FloatType: 4}
 
@@ -14,8 +16,9 @@ _WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.D
 def planned_bytes(df: DataFrame) -> int | None:
     """Spark's static size for a plan, or None where the session does not expose it.
 
-    Taken before optimization: scans count with all their columns, filters and semi joins as
-    large as their input and inner joins as the product of theirs, so it errs on the large side.
+    Taken before optimization: filters and semi joins count as large as their input and inner
+    joins as the product of theirs. A projection of a scan counts by the widths of its types, which
+    says too little where the columns left out compress better than those kept.
     """
     frame = getattr(df, "_jdf", None)
     if frame is None:
@@ -35,18 +38,25 @@ def measured_bytes(df: DataFrame, limit: int) -> int | None:
 
 
 def is_small(df: DataFrame, limit: int = BROADCAST_BYTES, measure: bool = True) -> bool:
+    """Whether a frame's payload fits, by a bounded count of its rows.
+
+    The planned size only spares the count where it is far below the limit, or where a frame is
+    planned as larger and ``measure`` does not allow the work.
+    """
     planned = planned_bytes(df)
-    if planned is not None and planned <= limit:
+    if planned is not None and planned <= limit // PLANNED_MARGIN:
         return True
-    return measure and measured_bytes(df, limit) is not None
+    if not measure and (planned is None or planned > limit):
+        return False
+    return measured_bytes(df, limit) is not None
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES, measure: bool = True) -> DataFrame:
     """Ask for a broadcast of ``df`` only once its size is known to fit.
 
-    The planned size decides for free where it is small enough. Otherwise a bounded count does:
-    a code set is a few hundred rows out of a vocabulary of millions, which no static estimate
-    sees, and without the hint the whole event table would be shuffled to meet it. A frame that
+    A bounded count decides, since a planned size may be wrong on either side: a code set is a
+    few hundred rows out of a vocabulary of millions, which no static estimate sees, and without
+    the hint the whole event table would be shuffled to meet it. A frame that
     does not fit is returned as it is and joins by shuffle, where AQE splits hot keys.
     """
     return F.broadcast(df) if is_small(df, limit, measure) else df

@@ -178,14 +178,18 @@ def fit_terms(rows: DataFrame, terms: Sequence[str], offset: str | None = None)
 def fitted_outcome(df: DataFrame, design_: Design) -> DataFrame:
     """Covariate patterns with their weight and the outcome probability a fit gives them.
 
-    The patterns stay cached for the frame that is returned.
+    The patterns are cached for the fit only.
     """
     rows = design_.frame(df).persist()
-    if rows.isEmpty():
-        return rows.withColumn("fitted", F.lit(None).cast("double"))
-    terms = independent_terms(rows, design_.terms)
-    vectors = VectorAssembler(inputCols=terms, outputCol="features").transform(rows)
-    return fit_terms(rows, terms).transform(vectors).withColumnRenamed("prediction", "fitted")
+    try:
+        if rows.isEmpty():
+            return design_.frame(df).withColumn("fitted", F.lit(None).cast("double"))
+        terms = independent_terms(rows, design_.terms)
+        model = fit_terms(rows, terms)
+    finally:
+        rows.unpersist()
+    vectors = VectorAssembler(inputCols=terms, outputCol="features").transform(design_.frame(df))
+    return model.transform(vectors).withColumnRenamed("prediction", "fitted")
 
 
 @dataclass(frozen=True)

@@ -28,7 +28,7 @@ from indexday.operators.features import (
     window_flags,
 )
 from indexday.operators.reshape import to_long
-from indexday.sources import StageStore
+from indexday.sources import StageStore, rows_without_date
 from indexday.spec import CohortSpec, ModelSpec, StudySpec
 
 Relations = Mapping[str, DataFrame]
@@ -161,7 +161,7 @@ def build_features(spec: StudySpec, tables: Relations, cohort: DataFrame) -> Dat
     m = spec.model
     mapping = code_map(tables["concept"], m.code_groups)
     rows = _with_outcome(spec, tables, cohort).select(SUBJECT, INDEX, "visit_end_date", m.outcome_column)
-    rows = window_flags(rows, tables["condition_occurrence"], mapping, m.code_groups)
+    rows = window_flags(rows, tables["condition_occurrence"], mapping, m.code_groups, subjects=cohort)
     rows = stay_severity(rows, limit=m.severity_days, labels=m.severity_labels)
     rows = demographics(rows, tables["person"])
     return rows.select(
@@ -182,22 +182,25 @@ def build_model_frame(
     spec: ModelSpec,
     score: str = "cci",
     store: StageStore | None = None,
+    discrete_score: bool = True,
 ) -> DataFrame:
     """Features with score and coverage, ready for modelling.
 
     The order matters: the median is taken over the joined rows, uncovered persons gone and
     persons with two plans counted twice, but before the age limit. The joined rows are read
     once for the median and again for the frame, and models and tables read the frame more than
-    once; with a ``store`` they are written, so nobody computes the joins twice.
+    once; with a ``store`` both are written, so nobody computes them twice. A sum of whole
+    weights is a discrete score; say so if yours is not.
     """
     scores = covariates.select(F.col("rowId").alias(SUBJECT), F.col("covariateValue").alias(score))
     joined = features.join(scores, SUBJECT, "left").join(coverage, SUBJECT)
     if store is not None:
         joined = store.put("joined", joined)
-    imputed = impute_median(joined, score)
+    imputed = impute_median(joined, score, discrete=discrete_score)
     adults = imputed.filter(F.col("patient_age") >= spec.min_age)
     coded = label_to_flag(spec.outcome_column, spec.outcome_labels[0])
-    return adults.withColumns({spec.outcome_column: coded, "age_group": cut("patient_age", spec.age_breaks)})
+    frame = adults.withColumns({spec.outcome_column: coded, "age_group": cut("patient_age", spec.age_breaks)})
+    return frame if store is None else store.put("model_frame", frame)
 
 
 def build_long_frame(
@@ -218,6 +221,24 @@ class StudyStages:
     outcome: DataFrame
     features: DataFrame
     coverage: DataFrame
+    undated: DataFrame
+
+
+def undated_events(tables: Relations) -> DataFrame:
+    """Rows of each event relation that have no date, which the steps leave out of account."""
+    dates = {
+        "condition_occurrence": "condition_start_date",
+        "procedure_occurrence": "procedure_date",
+        "visit_occurrence": "visit_start_date",
+    }
+    parts = [
+        rows_without_date(tables[name], date).select(F.lit(name).alias("relation"), F.col(date).alias("n_rows"))
+        for name, date in dates.items()
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def run_study(spec: StudySpec, tables: Relations, store: StageStore) -> StudyStages:
@@ -231,4 +252,5 @@ def run_study(spec: StudySpec, tables: Relations, store: StageStore) -> StudySta
     outcome = store.put("outcome", build_outcome(spec, tables, cohort))
     features = store.put("features", build_features(spec, tables, cohort))
     coverage = store.put("coverage", build_coverage(spec, tables, cohort))
-    return StudyStages(events, cohort, outcome, features, coverage)
+    undated = store.put("undated_events", undated_events(tables))
+    return StudyStages(events, cohort, outcome, features, coverage, undated)

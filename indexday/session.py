@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# fileCompressionFactor makes the planner count compressed columnar files at about their size in
-# memory, so a broadcast it picks is no larger than it looks.
+# fileCompressionFactor makes the planner count compressed columnar files nearer to their size in
+# memory when it picks a broadcast by itself.
 # canChangeCachedPlanOutputPartitioning lets AQE coalesce a cached frame, so the passes of a model
 # fit over a few covariate patterns do not each run a task per shuffle partition.
 # forceOptimizeSkewedJoin lets AQE split a hot join partition even where the split costs the

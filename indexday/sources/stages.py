@@ -19,6 +19,8 @@ def save_stage(
     an error unless ``mode`` says otherwise. A table may be bucketed as (number, column): event
     tables bucketed by person spare every later step its exchange by person.
     """
+    if bucket is not None:
+        df = df.repartition(*bucket)  # else every task writes a file for every bucket
     writer = df.write.mode(mode).format("parquet")
     if bucket is not None:
         writer = writer.bucketBy(*bucket).sortBy(bucket[1])

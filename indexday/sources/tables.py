@@ -99,6 +99,18 @@ def rows_without_date(df: DataFrame, *dates: str) -> DataFrame:
     return df.agg(*[F.count_if(F.col(d).isNull()).alias(d) for d in dates])
 
 
+_PARTITIONING = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
+
+
+def jdbc_options(schema: str, name: str, common: Mapping[str, str], own: Mapping[str, str]) -> dict[str, str]:
+    """Reader options of one relation; a partitioning is given in full or not at all."""
+    merged = {**common, **own, "dbtable": f"{schema}.{name}"}
+    given = [k for k in _PARTITIONING[:3] if k in merged]
+    if given and len(given) + ("numPartitions" in merged) < len(_PARTITIONING):
+        raise ValueError(f"{name}: a partitioned read needs {', '.join(_PARTITIONING)}")
+    return merged
+
+
 class Tables(Mapping[str, DataFrame]):
     """The relations of one database; each is resolved and checked on first use."""
 
@@ -116,10 +128,16 @@ class Tables(Mapping[str, DataFrame]):
         return cls(lambda name: spark.table(f"{schema}.{name}"))
 
     @classmethod
-    def from_jdbc(cls, spark: SparkSession, schema: str, **options: str) -> Tables:
-        return cls(
-            lambda name: spark.read.format("jdbc").options(**options).option("dbtable", f"{schema}.{name}").load()
-        )
+    def from_jdbc(
+        cls, spark: SparkSession, schema: str, per_table: Mapping[str, Mapping[str, str]] | None = None, **options: str
+    ) -> Tables:
+        """``options`` hold for all relations, ``per_table`` for single ones.
+
+        A relation is read in parallel only with its own ``partitionColumn``, ``lowerBound``,
+        ``upperBound`` and ``numPartitions``; those without are read by one task.
+        """
+        chosen = {name: jdbc_options(schema, name, options, (per_table or {}).get(name, {})) for name in RELATIONS}
+        return cls(lambda name: spark.read.format("jdbc").options(**chosen[name]).load())
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in RELATIONS:

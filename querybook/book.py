@@ -28,6 +28,10 @@ class Context:
         self.sf_dir = sf_dir
         self.t: Tables = bind(spark, sf_dir)
 
+    def source(self, name: str) -> DataFrame:
+        """A test table as it is."""
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+
     @property
     def weights(self) -> DataFrame:
         return score_weights(self.spark, self.sf_dir)

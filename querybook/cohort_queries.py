@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from indexday.functions import any_flag, categorize, code_matches, days_between, in_interval, strip_prefix
@@ -11,7 +12,7 @@ from indexday.operators.concepts import expand_concepts, tag_by_map
 from indexday.operators.profile import group_counts
 from indexday.operators.reshape import append, as_text
 from indexday.plans import study
-from indexday.sources import RELATIONS, run_sql
+from indexday.sources import RELATIONS, load_covariates, preview, run_sql, save_covariates
 from querybook.book import Context, query
 from querybook.oracle import FEATURES, code_test, ints, rules_expr, texts
 from querybook.params import COHORT, MODEL, STUDY
@@ -47,6 +48,45 @@ def _(q: Context):
     return run_sql(q.spark, text, {"people": q.t.person}, {"born": 1960})
 
 
+@query(
+    "s4_written_stage",
+    "S4",
+    """select gender_source_value, count(*) as n, true as refused from person group by gender_source_value""",
+)
+def _(q: Context):
+    store = q.store
+    store.put("people", q.t.person.select("person_id", "gender_source_value"))
+    try:
+        store.put("people", q.t.person)
+        refused = False
+    except AnalysisException:  # a written stage stays as it is
+        refused = True
+    counted = store.get("people").groupBy("gender_source_value").agg(F.count("*").alias("n"))
+    return counted.withColumn("refused", F.lit(refused))
+
+
+@query("s5_preview", "S5", "select person_id, location_id from person order by person_id limit 5")
+def _(q: Context):
+    return preview(q.t.person.select("person_id", "location_id").orderBy("person_id"))
+
+
+@query(
+    "s6_covariate_file",
+    "S6",
+    """select cast(person_id as bigint) as "rowId", 1 as "covariateId", cast(year_of_birth as double) as "covariateValue"
+       from person""",
+)
+def _(q: Context):
+    born = q.t.person.select(
+        F.col("person_id").cast("long").alias("rowId"),
+        F.lit(1).alias("covariateId"),
+        F.col("year_of_birth").cast("double").alias("covariateValue"),
+    )
+    path = q.store.target("covariates")
+    save_covariates(born, path)
+    return load_covariates(q.spark, path)
+
+
 # Projections and filters
 
 

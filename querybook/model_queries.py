@@ -30,7 +30,7 @@ def _rounded(df, *columns: str):
 
 @query("a11_median_score", "A11", "select median(raw_score) as median from scored")
 def _(q: Context):
-    return ds.median(q.scored, "cci")
+    return ds.median(q.scored, "cci", discrete=True)
 
 
 @query(
@@ -40,7 +40,20 @@ def _(q: Context):
        from scored""",
 )
 def _(q: Context):
-    return ds.impute_median(q.scored, "cci").select("subject_id", "insurance_plan", "cci")
+    return ds.impute_median(q.scored, "cci", discrete=True).select("subject_id", "insurance_plan", "cci")
+
+
+@query(
+    "a13_measure_percentiles",
+    "A13 A11",
+    """select o_orderpriority as priority, round(quantile_cont(o_totalprice, 0.25), 6) as q1,
+              round(quantile_cont(o_totalprice, 0.5), 6) as median, round(quantile_cont(o_totalprice, 0.9), 6) as p90
+       from orders group by o_orderpriority""",
+)
+def _(q: Context):
+    measured = q.source("orders").select(F.col("o_orderpriority").alias("priority"), "o_totalprice")
+    out = ds.percentiles(measured, ["priority"], "o_totalprice", [0.25, 0.5, 0.9], ["q1", "median", "p90"], large=10_000)
+    return out.withColumns({c: F.round(c, 6) for c in ("q1", "median", "p90")})
 
 
 @query("x16_age_groups", "X16", f"select subject_id, patient_age, {age_expr('patient_age')} as age_group from features")
@@ -94,7 +107,7 @@ def _table_sql(stratum: str, source: str) -> str:
 
 
 def _table(df):
-    return _rounded(ds.table_one(df, "condition_group", CATEGORICAL, CONTINUOUS, LABELS), "pct", "mean", "sd")
+    return _rounded(ds.table_one(df, "condition_group", CATEGORICAL, CONTINUOUS, LABELS, discrete=CONTINUOUS), "pct", "mean", "sd")
 
 
 @query("d1_table_one", "D1 D2 A13", _table_sql("condition_group", "long_frame"))

@@ -82,25 +82,33 @@ def _(q: Context):
 # Sort and limit
 
 
+def _placed(df):
+    """Finished rows with the place they come in."""
+    rows = df.coalesce(1).withColumn("_at", F.monotonically_increasing_id())
+    return rows.select((F.col("_at") + 1).alias("place"), *df.columns)
+
+
 @query(
     "l2_top_persons",
     "L2 L1 C24",
-    "select person_id, count(*) as n from observation group by person_id order by n desc, person_id limit 20",
+    """select row_number() over (order by n desc, person_id) as place, * from (
+           select person_id, count(*) as n from observation group by person_id order by n desc, person_id limit 20) t""",
 )
 def _(q: Context):
-    return pr.top_k(q.t.observation, "person_id", 20)
+    return _placed(pr.top_k(q.t.observation, "person_id", 20))
 
 
 @query(
     "l3_earliest_measurements",
     "L3",
-    """select person_id, measurement_concept_id, measurement_date from measurement where measurement_concept_id = 2
-       order by measurement_date, person_id limit 100""",
+    """select row_number() over (order by measurement_date, person_id) as place, * from (
+           select person_id, measurement_concept_id, measurement_date from measurement where measurement_concept_id = 2
+           order by measurement_date, person_id limit 100) t""",
 )
 def _(q: Context):
     picked = q.t.measurement.filter(F.col("measurement_concept_id") == 2)
     rows = pr.earliest_rows(picked, "measurement_date", ["person_id"], 100)
-    return rows.select("person_id", "measurement_concept_id", "measurement_date")
+    return _placed(rows.select("person_id", "measurement_concept_id", "measurement_date"))
 
 
 @query(
@@ -148,9 +156,13 @@ def _by_state(q: Context):
     return rs.pivot_counts(people, "state", "has_b", [0, 1], ["without_b", "with_b"])
 
 
-@query("l5_state_by_flag_sorted", "L5 D7 A10 P20", _STATE)
+@query(
+    "l5_state_by_flag_sorted",
+    "L5 D7 A10 P20",
+    f"select row_number() over (order by without_b + with_b desc, state) as place, * from ({_STATE}) s",
+)
 def _(q: Context):
-    return rs.sort_by_row_total(_by_state(q), ["without_b", "with_b"], "state")
+    return _placed(rs.sort_by_row_total(_by_state(q), ["without_b", "with_b"], "state"))
 
 
 @query("a10_row_totals", "A10 R1", f"select *, without_b + with_b as total from ({_STATE}) s")
@@ -226,14 +238,14 @@ def _(q: Context):
     "d3_service_histogram",
     "D3",
     """with ends as (select min(n) as lo, max(n) as hi from service_counts)
-       select cast(least(floor((s.n - e.lo) / 5.0), greatest(ceil((e.hi - e.lo) / 5.0) - 1, 0)) as bigint) as bin,
-              cast(e.lo + 5 * least(floor((s.n - e.lo) / 5.0), greatest(ceil((e.hi - e.lo) / 5.0) - 1, 0)) as double)
+       select cast(least(floor((s.n - e.lo) / 1.0), greatest(ceil((e.hi - e.lo) / 1.0) - 1, 0)) as bigint) as bin,
+              cast(e.lo + 1 * least(floor((s.n - e.lo) / 1.0), greatest(ceil((e.hi - e.lo) / 1.0) - 1, 0)) as double)
                   as bin_start,
               count(*) as n
        from service_counts s, ends e group by 1, 2""",
 )
 def _(q: Context):
-    return histogram(pr.services_per_person(q.staged_cohort, q.services), "n", 5)
+    return histogram(pr.services_per_person(q.staged_cohort, q.services), "n", 1)
 
 
 @query(

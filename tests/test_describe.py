@@ -28,11 +28,11 @@ def test_percentiles_of_a_continuous_column_are_exact(spark):
     )
     df = df.withColumn("x", F.when(F.rand(3) < 0.05, F.lit(17.0)).otherwise(F.col("x"))).cache()
     points, names = [0, 0.25, 0.5, 0.75, 1], ["a", "b", "c", "d", "e"]
-    folded = ds.percentiles(df, ["g"], "x", points, names, continuous=True, large=100)
+    folded = ds.percentiles(df, ["g"], "x", points, names, large=100)
     for r in folded.collect():
         x = np.array([v.x for v in df.filter(F.col("g") == r.g).select("x").collect()])
         assert np.allclose([r[n] for n in names], np.quantile(x, points), rtol=1e-12)
-    whole = ds.percentiles(df, [], "x", [0.5], ["m"], continuous=True, large=100).first().m
+    whole = ds.percentiles(df, [], "x", [0.5], ["m"], large=100).first().m
     assert whole == pytest.approx(np.median([v.x for v in df.select("x").collect()]), rel=1e-12)
 
 

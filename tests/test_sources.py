@@ -17,6 +17,7 @@ from indexday.sources import (
     save_stage,
 )
 from indexday.sources.stages import shared_folder
+from indexday.sources.tables import jdbc_options
 
 
 def test_relation_contract(frame):
@@ -108,3 +109,13 @@ def test_stage_is_dropped(spark, frame, tmp_path):
     store.put("two", frame([(2,)], "x int"))
     store.drop("one", "never_written")
     assert not (tmp_path / "one").exists() and rows(store.get("two")) == [(2,)]
+
+
+def test_jdbc_options_per_table():
+    common = {"url": "jdbc:x", "fetchsize": "10"}
+    own = {"partitionColumn": "person_id", "lowerBound": "0", "upperBound": "9", "numPartitions": "4"}
+    merged = jdbc_options("s", "person", common, own | {"fetchsize": "99"})
+    assert merged == {"url": "jdbc:x", "dbtable": "s.person", **own, "fetchsize": "99"}
+    assert jdbc_options("s", "concept", common, {}) == {**common, "dbtable": "s.concept"}
+    with pytest.raises(ValueError, match="person: a partitioned read needs"):
+        jdbc_options("s", "person", common, {"partitionColumn": "person_id"})

@@ -3,6 +3,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
+from indexday.llm import components as components_module
 from indexday.llm import nndescent
 from indexday.llm.components import components
 from indexday.llm.common import prepared
@@ -77,8 +78,9 @@ def test_large_family_is_pieced_together(frame, monkeypatch):
     check(frame(rows, SCHEMA), rows)
 
 
-@pytest.mark.parametrize("n", [1, 50])
-def test_components_of_a_path_a_star_and_a_circle(spark, frame, n):
+@pytest.mark.parametrize(("n", "last"), [(1, 0), (50, 0), (50, 20), (50, 1_000_000)])
+def test_components_of_a_path_a_star_and_a_circle(spark, frame, monkeypatch, n, last):
+    monkeypatch.setattr(components_module, "LAST_EDGES", last)
     edges = [(i, i + 1) for i in range(n)] + [(1000, 1000 + i) for i in range(1, n + 1)] + [(2000 + i, 2000 + (i + 1) % n) for i in range(n)]
     found = components(frame(edges, "a long, b long"), prepared(spark)).collect()
     want = {i: 0 for i in range(n + 1)} | {1000 + i: 1000 for i in range(n + 1)} | ({2000 + i: 2000 for i in range(n)} if n > 1 else {})

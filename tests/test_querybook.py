@@ -20,7 +20,7 @@ CHECKED = [
     "c1_concept_expansion", "c2_qualifying_events", "c3_confirmed_persons", "c7_cohort", "c14_feature_matrix",
     "c15_coverage_at_index", "c16_visits_by_specialty", "c17_service_split", "c19_discharge_counts",
     "c20_first_day_events", "c21_funnel", "w2_day_rank", "l5_state_by_flag_sorted", "j16_model_frame",
-    "s4_written_stage", "s5_preview", "s6_covariate_file", "l2_top_persons", "l3_earliest_measurements", "c4_observed_cohort",
+    "s4_written_stage", "s5_preview", "s6_covariate_file", "l2_top_persons", "l3_earliest_measurements", "c4_observed_persons",
     "a13_measure_percentiles", "f4_crosstab_test", "m3_two_group_model", "m7_contrast_model",
     "d1_table_one_total", "d3_service_histogram", "d4_box_stats", "u4_overlap_regions", "m10_chi_squared",
 ]

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import base64
-import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,9 +18,11 @@ from pyspark.sql import functions as F
 from indexday.llm.common import prepared
 from indexday.sources import StageStore
 
-BUNDLE_CHARS = 12 * 1024 * 1024
+BUNDLE_CHARS = 8 * 1024 * 1024
 BUNDLE_DOCS = 60_000
-SLICE_WORDS = 200_000
+KNOWN_WORDS = 300_000
+WORDS_AT_ONCE = 100_000
+DOCS_AT_ONCE = 64
 
 # White space as Unicode defines it, which is what \s means to the library's pattern. Every match of the
 # pattern that reaches from a character into white space starts there, so a word is taken with the white
@@ -126,13 +128,12 @@ def _encode_words(ranks: dict[bytes, int], pattern: str):
                     start = end
                     own = known.get(word)
                     if own is None:
-                        if len(known) >= 4 * SLICE_WORDS:
+                        if len(known) >= KNOWN_WORDS:
                             known.clear()
-                        own = known[word] = encode(word.decode())
+                        own = known[word] = array("I", encode(word.decode())).tobytes()
                     ids.append(own)
-                sizes = np.array([len(x) for x in ids], np.int64)
-                flat = np.fromiter((i for x in ids for i in x), np.int64, int(sizes.sum()))
-                out.append(_planes(np.concatenate([[n], sizes, flat])))
+                sizes = np.fromiter(map(len, ids), np.int64, n) // 4
+                out.append(_planes(np.concatenate([[n], sizes, np.frombuffer(b"".join(ids), np.uint32)])))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("bundle"), batch.column("slice"), pa.array(out, pa.binary())], ["bundle", "slice", "ids"]
             )
@@ -163,26 +164,34 @@ def _reassemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 flat.append(got[m + 1 :])
                 held += len(flat[-1])
             flat = np.concatenate(flat).astype(np.int32) if flat else np.zeros(0, np.int32)
-            ids = flat[_ragged(starts[stream], sizes[stream])]
             words = batch.column("counts")[i].values.to_numpy()
-            before = np.concatenate([[0], np.cumsum(sizes[stream])])
-            offsets = before[np.concatenate([[0], np.cumsum(words)])]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("keys")[i].values, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))],
-                ["key", "ids"],
-            )
+            keys, ends = batch.column("keys")[i].values, np.cumsum(words)
+            first = 0
+            while first < len(words):  # documents of some words at a time
+                begin = ends[first] - words[first]
+                last = max(first + 1, int(np.searchsorted(ends, begin + WORDS_AT_ONCE, "right")))
+                part = stream[begin : ends[last - 1]]
+                before = np.concatenate([[0], np.cumsum(sizes[part])])
+                offsets = before[np.concatenate([[0], ends[first:last] - begin])]
+                ids = pa.array(flat[_ragged(starts[part], sizes[part])])
+                yield pa.RecordBatch.from_arrays(
+                    [keys.slice(first, last - first), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), ids)],
+                    ["key", "ids"],
+                )
+                first = last
 
 
 def encode(
     docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text",
-    store: StageStore | None = None,
+    store: StageStore | None = None, with_bytes: bool = False,
 ) -> DataFrame:
     """(id_col, ids): one row for every row of ``docs``, each match of ``pattern`` merged by ``ranks``.
 
     Texts fall into words at white space. A task numbers the words of some documents (a bundle), keeps the
     numbers in order of position, and deals the bundle's distinct words out by their hash, so a word that is
     in every document costs one entry per bundle. A slice encodes each distinct word once. The ids return to
-    the bundle, whose word numbers put them in place.
+    the bundle, whose word numbers put them in place. ``with_bytes`` adds ``decoded`` as :func:`decode` does, in
+    the same worker.
 
     Null and empty texts have no ids. Repeated rows and ids give a row each, a null id stays null; other
     columns are not read. An empty table gives no rows.
@@ -199,7 +208,11 @@ def encode(
     found = found.groupBy("bundle").agg(F.collect_list(F.struct("slice", "ids")).alias("found"))
     numbers = bundles.filter("slice < 0").select("bundle", "keys", "counts", "data")
     joined = numbers.join(found, "bundle", "left").select("keys", "counts", "data", "found")
-    return joined.mapInArrow(_reassemble, "key long, ids array<int>").withColumnRenamed("key", id_col)
+    if not with_bytes:
+        return joined.mapInArrow(_reassemble, "key long, ids array<int>").withColumnRenamed("key", id_col)
+    to_bytes = _decode(ranks, 1)
+    both = joined.mapInArrow(lambda batches: to_bytes(_reassemble(batches)), "key long, ids array<int>, decoded binary")
+    return both.withColumnRenamed("key", id_col)
 
 
 def _decode(ranks: dict[bytes, int], ids_at: int):
@@ -212,7 +225,7 @@ def _decode(ranks: dict[bytes, int], ids_at: int):
     starts = np.cumsum(sizes) - sizes
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, DOCS_AT_ONCE) for b in batches for i in range(0, b.num_rows, DOCS_AT_ONCE)):
             lists = batch.column(ids_at)
             ids, offsets = lists.flatten().to_numpy(), lists.offsets.to_numpy()
             data = blob[_ragged(starts[ids], sizes[ids])]
@@ -239,24 +252,11 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids") ->
     return filled.mapInArrow(_decode(ranks, encoded.columns.index(ids_col)), f"{schema}, decoded binary")
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = list(map(str, range(1 << 16)))
-    for batch in batches:
-        found = []
-        for own in batch.column("ids"):
-            ids = own.values.to_numpy()
-            known = ids.max(initial=0) < len(names)
-            text = ",".join([names[i] for i in ids.tolist()] if known else map(str, ids.tolist()))
-            found.append((len(ids), hashlib.sha256(text.encode()).hexdigest()))
-        decoded = [hashlib.sha256(x.as_py()).hexdigest() for x in batch.column("decoded")]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([n for n, _ in found], pa.int64()),
-             pa.array([d for _, d in found], pa.string()), pa.array(decoded, pa.string())],
-            ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-        )
-
-
 def digests(decoded: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of decoded documents: ids as decimals joined by commas."""
-    rows = decoded.select("doc_id", "ids", "decoded")
-    return rows.mapInArrow(_digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

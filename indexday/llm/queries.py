@@ -52,8 +52,8 @@ def op3_huffman_ids(spark, sf_dir):
 @query("op7_byte_bpe")
 def op7_byte_bpe(spark, sf_dir):
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    ids = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return bpe.digests(bpe.decode(ids, ranks))
+    docs = table(spark, sf_dir, "documents")
+    return bpe.digests(bpe.encode(docs, ranks, public_tokenizers.PATTERN, with_bytes=True))
 
 
 SHARDS = 24

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import re
+import uuid
 from array import array
 from collections.abc import Iterator
 
@@ -202,7 +203,11 @@ def encode(
     slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).cast("string").alias("text"))
     schema = "bundle long, slice int, keys array<long>, counts array<long>, data binary"
-    bundles = store.put("bundles", rows.mapInArrow(_bundle(slices), schema))
+    bundles = rows.mapInArrow(_bundle(slices), schema)
+    # Bucketed by bundle, so that the word numbers meet their ids without being shuffled.
+    name = f"bundles_{uuid.uuid4().hex}"
+    bundles.write.bucketBy(slices, "bundle").option("path", store.target("bundles")).saveAsTable(name)
+    bundles = spark.table(name)
     words = bundles.filter("slice >= 0").select("bundle", "slice", "keys", "data").repartition(slices, "slice")
     found = words.mapInArrow(_encode_words(ranks, pattern), "bundle long, slice int, ids binary")
     found = found.groupBy("bundle").agg(F.collect_list(F.struct("slice", "ids")).alias("found"))

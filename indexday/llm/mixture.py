@@ -213,14 +213,14 @@ def _draw(spark, plan: DataFrame, shard_slots: int, seed: int, store) -> DataFra
     total = plan.agg(F.sum("slots")).first()[0] or 0
     running = Window.orderBy("source_no")
     shares = plan.select("source_no", F.sum("slots").over(running).alias("upto"))
-    wheel = shares.agg(F.sort_array(F.collect_list(F.struct("upto", "source_no"))).alias("wheel")).withColumn("one", F.lit(1))
+    # One value: an entry per source.
+    wheel = shares.agg(F.sort_array(F.collect_list(F.struct("upto", "source_no"))).alias("wheel"))
     point = F.pmod(F.xxhash64(F.lit(seed), F.lit("slot"), "id"), F.lit(UNIT)).cast("double") / F.lit(float(UNIT)) * F.lit(float(total))
     slots = spark.range(total).select(
         "id", F.expr(f"id div {shard_slots}").alias("shard"), F.expr(f"id % {shard_slots}").alias("slot"),
-        point.alias("point"), F.lit(1).alias("one"),
+        point.alias("point"),
     )
-    # The wheel is one row, one entry per source.
-    spun = slots.join(F.broadcast(wheel), "one")
+    spun = slots.withColumn("wheel", wheel.scalar())
     under = F.size(F.filter("wheel", lambda w: w["upto"] <= F.col("point")))
     drawn = spun.select("id", "shard", "slot", F.get(F.col("wheel"), F.least(under, F.size("wheel") - 1))["source_no"].alias("source_no"))
     drawn = store.put("mixture_drawn", drawn)

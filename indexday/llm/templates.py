@@ -18,6 +18,7 @@ MIN_PAGES = 8
 MIN_SHARE = 0.5
 LABEL_WORDS = 12
 POOL = "*"
+POOL_PAGES = 100_000
 HELD_COUNTS = 1_000_000
 LOW = (1 << 32) - 1
 
@@ -257,15 +258,18 @@ def deduce(pages: DataFrame) -> DataFrame:
     counted again on all pages: tokens with equal occurrence vectors form an equivalence class. A class is
     valid if its tokens take turns in one order on all pages; the class on most pages with most tokens, each
     once a page, is the root, and classes that stay in one of the root's slots nest there. The slots with text
-    inside the article's container are the ones to extract. Hosts of fewer than 8 pages share one group.
+    inside the article's container are the ones to extract. Hosts of fewer than 8 pages share groups of about
+    100,000 pages.
 
     All counts are sums added up before they are shuffled, so a host with most pages costs no more than another;
     what is gathered per host is its template, bounded by a page.
     """
     store = prepared(pages.sparkSession)
     pages = pages.select(host("url").alias("host"), F.col("html").cast("string").alias("html"))
-    hosts = pages.groupBy("host").agg(F.count("*").alias("n"))
-    hosts = hosts.select("host", F.when(F.col("n") < MIN_PAGES, F.lit(POOL)).otherwise(F.col("host")).alias("group"))
+    counts = store.put("host_counts", pages.groupBy("host").agg(F.count("*").alias("n")))
+    small = counts.filter(F.col("n") < MIN_PAGES).agg(F.sum("n")).first()[0] or 0
+    pool = F.concat(F.lit(POOL), F.pmod(F.xxhash64("host"), F.lit(1 + small // POOL_PAGES)).cast("string"))
+    hosts = counts.select("host", F.when(F.col("n") < MIN_PAGES, pool).otherwise(F.col("host")).alias("group"))
     hosts = store.put("hosts", hosts)
     frequent = pages.mapInArrow(_frequent_here, "host string, role string").join(hosts, "host")
     roles = frequent.groupBy("group").agg(F.collect_set("role").alias("roles"))

@@ -96,9 +96,9 @@ class Mixture:
             F.sum(F.col("to_word") - F.col("from_word")).alias("in_copy"),
         )
         words = F.regexp_extract_all(F.col(text_col), F.lit(WORD), F.lit(0))
-        cut = F.concat_ws(
-            " ", F.flatten(F.transform("spans", lambda s: F.slice(words, s["from_word"] + 1, s["to_word"] - s["from_word"])))
-        )
+        # The words are bound once: an expression inside a lambda would be worked out for every span.
+        piece = lambda w: F.transform("spans", lambda s: F.slice(w, s["from_word"] + 1, s["to_word"] - s["from_word"]))
+        cut = F.transform(F.array(words), lambda w: F.concat_ws(" ", F.flatten(piece(w))))[0]
         joined = self.rows.join(spans, "row_at")
         joined = joined.withColumn("whole", F.col("in_copy") == F.col("size"))
         return joined.withColumn(text_col, F.when(F.col("whole"), F.col(text_col)).otherwise(cut)).drop("spans", "in_copy")

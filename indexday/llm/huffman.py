@@ -275,14 +275,36 @@ def write_ids(
     return IdFiles(store)
 
 
-_MEMORY: dict[str, dict[str, bytes]] = {}
-KNOWN_WORDS = 600_000
+KNOWN_WORDS = 500_000
+DOCS_AT_ONCE = 64
 PIECES = 4096
 
 
-def _memory(key: str) -> dict[str, bytes]:
-    """What this worker knows of a tokenizer, kept from one task to the next."""
-    return _MEMORY.setdefault(key, {})
+class _Memory:
+    """Words and their ids: those used of late and those used before, which go when the former are full."""
+
+    def __init__(self):
+        self.late: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def learn(self, words: set[str], encode: Callable[[list[str]], Iterator[bytes]]) -> dict[str, bytes]:
+        """Ids of all ``words``, each encoded only if it is not remembered."""
+        if len(self.late) + len(words) > KNOWN_WORDS:
+            self.late, self.before = {}, self.late
+        missing = words.difference(self.late)
+        known = missing.intersection(self.before)
+        self.late.update((w, self.before[w]) for w in known)
+        new = list(missing.difference(known))
+        self.late.update(zip(new, encode(new), strict=True))
+        return self.late
+
+
+_MEMORIES: dict[str, _Memory] = {}
+
+
+def _memory(key: str) -> _Memory:
+    """What this worker remembers of a tokenizer from one task to the next."""
+    return _MEMORIES.setdefault(key, _Memory())
 
 
 def tokenizer(path: str, words: str | None = None) -> Callable[[], Callable[[list[str]], Iterator[bytes]]]:
@@ -308,15 +330,12 @@ def tokenizer(path: str, words: str | None = None) -> Callable[[], Callable[[lis
                     yield np.array(found.ids, "<u4").tobytes()
 
         def by_word(texts: list[str]) -> Iterator[bytes]:
-            known = _memory(key)
-            for one in texts:
-                found = pattern.findall(one)
-                new = list(set(found).difference(known))
-                if len(known) + len(new) > KNOWN_WORDS:
-                    known.clear()
-                    new = list(set(found))
-                known.update(zip(new, whole(new), strict=True))
-                yield b"".join(map(known.__getitem__, found))
+            memory = _memory(key)
+            for start in range(0, len(texts), DOCS_AT_ONCE):
+                found = [pattern.findall(t) for t in texts[start : start + DOCS_AT_ONCE]]
+                known = memory.learn(set().union(*found), whole)
+                for own in found:
+                    yield b"".join(map(known.__getitem__, own))
 
         pattern = re.compile(words) if words else None
         return by_word if words else whole

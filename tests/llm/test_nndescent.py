@@ -85,3 +85,20 @@ def test_components_of_a_path_a_star_and_a_circle(spark, frame, monkeypatch, n,
     found = components(frame(edges, "a long, b long"), prepared(spark)).collect()
     want = {i: 0 for i in range(n + 1)} | {1000 + i: 1000 for i in range(n + 1)} | ({2000 + i: 2000 for i in range(n)} if n > 1 else {})
     assert {r.id: r.component for r in found} == want
+
+
+def test_recall_is_told_by_family_size(frame):
+    big = [(a, b, 1.0) for a in range(30) for b in range(30) if a != b]
+    pairs = [p for i in range(3) for p in [(100 + 2 * i, 101 + 2 * i, 1.0), (101 + 2 * i, 100 + 2 * i, 1.0)]]
+    truth, labels = frame(big + pairs, "id long, other long, sim float"), frame([(i, 0) for i in range(30)], "id long, component long")
+    assert nndescent._recall(truth, labels) == 0.0  # all pairs taken together: 0.993
+    found = frame([(i, 0) for i in range(30)] + [(i, i // 2 * 2) for i in range(100, 106)], "id long, component long")
+    assert nndescent._recall(truth, found) == 1.0
+
+
+def test_missed_recall_raises(frame, monkeypatch):
+    kept = nndescent._kept
+    monkeypatch.setattr(nndescent, "ROUNDS", 2)
+    monkeypatch.setattr(nndescent, "_kept", lambda *args: kept(*args).filter("false"))
+    with pytest.raises(RuntimeError, match="recall"):
+        near_duplicates(frame([(i, [1.0, i / 1000]) for i in range(20)], SCHEMA))

@@ -21,9 +21,10 @@ ORDERS = 4
 SIGNS = 12
 LEAF = 256
 NEIGHBOURS = 10
-GIVEN = 4
+SAMPLED = 16
 DESCENTS = 2
 ROUNDS = 16
+QUIET = 2
 AUDITED = 512
 RECALL = 0.98
 BLOCK = 2048
@@ -69,44 +70,54 @@ def _matrix(column: pa.Array, kind=np.float64) -> np.ndarray:
 
 
 def _signatures(seed: int):
-    """Places of each vector in some random orders: signs against hyperplanes, then the value along a direction."""
+    """Places of each vector in some random orders: signs against hyperplanes, then the value along a direction. Those
+    with ``few`` stand in as many further orders, which only they are in."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            units = _matrix(batch.column("unit"))
-            n, wide = units.shape
-            columns: list[list] = [[], [], [], [], []]
-            for order in range(ORDERS):
+            everyone = _matrix(batch.column("unit"))
+            wide = everyone.shape[1]
+            few = np.flatnonzero(batch.column("few").to_numpy(zero_copy_only=False).astype(bool))
+            columns: list[list] = [[], [], [], [], [], []]
+            for order in range(2 * ORDERS):
+                own = np.arange(len(everyone)) if order < ORDERS else few
+                units, n = everyone[own], len(own)
                 planes = np.stack([np.random.default_rng([seed, order, i]).standard_normal(SIGNS + 1) for i in range(wide)])
                 values = units @ planes
                 signs = (values[:, :SIGNS] > 0) @ (1 << np.arange(SIGNS))
-                for c, x in zip(columns, ([order] * n, signs, values[:, SIGNS], batch.column("id"), batch.column("unit")), strict=True):
+                rest = [batch.column(c).take(pa.array(own)) for c in ("id", "component", "unit")]
+                for c, x in zip(columns, (np.full(n, order), signs, values[:, SIGNS], *rest), strict=True):
                     c.append(x)
             types = [pa.int32(), pa.int64(), pa.float64()]
             arrays = [pa.array(np.concatenate(c), t) for c, t in zip(columns, types, strict=False)]
             yield pa.RecordBatch.from_arrays(
-                [*arrays, *(pa.concat_arrays(c) for c in columns[3:])], ["order", "signs", "along", "id", "unit"]
+                [*arrays, *(pa.concat_arrays(c) for c in columns[3:])], ["order", "signs", "along", "id", "component", "unit"]
             )
 
     return scan
 
 
-def _top(sims: np.ndarray, k: int) -> np.ndarray:
-    """The k best columns of each row."""
-    k = min(k, sims.shape[1])
-    return np.argpartition(-sims, k - 1, axis=1)[:, :k]
+def _best(sims: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, value) of the best allowed columns of each row."""
+    sims = np.where(allowed, sims, -2)
+    k = min(NEIGHBOURS, sims.shape[1])
+    best = np.argpartition(-sims, k - 1, axis=1)[:, :k]
+    row, col = np.repeat(np.arange(len(sims)), k), best.ravel()
+    good = allowed[row, col]
+    return row[good], col[good], sims[row[good], col[good]]
 
 
-def _pairs(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    kinds = (np.int64, np.int64, np.float32)
+def _batch(found: list[tuple[np.ndarray, ...]], kinds=(np.int64, np.int64, np.float32, np.bool_)) -> pa.RecordBatch:
     columns = [np.concatenate([np.zeros(0, k), *(f[i] for f in found)]).astype(k) for i, k in enumerate(kinds)]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["id", "other", "sim"])
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["id", "other", "sim", "across"][: len(kinds)])
 
 
 def _leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """First neighbours: the best among the vectors near in an order, leaf by leaf, leaves overlapping by half."""
+    """First neighbours: the best, inside and outside the own component, among the vectors near in an order, leaf by
+    leaf, leaves overlapping by half."""
     for batch in batches:
         orders, ids, units = batch.column("order").to_numpy(), batch.column("id").to_numpy(), _matrix(batch.column("unit"), np.float32)
+        components_ = batch.column("component").to_numpy()
         found = []
         for order in np.unique(orders):
             own = np.flatnonzero(orders == order)
@@ -115,67 +126,69 @@ def _leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if len(leaf) < 2:
                     continue
                 sims = units[leaf] @ units[leaf].T
-                np.fill_diagonal(sims, -2)
-                best = _top(sims, min(NEIGHBOURS, len(leaf) - 1))
-                rows = np.repeat(np.arange(len(leaf)), best.shape[1])
-                found.append((ids[leaf[rows]], ids[leaf[best.ravel()]], sims[rows, best.ravel()]))
-        yield _pairs(found)
+                apart = components_[leaf][:, None] != components_[leaf]
+                for across, allowed in ((True, apart), (False, ~apart & ~np.eye(len(leaf), dtype=bool))):
+                    row, col, sim = _best(sims, allowed)
+                    found.append((ids[leaf[row]], ids[leaf[col]], sim, np.full(len(row), across)))
+        yield _batch(found)
 
 
 def _local_join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Neighbours of a hub meet each other: each member's best that beat its worst neighbour so far."""
+    """Neighbours of a hub meet each other: each member's best that beat its worst neighbour so far, inside and
+    outside its component."""
     for batch in batches:
         found = []
         for members in batch.column("members"):
             rows = members.values
-            ids, worst = rows.field("id").to_numpy(), rows.field("worst").to_numpy(zero_copy_only=False)
+            ids, components_ = rows.field("id").to_numpy(), rows.field("component").to_numpy()
             if len(ids) < 2:
                 continue
             units = _matrix(rows.field("unit"), np.float32)
             sims = units @ units.T
-            np.fill_diagonal(sims, -2)
-            best = _top(sims, min(GIVEN, len(ids) - 1))
-            at = np.repeat(np.arange(len(ids)), best.shape[1])
-            other, sim = best.ravel(), sims[at, best.ravel()]
-            good = (sim > worst[at]) & (ids[at] != ids[other])
-            found.append((ids[at[good]], ids[other[good]], sim[good]))
-        yield _pairs(found)
+            apart = components_[:, None] != components_
+            for across, allowed in ((True, apart), (False, ~apart & (ids[:, None] != ids))):
+                worst = rows.field("outside" if across else "inside").to_numpy(zero_copy_only=False)
+                row, col, sim = _best(sims, allowed & (sims > worst[:, None]))
+                found.append((ids[row], ids[col], sim, np.full(len(row), across)))
+        yield _batch(found)
 
 
 PAIR = "id long, other long, sim float"
+LISTED = f"{PAIR}, across boolean"
 
 
-def _kept(pairs: DataFrame, room: DataFrame | None) -> DataFrame:
-    """The best neighbours of each vector, as many as it has room for."""
-    best = Window.partitionBy("id").orderBy(F.desc("sim"), "other")
-    pairs = pairs.groupBy("id", "other").agg(F.max("sim").alias("sim"))
-    if room is None:
-        return pairs.withColumn("at", F.row_number().over(best)).filter(F.col("at") <= NEIGHBOURS).drop("at")
-    ranked = pairs.join(room, "id", "left").withColumn("at", F.row_number().over(best))
-    return ranked.filter(F.col("at") <= F.coalesce("room", F.lit(NEIGHBOURS))).drop("at", "room")
+def _kept(pairs: DataFrame) -> DataFrame:
+    """The best neighbours of each vector inside and outside its component."""
+    best = Window.partitionBy("id", "across").orderBy(F.desc("sim"), "other")
+    pairs = pairs.groupBy("id", "other", "across").agg(F.max("sim").alias("sim")).select("id", "other", "sim", "across")
+    return pairs.withColumn("at", F.row_number().over(best)).filter(F.col("at") <= NEIGHBOURS).drop("at")
 
 
-def _room(graph: DataFrame, threshold: float) -> DataFrame:
-    """Vectors whose lists are full of links get lists twice as long."""
-    full = graph.groupBy("id").agg(F.min("sim").alias("worst"), F.count("*").alias("n")).filter(
-        (F.col("worst") >= threshold) & (F.col("n") >= NEIGHBOURS)
-    )
-    return full.select("id", (F.col("n") * 2).alias("room"))
+def _named_anew(graph: DataFrame, active: DataFrame) -> DataFrame:
+    """The lists of a round by the components of the next."""
+    own = active.select("id", "component")
+    others = active.select(F.col("id").alias("other"), F.col("component").alias("other_component"))
+    pairs = graph.select("id", "other", "sim").join(own, "id").join(others, "other")
+    return pairs.select("id", "other", "sim", (F.col("component") != F.col("other_component")).alias("across"))
 
 
-def _descend(graph: DataFrame, units: DataFrame) -> DataFrame:
-    """One join of neighbours with neighbours' neighbours, by hub: its list, and the best that list it."""
-    back = Window.partitionBy("id").orderBy(F.desc("sim"), "other")
+def _descend(graph: DataFrame, active: DataFrame) -> DataFrame:
+    """One join of neighbours with neighbours' neighbours, by hub: its lists, and the best that list it."""
+    back = Window.partitionBy("id", "across").orderBy(F.desc("sim"), "other")
     forward = graph.select("id", "other")
-    reverse = graph.select(F.col("other").alias("id"), F.col("id").alias("other"), "sim")
+    reverse = graph.select(F.col("other").alias("id"), F.col("id").alias("other"), "sim", "across")
     reverse = reverse.withColumn("at", F.row_number().over(back)).filter(F.col("at") <= NEIGHBOURS).select("id", "other")
-    worst = graph.groupBy("id").agg(F.min("sim").alias("worst"), F.count("*").alias("n"))
-    worst = worst.select("id", F.when(F.col("n") >= NEIGHBOURS, F.col("worst")).otherwise(F.lit(-2.0)).cast("float").alias("worst"))
-    known = units.select("id", "unit").join(worst, "id", "left").withColumn("worst", F.coalesce("worst", F.lit(-2.0).cast("float")))
-    seats = forward.unionAll(reverse).unionAll(units.select("id", F.col("id").alias("other"))).distinct()
+    worst = graph.groupBy("id", "across").agg(F.min("sim").alias("worst"), F.count("*").alias("n")).filter(F.col("n") >= NEIGHBOURS)
+    worst = worst.groupBy("id").agg(
+        F.max(F.when(~F.col("across"), F.col("worst"))).alias("inside"), F.max(F.when(F.col("across"), F.col("worst"))).alias("outside")
+    )
+    open_ = {c: F.coalesce(c, F.lit(-2.0)).cast("float") for c in ("inside", "outside")}
+    known = active.select("id", "component", "unit").join(worst, "id", "left").withColumns(open_)
+    seats = forward.unionAll(reverse).unionAll(active.select("id", F.col("id").alias("other"))).distinct()
     seats = seats.select(F.col("id").alias("hub"), F.col("other").alias("id"))
-    hubs = seats.join(known, "id").groupBy("hub").agg(F.collect_list(F.struct("id", "worst", "unit")).alias("members"))
-    return hubs.select("members").mapInArrow(_local_join, PAIR)
+    member = F.struct("id", "component", "unit", "inside", "outside")
+    hubs = seats.join(known, "id").groupBy("hub").agg(F.collect_list(member).alias("members"))
+    return hubs.select("members").mapInArrow(_local_join, LISTED)
 
 
 def _audit(sample: pa.Table, threshold: float):
@@ -187,7 +200,7 @@ def _audit(sample: pa.Table, threshold: float):
             own, others = batch.column("id").to_numpy(), _matrix(batch.column("unit"))
             row, col = np.nonzero(others @ units.T >= threshold)
             there = own[row] != ids[col]
-            yield _pairs([(ids[col[there]], own[row[there]], np.ones(int(there.sum())))])
+            yield _batch([(ids[col[there]], own[row[there]], np.ones(int(there.sum())))], (np.int64, np.int64, np.float32))
 
     return scan
 
@@ -244,10 +257,12 @@ def near_duplicates(
 
     Equal vectors are one. The first neighbours of a vector are the best among those near it in a few random
     orders (signs against hyperplanes); then neighbours of a hub are joined with each other, and who finds
-    better ones than before replaces its worst. A list full of links is doubled. Listed pairs at or above the
-    threshold are checked in double precision and kept as edges. As groups larger than any list stay in pieces,
-    each component found stands with one vector in the next round, with new orders, until no round joins
-    components and the audit is met: 512 vectors chosen by a hash of their id are compared with all. Of each vector's
+    better ones than before replaces its worst. Listed pairs at or above the threshold are checked in double
+    precision and kept as edges. In the next round, with new orders, every vector has a list of its best neighbours
+    inside its component, through which others are reached, and one of its best outside, so a list full of links
+    hides none: they join its component and leave the list. In further orders a component stands with about 16
+    vectors, so that large ones do not fill the leaves. The rounds end when two on end join no components and the
+    audit is met: 512 vectors chosen by a hash of their id are compared with all. Of each vector's
     true links the share within components is taken; its mean must be 0.98 among the vectors with one link, with two
     or three, with four to seven and so on, so large families do not stand for small ones. If that is not reached
     in 16 rounds, an error is raised.
@@ -288,33 +303,46 @@ def _search(units: DataFrame, threshold: float, seed: int, store: StageStore) ->
     if not sample.num_rows:
         return spark.createDataFrame([], "id long, component long"), 1.0
     truth = store.put("truth", units.select("id", "unit").mapInArrow(_audit(sample, threshold), PAIR))
-    edges, labels, active = None, None, units.select("id", "unit")
+    vectors = units.select("id", "unit")
+    active, graph = vectors.select("id", F.col("id").alias("component"), "unit", F.lit(False).alias("few")), None
+    edges, labels, quiet = None, None, 0
     low = threshold - 1e-5  # similarities of the lists are in single precision
     for i in range(ROUNDS):
-        placed = active.mapInArrow(_signatures(seed + i), "order int, signs long, along double, id long, unit binary")
+        placed = active.mapInArrow(
+            _signatures(seed + i), "order int, signs long, along double, id long, component long, unit binary"
+        )
         placed = placed.repartitionByRange(n, "order", "signs", "along").sortWithinPartitions("order", "signs", "along")
-        graph = store.put(f"graph_{i}", _kept(placed.mapInArrow(_leaves, PAIR), None))
+        near = placed.mapInArrow(_leaves, LISTED)
+        graph = store.put(f"graph_{i}", _kept(near if graph is None else near.unionAll(_named_anew(graph, active))))
         for d in range(DESCENTS):
-            better = graph.unionAll(_descend(graph, active))
-            graph = store.put(f"graph_{i}_{d}", _kept(better, _room(graph, low)))
-        near = graph.filter(F.col("sim") >= low).select(F.least("id", "other").alias("id"), F.greatest("id", "other").alias("other")).distinct()
-        both = near.join(units.select("id", "unit"), "id").join(
-            units.select(F.col("id").alias("other"), F.col("unit").alias("unit_b")), "other"
-        )
+            graph = store.put(f"graph_{i}_{d}", _kept(graph.unionAll(_descend(graph, active))))
+        near = graph.filter(F.col("across") & (F.col("sim") >= low))
+        near = near.select(F.least("id", "other").alias("id"), F.greatest("id", "other").alias("other")).distinct()
+        both = near.join(vectors, "id").join(units.select(F.col("id").alias("other"), F.col("unit").alias("unit_b")), "other")
         new = store.put(f"edges_{i}", both.select("id", "other", "unit", "unit_b").mapInArrow(_exact(threshold), "a long, b long"))
         grown = not new.isEmpty()
         if grown or labels is None:
             edges = new if edges is None else edges.unionAll(new)
             labels = store.put(f"labels_{i}", components(edges, store, f"linked_{i}"))
-        if not grown:
+        quiet = 0 if grown else quiet + 1
+        if quiet >= QUIET:
             recall = _recall(truth, labels)
             if recall >= RECALL:
                 return labels, recall
-        pivots = labels.filter("id <> component").select("id")
-        active = store.put(f"active_{i}", units.select("id", "unit").join(pivots, "id", "left_anti"))
+        active = store.put(f"active_{i}", _active(vectors, labels, seed + i))
     raise RuntimeError(f"links still open after {ROUNDS} rounds (recall {_recall(truth, labels):.4f}, wanted {RECALL})")
 
 
+def _active(vectors: DataFrame, labels: DataFrame, seed: int) -> DataFrame:
+    """(id, component, unit, few): ``few`` marks the first vector of each component and about 16 others."""
+    sizes = labels.groupBy("component").agg(F.count("*").alias("m"))
+    drawn = F.pmod(F.xxhash64(F.lit(seed), "id"), F.col("m")) < SAMPLED
+    named = labels.join(broadcast_if_small(sizes), "component").select("id", "component", (drawn | (F.col("id") == F.col("component"))).alias("few"))
+    return vectors.join(named, "id", "left").select(
+        "id", F.coalesce("component", "id").alias("component"), "unit", F.coalesce("few", F.lit(True)).alias("few")
+    )
+
+
 def _recall(truth: DataFrame, labels: DataFrame) -> float:
     """Least mean share of a vector's true links within components, over the classes of vectors with 2^k links or more."""
     a = labels.withColumnRenamed("component", "ca")

@@ -87,6 +87,19 @@ def test_components_of_a_path_a_star_and_a_circle(spark, frame, monkeypatch, n,
     assert {r.id: r.component for r in found} == want
 
 
+def test_families_linked_at_their_borders_only(frame):
+    """Pairs of tight families, first vectors beyond the threshold's angle, with one link between border members."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for size in [30] * 12 + [400]:
+        x, y = np.linalg.qr(rng.standard_normal((32, 2)))[0].T
+        degrees = [*rng.uniform(0, 2, size), 6.0, 10.0, 27.5, 31.0, *rng.uniform(36, 38, size)]
+        for d in degrees:
+            noise = 0.002 * rng.standard_normal(32)
+            rows.append((len(rows), (np.cos(np.radians(d)) * x + np.sin(np.radians(d)) * y + noise).tolist()))
+    check(frame(rows, SCHEMA).repartition(5), rows)
+
+
 def test_recall_is_told_by_family_size(frame):
     big = [(a, b, 1.0) for a in range(30) for b in range(30) if a != b]
     pairs = [p for i in range(3) for p in [(100 + 2 * i, 101 + 2 * i, 1.0), (101 + 2 * i, 100 + 2 * i, 1.0)]]

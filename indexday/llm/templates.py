@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from indexday.llm.common import prepared
 from indexday.llm.markup import CONTENT, INLINE, Piece, clean, pieces
+from indexday.operators.sizing import broadcast_if_small
 
 MIN_PAGES = 8
 MIN_SHARE = 0.5
@@ -45,23 +46,25 @@ def _page_hash(page: str) -> int:
     return xxhash.xxh3_64_intdigest(page)
 
 
-def _frequent_here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens on at least the wanted share of a host's pages in this task; a token that frequent overall is so in some task."""
-    pages: Counter = Counter()
+def _role_hash(role: str) -> int:
+    return xxhash.xxh3_64_intdigest(role) - (1 << 63)
+
+
+def _counts_here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages of this task per group and hash of a token."""
     counts: dict[str, Counter] = defaultdict(Counter)
 
     def flush():
-        found = [(h, t) for h, own in counts.items() for t, n in own.items() if n >= MIN_SHARE * pages[h]]
-        pages.clear()
+        columns = [
+            pa.array([g for g, own in counts.items() for _ in own], pa.string()),
+            *[pa.array([x[i] for own in counts.values() for x in own.items()], pa.int64()) for i in (0, 1)],
+        ]
         counts.clear()
-        return pa.RecordBatch.from_arrays(
-            [pa.array([x[i] for x in found], pa.string()) for i in (0, 1)], ["host", "role"]
-        )
+        return pa.RecordBatch.from_arrays(columns, ["group", "role", "n"])
 
     for batch in batches:
-        for name, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-            pages[name] += 1
-            counts[name].update({role for role, _ in _tokens(page or "")})
+        for group, page in zip(batch.column("group").to_pylist(), batch.column("html").to_pylist(), strict=True):
+            counts[group].update({_role_hash(role) for role, _ in _tokens(page or "")})
         if sum(map(len, counts.values())) > HELD_COUNTS:
             yield flush()
     yield flush()
@@ -91,7 +94,7 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             page = page or ""
             key = _page_hash(page)
             pages[group] += 1
-            counts = Counter(r for r, _ in _tokens(page) if r in known[group])
+            counts = Counter(r for r, _ in _tokens(page) if _role_hash(r) in known[group])
             for role, n in counts.items():
                 own = sums.setdefault((group, role), [0, 0, 0, 0])
                 h = xxhash.xxh3_64_intdigest(n.to_bytes(8, "little"), key)
@@ -262,7 +265,8 @@ def deduce(pages: DataFrame) -> DataFrame:
     100,000 pages.
 
     All counts are sums added up before they are shuffled, so a host with most pages costs no more than another;
-    what is gathered per host is its template, bounded by a page.
+    tokens are gathered, as hashes, only once their pages are known to be half of the group's, so what is gathered
+    per group is bounded by two pages.
     """
     store = prepared(pages.sparkSession)
     pages = pages.select(host("url").alias("host"), F.col("html").cast("string").alias("html"))
@@ -271,8 +275,11 @@ def deduce(pages: DataFrame) -> DataFrame:
     pool = F.concat(F.lit(POOL), F.pmod(F.xxhash64("host"), F.lit(1 + small // POOL_PAGES)).cast("string"))
     hosts = counts.select("host", F.when(F.col("n") < MIN_PAGES, pool).otherwise(F.col("host")).alias("group"))
     hosts = store.put("hosts", hosts)
-    frequent = pages.mapInArrow(_frequent_here, "host string, role string").join(hosts, "host")
-    roles = frequent.groupBy("group").agg(F.collect_set("role").alias("roles"))
+    grouped = pages.join(broadcast_if_small(hosts), "host").select("group", "html")
+    frequent = grouped.mapInArrow(_counts_here, "group string, role long, n long").groupBy("group", "role").agg(F.sum("n").alias("n"))
+    sizes = counts.join(hosts, "host").groupBy("group").agg(F.sum(counts["n"]).alias("total"))
+    frequent = frequent.join(broadcast_if_small(sizes), "group").filter(F.col("n") >= MIN_SHARE * F.col("total"))
+    roles = frequent.groupBy("group").agg(F.collect_list("role").alias("roles"))
     roles = store.put("roles", hosts.join(roles, "group", "left"))
 
     counted = pages.join(roles, "host").select("group", "roles", "html")

@@ -4,6 +4,7 @@ import json
 
 from indexday.llm.markup import clean, pieces
 from indexday.llm.templates import deduce, extract
+from indexday.sources import StageStore
 
 
 def page(i, body, foot="</body></html>"):
@@ -63,6 +64,22 @@ def test_empty(frame):
     assert extract(frame([], "page_id long, url string, html string")).collect() == []
 
 
+def test_only_shared_tokens_of_small_hosts_are_gathered(frame, monkeypatch):
+    rows = [(i, f"http://small{i // 2}/{i}", page(i, "".join(f"<p>{f'word{i}x{j} ' * 20}</p>" for j in range(30)))) for i in range(60)]
+    gathered, put = [], StageStore.put
+
+    def spy(self, name, df, *args, **kwargs):
+        out = put(self, name, df, *args, **kwargs)
+        if name == "roles":
+            gathered.extend(len(r.roles) for r in out.select("roles").distinct().collect())
+        return out
+
+    monkeypatch.setattr(StageStore, "put", spy)
+    found = extract(frame(rows, "page_id long, url string, html string").repartition(7)).collect()
+    assert all(f"word{r.page_id}x29" in r.text and r.text.startswith(f"Title {r.page_id}") for r in found) and len(found) == 60
+    assert gathered and max(gathered) < 100  # a page has about 70 tokens, the group 1,800 paragraphs
+
+
 def test_pieces():
     found = [(p.kind, p.name, p.path, p.cut) for p in pieces('<div id="a>b"><P>x<!-- <p> --></div>y</nav>')]
     assert found[0][:2] == ("open", "div") and ("text", "x", "/div.a.b", False) in found and ("text", "y", "", False) in found

@@ -27,6 +27,8 @@ INLINE = frozenset(
     "strike strong sub sup time tt u var wbr".split()
 )
 CONTENT = frozenset(("article", "main"))
+WHOLE = CONTENT | {"html", "body"}  # never boilerplate by what they are called
+LISTS = frozenset("ul ol dl table figure menu details".split())
 BOILERPLATE = frozenset("head nav footer aside form dialog menu".split())
 BOILERPLATE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu "
@@ -34,6 +36,9 @@ BOILERPLATE_NAMES = frozenset(
     "newsletter subscribe share sharing social related recommended widget toolbar pagination pager login search masthead".split()
 )
 
+# What follows one of these in a class, as in has-sidebar, is not what the element is.
+MODIFIERS = frozenset("has no non not with without hide hides hidden show shows is".split())
+
 
 @dataclass(slots=True)
 class Piece:
@@ -50,6 +55,18 @@ def _names(rest: str) -> list[str]:
     return [w.lower() for value in _NAMED.findall(rest) for w in _PARTS.findall(value)]
 
 
+def _called_boilerplate(rest: str) -> bool:
+    """Whether a class, id or role says that the element is boilerplate, words behind a modifier left out."""
+    for value in _NAMED.findall(rest):
+        for token in value.strip("\"'").split():
+            for word in map(str.lower, _PARTS.findall(token)):
+                if word in MODIFIERS:
+                    break
+                if word in BOILERPLATE_NAMES:
+                    return True
+    return False
+
+
 def pieces(page: str) -> Iterator[Piece]:
     """The tags and texts of a page, comments, scripts and styles left out.
 
@@ -79,7 +96,7 @@ def pieces(page: str) -> Iterator[Piece]:
             said = _names(m["rest"])
             label = "".join(f".{w}" for w in said[:3])
             inside = any(t in CONTENT for t, _, _ in stack)
-            own = name in BOILERPLATE or bool(BOILERPLATE_NAMES.intersection(said)) or (name == "header" and not inside)
+            own = name in BOILERPLATE or (name == "header" and not inside) or (name not in WHOLE and _called_boilerplate(m["rest"]))
             yield Piece("open", name, path, cut or own, f"{path}<{name}{label}>")
             if not m["rest"].rstrip(">").endswith("/"):
                 stack.append((name, f"{path}/{name}{label}", cut or own))

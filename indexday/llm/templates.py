@@ -12,12 +12,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from indexday.llm.common import prepared
-from indexday.llm.markup import CONTENT, INLINE, Piece, clean, pieces
+from indexday.llm.markup import CONTENT, INLINE, LISTS, Piece, clean, pieces
 from indexday.operators.sizing import broadcast_if_small
 
 MIN_PAGES = 8
 MIN_SHARE = 0.5
 LABEL_WORDS = 12
+KEPT_SHARE = 0.9
 POOL = "*"
 POOL_PAGES = 100_000
 HELD_COUNTS = 1_000_000
@@ -167,15 +168,33 @@ def _content_path(path: str) -> str:
 
 
 def _container(texts: list[tuple[str, bool, int]]) -> str | None:
-    """Where the article is: the article or main element, else the container, with the most text outside boilerplate."""
-    content, other = Counter(), Counter()
+    """Where the article is, by the text outside boilerplate: the article or main element with the most, else the
+    smallest container of nearly all, reached by going down from the top while a container has no text of its own
+    and one child, no list or table, keeps nine tenths of what it holds."""
+    content, own, whole = Counter(), Counter(), Counter()
+    children: dict[str, set[str]] = defaultdict(set)
     for path, cut, size in texts:
         if not cut and size:
             content[_content_path(path)] += size
-            other[path] += size
+            own[path] += size
+            parts = path.split("/")
+            for i in range(len(parts)):
+                at = "/".join(parts[: i + 1])
+                whole[at] += size
+                if i:
+                    children["/".join(parts[:i])].add(at)
     content.pop("", None)
-    best = content or other
-    return min(best, key=lambda p: (-best[p], p)) if best else None
+    if content:
+        return min(content, key=lambda p: (-content[p], p))
+    if not whole:
+        return None
+    at = ""
+    while not own[at]:
+        best = min(children[at], key=lambda p: (-whole[p], p))
+        if whole[best] < KEPT_SHARE * whole[at] or best.split("/")[-1].split(".")[0] in LISTS:
+            break
+        at = best
+    return at
 
 
 def _blocks(page: str, template: dict | None) -> list[str]:
@@ -320,7 +339,9 @@ def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars): the main text of every page, by its host's template (:func:`deduce`).
 
     Boilerplate inside a slot (navigation, page headers, footers, asides, forms, and what class, id or role call
-    an advert, a notice, a sidebar, reader comments and the like) is skipped. Character references are
+    an advert, a notice, a sidebar, reader comments and the like) is skipped; html, body, main and article are never
+    boilerplate by such a word, nor is what has the word behind a modifier (has-sidebar). Without an article or main
+    element the text is that of the smallest container that holds nearly all. Character references are
     decoded, white space in a block is one space, blocks are joined in page order by a line feed; a line break
     element is white space. A page on which the template finds nothing is read by its own structure.
 

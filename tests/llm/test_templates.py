@@ -3,7 +3,7 @@ from __future__ import annotations
 import json
 
 from indexday.llm.markup import clean, pieces
-from indexday.llm.templates import deduce, extract
+from indexday.llm.templates import _blocks, _container, deduce, extract
 from indexday.sources import StageStore
 
 
@@ -80,6 +80,25 @@ def test_only_shared_tokens_of_small_hosts_are_gathered(frame, monkeypatch):
     assert gathered and max(gathered) < 100  # a page has about 70 tokens, the group 1,800 paragraphs
 
 
+def test_classes_that_only_mention_boilerplate():
+    for start, end in [
+        ('<body class="has-sidebar"><article>', "</article></body>"), ('<body class="no-banner">', "</body>"),
+        ('<main class="with-sidebar">', "</main>"), ('<article class="widget">', "</article>"), ('<html id="login"><body>', ""),
+        ('<div class="content has-sidebar">', "</div>"),
+    ]:
+        assert _blocks(f'{start}<p>text</p><div class="sidebar">side</div><div class="page-share">s</div>{end}', None) == ["text"]
+
+
+def test_container_holds_the_whole_text():
+    mixed = "<body><div id=content><p>intro</p><ul><li>a much longer list</li></ul><p>end</p></div></body>"
+    assert _blocks(mixed, None) == ["intro", "a much longer list", "end"]
+    sections = "<body><section class=one><p>a longer first part</section><section class=two><p>second</section></body>"
+    assert _blocks(sections, None) == ["a longer first part", "second"]
+    assert _blocks("<div><ul><li>only a list</ul></div>", None) == ["only a list"]
+    outer = _container([("/html/body/div.tail", False, 5), ("/html/body/div.text/section", False, 600), ("/html/body/div.text/ul", False, 400)])
+    assert outer == "/html/body/div.text"
+
+
 def test_pieces():
     found = [(p.kind, p.name, p.path, p.cut) for p in pieces('<div id="a>b"><P>x<!-- <p> --></div>y</nav>')]
     assert found[0][:2] == ("open", "div") and ("text", "x", "/div.a.b", False) in found and ("text", "y", "", False) in found

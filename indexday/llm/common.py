@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from indexday.operators.sizing import planned_bytes
 from indexday.session import tune
 from indexday.sources import StageStore
 
 BATCH_ROWS = 1024
 BATCH_BYTES = 8 * 1024 * 1024
+PIECE_BYTES = 64 * 1024 * 1024
 
 
 def prepared(spark: SparkSession) -> StageStore:
@@ -35,12 +37,20 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def put_in_order(df: DataFrame, order: list[Column], store: StageStore, name: str, row: str = "row_at") -> DataFrame:
+def pieces(source: DataFrame) -> int:
+    """Partitions for the rows of a scan: the session's number, or more where that would make them large."""
+    least = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, (planned_bytes(source) or 0) // PIECE_BYTES)
+
+
+def put_in_order(
+    df: DataFrame, order: list[Column], store: StageStore, name: str, row: str = "row_at", n: int | None = None
+) -> DataFrame:
     """Write ``df`` in the given order and return it with ``row``, its partition and place as one long.
 
     Ranges are cut from a sample of the keys, so hot prefixes are split as long as later keys differ.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     return store.put(name, placed.withColumn(row, F.monotonically_increasing_id()))
 

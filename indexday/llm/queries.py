@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import functions as F
 
@@ -12,9 +14,12 @@ from indexday.llm.hilbert import shard
 from indexday.llm.langid import identify_with_folds
 from indexday.llm.mixture import mix
 from indexday.llm.ngram_join import near_duplicates
+from indexday.llm.runs import periodic_runs
 from indexday.llm.templates import extract
 from indexday.llm.topk import top_k
+from indexday.llm.urlrules import judge
 from indexday.llm.warc import capture_log, resolve
+from indexday.llm.whitening import whiten
 
 
 @query(
@@ -143,3 +148,65 @@ def op6_revisits(spark, sf_dir):
         F.col("headers")["date"].alias("date"),
         F.col("headers")["etag"].alias("etag"),
     )
+
+
+def repeated_words(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of a document; every tenth, by a hash of its id, repeats a part of itself to its end.
+
+    A null id changes nothing.
+    """
+    h = zlib.crc32(str(doc_id).encode())
+    n, g = len(words), h // 10
+    if doc_id is None or h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark, sf_dir):
+    found = periodic_runs(table(spark, sf_dir, "documents"), edit=repeated_words)
+    line = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    best = F.col("strongest")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.floor(best["length"] * 1000 / best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+# The rules of the query.
+URL_RULES = """
+    VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+           ('com', '/fr/', 'allow'), ('com', '/de/', 'block')"""
+
+
+@query(
+    "op12_url_rules",
+    sql=rf"""
+    WITH rules(rule_host, rule_path, judged) AS ({URL_RULES}), parts AS (
+        SELECT page_id, row_number() OVER () AS n,
+               coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+               coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+        FROM pages
+    ), fits AS (
+        SELECT *, row_number() OVER (PARTITION BY n ORDER BY length(rule_host || rule_path) DESC, length(rule_host) DESC) AS place
+        FROM parts LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    )
+    SELECT page_id, host, path, rule_host || rule_path AS rule, coalesce(judged, 'allow') AS verdict
+    FROM fits WHERE place = 1""",
+)
+def op12_url_rules(spark, sf_dir):
+    rules = spark.sql(f"SELECT col1 AS host, col2 AS path, col3 AS verdict FROM ({URL_RULES})")
+    return judge(table(spark, sf_dir, "pages"), rules)
+
+
+@query("op13_whitening")
+def op13_whitening(spark, sf_dir):
+    return whiten(table(spark, sf_dir, "embeddings"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import astuple, dataclass, replace
-from math import exp, sqrt
+from math import exp, log, sqrt
 
 import numpy as np
 import pandas as pd
@@ -17,6 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from indexday.functions import chi_squared_tail, normal_two_sided
+from indexday.operators.separation import Separation, find_separation, predictor
 
 # Normal and chi-squared (one degree of freedom) quantiles for 95 % intervals.
 Z_95 = 1.959963984540054
@@ -175,21 +176,88 @@ def fit_terms(rows: DataFrame, terms: Sequence[str], offset: str | None = None)
     return glm.fit(vectors)
 
 
+@dataclass(frozen=True)
+class Fit:
+    """A fit of ``terms`` on ``rows``: all patterns, or those that no separation decides.
+
+    ``model`` is None where no term varies in these rows; ``level`` is then the logit of their outcome, if it has one.
+    """
+
+    rows: DataFrame
+    terms: list[str]
+    model: GeneralizedLinearRegressionModel | None
+    apart: Separation
+    rank: int
+    level: float | None = None
+
+    @property
+    def estimates(self) -> dict[str, float]:
+        if self.model is None:
+            return {} if self.level is None else {INTERCEPT: self.level}
+        return dict(zip([*self.terms, INTERCEPT], [*self.model.coefficients.toArray().tolist(), self.model.intercept]))
+
+    @property
+    def converged(self) -> bool:
+        return self.model is None or self.model.summary.numIterations < MAX_ITERATIONS
+
+    def errors(self) -> dict[str, float]:
+        """Standard errors; none where the fit has no information matrix to invert."""
+        if self.model is None:
+            if self.level is None:
+                return {}
+            return {INTERCEPT: 1 / sqrt(_moments(self.rows, [], np.array([[self.level]]))[0][2][0, 0])}
+        try:
+            # The model summary lists the intercept after the terms.
+            return dict(zip([*self.terms, INTERCEPT], self.model.summary.coefficientStandardErrors))
+        except UnsupportedOperationException:
+            return {}
+
+
+def fit_rows(rows: DataFrame, terms: Sequence[str]) -> Fit:
+    """Fit weighted patterns, which should be cached.
+
+    A fit that ends without convergence or standard errors is tested for separation. If outcomes separate, the
+    coefficients that have no finite estimate are found, and the others come from the rows that no
+    separating direction decides, where the likelihood has its maximum in the limit.
+    """
+    independent = independent_terms(rows, terms)
+    model = fit_terms(rows, independent)
+    first = Fit(rows, independent, model, Separation(), len(independent) + 1)
+    if first.converged and first.errors():
+        return first
+    apart = find_separation(rows, independent, _moments, INTERCEPT)
+    if not apart.directions:
+        return first
+    left = rows.filter(~apart.decides())
+    if left.isEmpty():
+        return Fit(left, [], None, apart, first.rank)
+    rest = independent_terms(left, independent)
+    if rest:
+        return Fit(left, rest, fit_terms(left, rest), apart, first.rank)
+    share = left.agg(F.sum(F.col("label") * F.col("weight")) / F.sum("weight")).first()[0]
+    return Fit(left, [], None, apart, first.rank, log(share / (1 - share)))
+
+
 def fitted_outcome(df: DataFrame, design_: Design) -> DataFrame:
     """Covariate patterns with their weight and the outcome probability a fit gives them.
 
-    The patterns are cached for the fit only.
+    Patterns that a separation decides have the probability 0 or 1 of their outcome. The patterns are cached
+    for the fit only.
     """
     rows = design_.frame(df).persist()
     try:
         if rows.isEmpty():
             return design_.frame(df).withColumn("fitted", F.lit(None).cast("double"))
-        terms = independent_terms(rows, design_.terms)
-        model = fit_terms(rows, terms)
+        fit = fit_rows(rows, design_.terms)
     finally:
         rows.unpersist()
-    vectors = VectorAssembler(inputCols=terms, outputCol="features").transform(design_.frame(df))
-    return model.transform(vectors).withColumnRenamed("prediction", "fitted")
+    patterns = design_.frame(df)
+    if fit.model is None:
+        free = F.lit(None if fit.level is None else 1 / (1 + exp(-fit.level))).cast("double")
+        return patterns.withColumn("fitted", F.when(fit.apart.decides(), F.col("label")).otherwise(free))
+    vectors = VectorAssembler(inputCols=fit.terms, outputCol="features").transform(patterns)
+    fitted = F.when(fit.apart.decides(), F.col("label")).otherwise(F.col("prediction"))
+    return fit.model.transform(vectors).withColumn("fitted", fitted).drop("prediction")
 
 
 @dataclass(frozen=True)
@@ -203,31 +271,24 @@ class Coefficient:
     ci_upper: float | None = None
     interval: str | None = None
     converged: bool = True
+    separated: bool = False
 
 
 COEFFICIENT_SCHEMA = (
     "term string, estimate double, std_error double, z_value double, p_value double, "
-    "ci_lower double, ci_upper double, interval string, converged boolean"
+    "ci_lower double, ci_upper double, interval string, converged boolean, separated boolean"
 )
 
 
-def _wald(model: GeneralizedLinearRegressionModel, fitted: Sequence[str], terms: Sequence[str]) -> list[Coefficient]:
-    """Intercept and terms with Wald limits; a term that was not fitted has none of them.
-
-    The standard errors are missing as a whole when the data separate the outcomes, since the
-    fit then has no information matrix to invert.
-    """
-    estimates = dict(zip([*fitted, INTERCEPT], [*model.coefficients.toArray().tolist(), model.intercept]))
-    try:
-        # The model summary lists the intercept after the terms.
-        errors = dict(zip([*fitted, INTERCEPT], model.summary.coefficientStandardErrors))
-    except UnsupportedOperationException:
-        errors = {}
-    converged = model.summary.numIterations < MAX_ITERATIONS
+def _wald(fit: Fit, terms: Sequence[str]) -> list[Coefficient]:
+    """Intercept and terms with Wald limits; a term that was not fitted or is infinite has none of them."""
+    estimates, errors, converged = fit.estimates, fit.errors(), fit.converged
     out = []
     for term in [INTERCEPT, *terms]:
         b, se = estimates.get(term), errors.get(term)
-        if b is None or not se:
+        if term in fit.apart.infinite:
+            out.append(Coefficient(term, converged=converged, separated=True))
+        elif b is None or not se:
             out.append(Coefficient(term, b, converged=converged))
         else:
             z = b / se
@@ -268,15 +329,26 @@ def _moments(rows: DataFrame, terms: Sequence[str], points: np.ndarray) -> list[
     return [(o[0], o[1 : 1 + size], o[1 + size :].reshape(size, size)) for o in out]
 
 
-def _profile_limits(
+@dataclass(frozen=True)
+class ProfileEnd:
+    """A limit of a term: the point (terms, then the intercept) where the constrained likelihood has fallen far enough."""
+
+    term: str
+    side: str
+    reached: bool
+    limit: float
+    point: tuple[float, ...]
+
+
+def profile_ends(
     rows: DataFrame, terms: Sequence[str], estimates: Sequence[float], wanted: Sequence[str]
-) -> dict[str, tuple[float | None, float | None]]:
+) -> list[ProfileEnd]:
     """Where the deviance, with the term held fixed and the rest refitted, has risen by the 95 % quantile.
 
     Both ends of all terms are sought together. An end is a point where the log-likelihood is
     lower by half the quantile and has no slope in the other terms; Newton steps on these
     equations start from the Wald limit, and a step that does not come nearer is halved. Each
-    step of all ends is one pass. An end not reached within ``MAX_PROFILE_STEPS`` is None.
+    step of all ends is one pass. An end may not be reached within ``MAX_PROFILE_STEPS``.
     """
     centre = np.array(estimates, float)
     best, _, information = _moments(rows, terms, centre[None])[0]
@@ -309,12 +381,58 @@ def _profile_limits(
             trial[i] = points[i] - step
             if sign * (trial[i][j] - centre[j]) <= 0:  # across the estimate lies the other end
                 trial[i] = (points[i] + centre) / 2
-    limits: dict[str, tuple[float | None, float | None]] = {}
-    for k, term in enumerate(wanted):
-        j = terms.index(term)
-        low, high = (float(points[i][j]) if reached[i] else None for i in (2 * k, 2 * k + 1))
-        limits[term] = (low, high)
-    return limits
+    return [
+        ProfileEnd(terms[j], "upper" if sign > 0 else "lower", done, float(point[j]), tuple(point.tolist()))
+        for (j, sign), done, point in zip(ends, reached, points, strict=True)
+    ]
+
+
+def _profile_limits(
+    rows: DataFrame, terms: Sequence[str], estimates: Sequence[float], wanted: Sequence[str]
+) -> dict[str, tuple[float | None, float | None]]:
+    """(lower, upper) by term; a limit that was not reached is None."""
+    found = {(e.term, e.side): e.limit if e.reached else None for e in profile_ends(rows, terms, estimates, wanted)}
+    return {t: (found[t, "lower"], found[t, "upper"]) for t in wanted}
+
+
+def profile_certificate(df: DataFrame, design_: Design) -> DataFrame:
+    """(term, side, limit, reached, beyond, deviance_rise, steepest): the profile limits of a fit, evaluated anew.
+
+    The likelihood and its slopes are added up from the patterns by column expressions, apart from the search
+    that found the limits. At a limit ``deviance_rise`` is the 95 % quantile of chi-squared and ``steepest``, the largest slope
+    in another term (in units of its standard error), is 0: then the rest is at its constrained maximum, and since
+    the likelihood is concave the limit is the profile's. ``beyond`` tells whether it lies on its side of the estimate. Separated
+    terms have no limits and no rows.
+    """
+    spark = df.sparkSession
+    schema = "term string, side string, limit double, reached boolean, beyond boolean, deviance_rise double, steepest double"
+    rows = design_.frame(df).persist()
+    try:
+        fit = None if rows.isEmpty() else fit_rows(rows, design_.terms)
+        errors = {} if fit is None else fit.errors()
+        wanted = [t for t in ([] if fit is None else fit.terms) if errors.get(t) and t not in fit.apart.infinite]
+        if not wanted:
+            return spark.createDataFrame([], schema)
+        centre = list(fit.estimates.values())
+        ends = profile_ends(fit.rows, fit.terms, centre, wanted)
+        points = [centre, *(e.point for e in ends)]
+        names = [*fit.terms, INTERCEPT]
+        eta = F.array(*[predictor(fit.terms, p) for p in points])
+        each = fit.rows.select("label", "weight", *fit.terms, F.lit(1.0).alias(INTERCEPT), F.posexplode(eta).alias("at", "eta"))
+        # log(1 + exp(eta)) without overflow
+        level = F.col("label") * F.col("eta") - F.greatest("eta", F.lit(0.0)) - F.log1p(F.exp(-F.abs("eta")))
+        residual = F.col("weight") * (F.col("label") - 1 / (1 + F.exp(-F.col("eta"))))
+        slopes = [F.sum(residual * F.col(f"`{n}`")).alias(f"slope_{i}") for i, n in enumerate(names)]
+        found = {r["at"]: r for r in each.groupBy("at").agg(F.sum(F.col("weight") * level).alias("level"), *slopes).collect()}
+    finally:
+        rows.unpersist()
+    out = []
+    for i, end in enumerate(ends, 1):
+        steep = [abs(found[i][f"slope_{k}"]) * errors[n] for k, n in enumerate(names) if n != end.term]
+        side = end.limit > fit.estimates[end.term] if end.side == "upper" else end.limit < fit.estimates[end.term]
+        rise = 2 * (found[0]["level"] - found[i]["level"])
+        out.append((end.term, end.side, end.limit, bool(end.reached), bool(side), rise, max(steep, default=0.0)))
+    return spark.createDataFrame(out, schema)
 
 
 def fit_logistic(
@@ -324,22 +442,21 @@ def fit_logistic(
 
     ``interval="profile"`` replaces the Wald limits of the ``profiled`` terms (all but the
     intercept if not given) by profile-likelihood limits; a limit that was not found is None.
-    ``interval`` in the result tells them apart, ``converged`` whether the fit itself has.
+    ``interval`` in the result tells them apart, ``converged`` whether the fit itself has. Where the outcomes separate,
+    coefficients without a finite estimate are ``separated`` and have no figures (see :func:`fit_rows`).
     """
     rows = design_.frame(df).persist()
     try:
         if rows.isEmpty():
             return []
-        fitted = independent_terms(rows, design_.terms)
-        model = fit_terms(rows, fitted)
-        table = _wald(model, fitted, design_.terms)
+        fit = fit_rows(rows, design_.terms)
+        table = _wald(fit, design_.terms)
         if interval == "wald":
             return table
         wanted = [
             c.term for c in table if c.std_error and c.term != INTERCEPT and (profiled is None or c.term in profiled)
         ]
-        estimates = [*model.coefficients.toArray().tolist(), model.intercept]
-        limits = _profile_limits(rows, fitted, estimates, wanted) if wanted else {}
+        limits = _profile_limits(fit.rows, fit.terms, list(fit.estimates.values()), wanted) if wanted else {}
         return [
             replace(c, ci_lower=limits[c.term][0], ci_upper=limits[c.term][1], interval="profile")
             if c.term in limits
@@ -360,13 +477,19 @@ class FitSummary:
 
 
 def fit_summary(df: DataFrame, design_: Design) -> FitSummary:
-    """Rows used, terms estimated (the intercept included), deviances and AIC of a fit."""
+    """Rows used, terms estimated (the intercept included), deviances and AIC of a fit.
+
+    Rows that a separation decides add nothing to the deviance in the limit; their terms count.
+    """
     rows = design_.frame(df).persist()
     try:
-        terms = independent_terms(rows, design_.terms)
-        result = fit_terms(rows, terms).summary
-        n = rows.agg(F.sum("weight")).first()[0]
-        return FitSummary(int(n), len(terms) + 1, result.nullDeviance, result.deviance, result.aic)
+        fit = fit_rows(rows, design_.terms)
+        whole = rows.agg(F.sum("weight").alias("n"), F.sum(F.col("weight") * F.col("label")).alias("treated")).first()
+        share = whole.treated / whole.n
+        null = -2 * sum(n * log(p) for n, p in ((whole.treated, share), (whole.n - whole.treated, 1 - share)) if n)
+        point = np.array([list(fit.estimates.values())])
+        deviance = -2 * _moments(fit.rows, fit.terms, point)[0][0] if point.size else 0.0
+        return FitSummary(int(whole.n), fit.rank, null, deviance, deviance + 2 * fit.rank)
     finally:
         rows.unpersist()
 
@@ -429,6 +552,10 @@ def crosstab_cells(df: DataFrame, predictors: Sequence[str], target: str) -> Dat
 def chi_squared(cells: DataFrame, correct: bool = True) -> DataFrame:
     """Chi-squared statistic and degrees of freedom per predictor from its cells.
 
+    A table with one level or one outcome has nothing to be independent of; as in R's test, its counts are then
+    tested for being equal (goodness of fit, one degree less than counts). With a single count there is no
+    test: the statistic is NULL, the degrees of freedom are 0.
+
     A cell without rows is absent and contributes its expected count; over all cells these sum
     to the total, so the absent ones make up what the present ones leave. In a two-by-two table
     every cell is equally far from its expected count, so the continuity correction is a factor
@@ -448,18 +575,23 @@ def chi_squared(cells: DataFrame, correct: bool = True) -> DataFrame:
         F.max(gap).alias("gap"),
         F.countDistinct("level").alias("rows"),
         F.countDistinct("outcome").alias("cols"),
+        F.max("total").alias("total"),
+        F.sum(F.col("n") * F.col("n")).alias("squares"),
     )
     plain = F.col("present") + F.col("absent")
     shrink = F.pow(F.greatest(F.col("gap") - 0.5, F.lit(0.0)) / F.col("gap"), F.lit(2.0))
     two_by_two = (F.col("rows") == 2) & (F.col("cols") == 2) & (F.col("gap") > 0) & F.lit(correct)
+    counts = F.col("rows") * F.col("cols")
+    line = (F.col("rows") == 1) | (F.col("cols") == 1)
+    even = F.when(counts > 1, F.col("squares") * counts / F.col("total") - F.col("total"))
     return per.select(
         "predictor",
-        F.when(two_by_two, plain * shrink).otherwise(plain).alias("statistic"),
-        ((F.col("rows") - 1) * (F.col("cols") - 1)).cast("int").alias("df"),
+        F.when(line, even).when(two_by_two, plain * shrink).otherwise(plain).alias("statistic"),
+        F.when(line, counts - 1).otherwise((F.col("rows") - 1) * (F.col("cols") - 1)).cast("int").alias("df"),
     )
 
 
 def crosstab_test(df: DataFrame, predictors: Sequence[str], target: str, correct: bool = True) -> DataFrame:
     """Chi-squared test of each predictor against the outcome."""
     tested = chi_squared(crosstab_cells(df, predictors, target), correct)
-    return tested.withColumn("p_value", chi_squared_tail("statistic", "df"))
+    return tested.withColumn("p_value", chi_squared_tail(F.col("statistic"), F.col("df")))

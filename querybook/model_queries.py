@@ -235,12 +235,16 @@ _CHI = f"""
               from cells group by 1) t on t.predictor = r.predictor
         left join cells c on c.predictor = r.predictor and c.level = r.level and c.outcome = k.outcome)
     select predictor,
-           round(sum(power(abs(n - row_n * col_n / total)
-                           - case when levels = 2 and outcomes = 2
-                                  then least(0.5, abs(n - row_n * col_n / total)) else 0 end, 2)
-                     / (row_n * col_n / total)), 9) as statistic,
-           cast(any_value((levels - 1) * (outcomes - 1)) as int) as df
-    from grid group by predictor"""
+           case when levels > 1 and outcomes > 1
+                then round(sum(power(abs(n - row_n * col_n / total)
+                                     - case when levels = 2 and outcomes = 2
+                                            then least(0.5, abs(n - row_n * col_n / total)) else 0 end, 2)
+                               / (row_n * col_n / total)), 9)
+                when levels * outcomes > 1 then round(sum(power(n - total / (levels * outcomes), 2) / (total / (levels * outcomes))), 9)
+           end as statistic,
+           cast(case when levels > 1 and outcomes > 1 then (levels - 1) * (outcomes - 1)
+                     else levels * outcomes - 1 end as int) as df
+    from grid group by predictor, levels, outcomes, total"""
 
 
 @query("m10_chi_squared", "M10 A12", _CHI)
@@ -251,7 +255,8 @@ def _(q: Context):
 def _upper_gamma(a: str, x: str) -> str:
     """SQL for the upper regularised gamma function by the series of the lower one."""
     term = f"exp(({a} + i) * ln({x}) - {x} - lgamma(({a} + i + 1)::double))"
-    return f"case when {x} <= 0 then 1.0 else greatest(0.0, 1 - list_sum([{term} for i in generate_series(0, 1500)])) end"
+    series = f"1 - list_sum([{term} for i in generate_series(0, 1500)])"
+    return f"case when {x} is null then null when {x} <= 0 then 1.0 else greatest(0.0, {series}) end"
 
 
 @query(
@@ -311,22 +316,25 @@ def _design(df):
 
 
 def _closed_sql(cells: str) -> str:
-    """Coefficient table from (term, estimate, variance)."""
+    """Coefficient table from (term, estimate, variance); a term without estimate is separated."""
     return f"""
         select term, round(estimate, 5) as estimate, round(sqrt(variance), 5) as std_error,
                round(estimate / sqrt(variance), 4) as z_value,
                round({_upper_gamma('0.5', '(estimate * estimate / variance / 2)')}, 5) as p_value,
                round(estimate - {st.Z_95} * sqrt(variance), 5) as ci_lower,
                round(estimate + {st.Z_95} * sqrt(variance), 5) as ci_upper,
-               'wald' as interval, true as converged, round(exp(estimate), 5) as odds_ratio
+               case when estimate is not null then 'wald' end as interval, true as converged,
+               estimate is null as separated, round(exp(estimate), 5) as odds_ratio
         from ({cells}) closed"""
 
 
 def _logits_sql(column: str) -> str:
+    """Logit of each level, NULL where all its rows have one outcome: there it is infinite."""
     return f"""
-        select {column} as level, ln(sum(treatment_status) / (count(*) - sum(treatment_status))) as logit,
-               1 / sum(treatment_status) + 1 / (count(*) - sum(treatment_status)) as variance
-        from model_frame where {column} is not null group by {column}"""
+        select level, t, n, case when t between 1 and n - 1 then ln(t / (n - t)) end as logit,
+               case when t between 1 and n - 1 then 1 / t + 1 / (n - t) end as variance
+        from (select {column} as level, sum(treatment_status)::double as t, count(*)::double as n
+              from model_frame where {column} is not null group by {column}) counted"""
 
 
 def _closed_model(q: Context, **columns):
@@ -356,11 +364,12 @@ def _(q: Context):
     "M1 M3 M5 M7",
     _closed_sql(
         f"""with logits as ({_logits_sql('age_group')}),
-                 whole as (select avg(logit) as mean, sum(variance) as variance, count(*) as k from logits)
-            select '(Intercept)' as term, mean as estimate, variance / (k * k) as variance from whole
+                 whole as (select case when count(logit) = count(*) then avg(logit) end as mean, sum(variance) as variance,
+                                  count(*) as k from logits)
+            select '(Intercept)' as term, mean as estimate, case when mean is not null then variance / (k * k) end as variance from whole
             union all
             select 'age_group_' || row_number() over (order by level), logit - mean,
-                   l.variance * (1 - 2.0 / k) + w.variance / (k * k)
+                   case when mean is not null then l.variance * (1 - 2.0 / k) + w.variance / (k * k) end
             from logits l, whole w qualify row_number() over (order by level) < k"""
     ),
 )
@@ -435,6 +444,122 @@ def _(q: Context):
     return rs.append(*parts)
 
 
+def _profile_sql(column: str, contrast: str, first: int, name: str) -> str:
+    """Profile limits of contrasts of the levels' logits, for a model with a term per level.
+
+    With a contrast c held at a value, the fitted counts are t - m * c for some multiplier m, so the
+    profile is a curve over m and the limit is found by halving. ``contrast`` is the weight of level i in term j.
+    """
+    p = "(ts[i] + side * ({m}) * cs[i]) / ns[i]"
+
+    def rise(m: str) -> str:
+        q = p.format(m=m)
+        return f"""2 * list_sum([ts[i] * ln(ts[i] / ns[i] / ({q})) + (ns[i] - ts[i]) * ln((1 - ts[i] / ns[i]) / (1 - {q}))
+                                 for i in generate_series(1, k)])"""
+
+    reach = "case when side * cs[i] > 0 then (ns[i] - ts[i]) / abs(cs[i]) when cs[i] = 0 then 1e18 else ts[i] / abs(cs[i]) end"
+    fine = p.format(m="near")
+    return f"""
+        recursive groups as (
+            select list(t order by level) as ts, list(n order by level) as ns, list(level order by level) as levels, count(*) as k,
+                   bool_and(t between 1 and n - 1) as fine from ({_logits_sql(column)}) l
+        ), terms as (
+            select *, {name} as term, [{contrast} for i in generate_series(1, k)] as cs
+            from groups, (select unnest(generate_series({first}, 7)) as j) numbers where j < k + {first} - 1
+        ), search as (
+            select term, j, side, ts, ns, cs, k, 0.0::double as near,
+                   list_min([{reach} for i in generate_series(1, k)])::double as far, 0 as step
+            from terms, (values (-1), (1)) sides(side) where fine
+            union all
+            select term, j, side, ts, ns, cs, k, case when {rise('(near + far) / 2')} < {st.CHI2_95} then (near + far) / 2 else near end,
+                   case when {rise('(near + far) / 2')} < {st.CHI2_95} then far else (near + far) / 2 end, step + 1
+            from search where step < 90
+        ), limits as (
+            select term, side, list_sum([cs[i] * ln(({fine}) / (1 - {fine})) for i in generate_series(1, k)]) as value
+            from search where step = 90
+        ), found as (
+            select term, levels[j] as level, fine,
+                   case when fine then list_sum([cs[i] * ln(ts[i] / (ns[i] - ts[i])) for i in generate_series(1, k)]) end as estimate,
+                   case when fine then list_sum([cs[i] * cs[i] * (1 / ts[i] + 1 / (ns[i] - ts[i])) for i in generate_series(1, k)]) end as variance,
+                   (select value from limits l where l.term = t.term and side = -1) as lower,
+                   (select value from limits l where l.term = t.term and side = 1) as upper
+            from terms t
+        )"""
+
+
+_CONTRAST = ("case when i = j then 1.0 else 0.0 end - 1.0 / k", 1, "'age_group_' || j")
+_DUMMY = ("case when i = j then 1.0 when i = 1 then -1.0 else 0.0 end", 2, "'severity_' || levels[j]")
+
+
+def _limits_sql(column: str, shape: tuple) -> str:
+    return f"""select term, round(estimate, 5) as estimate, round(lower, 5) as ci_lower, round(upper, 5) as ci_upper,
+                      not fine as separated
+               from (with {_profile_sql(column, *shape)} select * from found) closed"""
+
+
+def _limits(q: Context, **columns):
+    frame = q.model_frame
+    out = st.coefficient_frame(q.spark, st.fit_logistic(frame, st.design(frame, OUTCOME, **columns), interval="profile"))
+    out = out.filter(F.col("term") != st.INTERCEPT).select("term", "estimate", "ci_lower", "ci_upper", "separated")
+    return out.withColumns({c: F.round(c, 5) for c in ("estimate", "ci_lower", "ci_upper")})
+
+
+@query("m4_contrast_limits", "M4 M7", _limits_sql("age_group", _CONTRAST))
+def _(q: Context):
+    return _limits(q, summed={"age_group": AGE_LEVELS})
+
+
+@query("m4_two_group_limits", "M4 M8", _limits_sql("severity", _DUMMY))
+def _(q: Context):
+    return _limits(q, dummy={"severity": SEVERITIES})
+
+
+_COMPLETE = "severity is not null and gender is not null and age_group is not null and cci is not null"
+
+
+@query(
+    "m4_profile_certificate",
+    "M4 M3",
+    f"""with used as (select * from model_frame where {_COMPLETE}),
+             terms as (
+                 {" union all ".join(f"select '{c}' as term from used having count(distinct {c}) > 1" for c in (*MODEL.features, "cci"))}
+                 union all select 'severity_severe' from used having count(distinct severity) > 1
+                 union all select 'gender_M' from used having count(distinct gender) > 1
+                 union all select 'age_group_' || unnest(generate_series(1, count(distinct age_group) - 1)) from used)
+        select term, side, true as reached, true as beyond, {round(st.CHI2_95, 5)}::double as deviance_rise, 0.0::double as steepest
+        from terms, (values ('lower'), ('upper')) sides(side)""",
+)
+def _(q: Context):
+    """Every limit of the large model, evaluated anew: the check holds what a profile limit must be."""
+    frame = q.model_frame.persist()
+    try:
+        found = st.profile_certificate(frame, _design(frame)).drop("limit")
+    finally:
+        frame.unpersist()
+    return found.withColumns({c: F.round(c, 5) for c in ("deviance_rise", "steepest")})
+
+
+@query(
+    "f5_contrast_plot",
+    "F5 M4 M5 M7",
+    f"""select level || ' vs age_group grand mean' as term, round(estimate, 5) as coefficient, round(lower, 5) as lower,
+               round(upper, 5) as upper, coalesce(abs(estimate) / sqrt(variance) > {st.Z_95}, false) as significant
+        from (with {_profile_sql("age_group", *_CONTRAST)} select * from found) closed""",
+)
+def _(q: Context):
+    frame = q.model_frame
+    d = st.design(frame, OUTCOME, summed={"age_group": AGE_LEVELS})
+    out = _plot(q, st.plot_table(st.fit_logistic(frame, d, interval="profile"), "age_group", d.summed["age_group"]))
+    return out.withColumns({c: F.round(c, 5) for c in ("coefficient", "lower", "upper")})
+
+
+def _plot(q: Context, rows: list[dict]):
+    return q.spark.createDataFrame(
+        [(r["group"], r["coefficient"], r["lower"], r["upper"], r["significant"]) for r in rows],
+        "term string, coefficient double, lower double, upper double, significant boolean",
+    )
+
+
 @query("m4_profile_intervals", "M4 M3")
 def _(q: Context):
     frame = q.model_frame.persist()
@@ -449,10 +574,6 @@ def _(q: Context):
     frame = q.model_frame.persist()
     try:
         d = _design(frame)
-        rows = st.plot_table(st.fit_logistic(frame, d, interval="profile"), "age_group", d.summed["age_group"])
-        return q.spark.createDataFrame(
-            [(r["group"], r["coefficient"], r["lower"], r["upper"], r["significant"]) for r in rows],
-            "term string, coefficient double, lower double, upper double, significant boolean",
-        )
+        return _plot(q, st.plot_table(st.fit_logistic(frame, d, interval="profile"), "age_group", d.summed["age_group"]))
     finally:
         frame.unpersist()

@@ -77,6 +77,15 @@ def test_chi_squared_tail_of_large_statistics():
     assert chi_squared_upper(1e-300, 5) == pytest.approx(1)
 
 
+def test_chi_squared_tail_as_a_column(frame):
+    data = [(float(x), d) for d in (1, 2, 3, 7, 10, 101, 2000) for x in (0, 1e-9, 0.3, 1, 4, 9.9, 60, 190, 900, 2000, 1e5)]
+    out = frame([*data, (None, 1), (1.0, None), (1.0, 0), (math.nan, 2), (math.inf, 2)], "x double, d int")
+    found = out.select("x", "d", chi_squared_tail(F.col("x"), F.col("d")).alias("p")).collect()
+    for r in found[: len(data)]:
+        assert r.p == pytest.approx(chi_squared_upper(r.x, r.d), rel=1e-8, abs=1e-11)
+    assert [r.p for r in found[len(data) :]] == [None, None, None, None, 0.0]
+
+
 def test_normal_tail():
     assert normal_two_sided(1.959963984540054) == pytest.approx(0.05, abs=1e-9)
     assert math.isnan(chi_squared_upper(1.0, 0))

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from indexday.operators.selection import order_statistics
 from indexday.operators.sizing import BROADCAST_BYTES, is_small
+from indexday.sources import StageStore
 
 # Rank error of percentile_approx is at most rows / ACCURACY.
 ACCURACY = 10_000
@@ -137,11 +139,13 @@ def category_counts(df: DataFrame, column: str, name: str = "n") -> DataFrame:
 
 
 def summarize_continuous(
-    df: DataFrame, stratum: str, columns: Sequence[str], *, discrete: Sequence[str] = ()
+    df: DataFrame, stratum: str, columns: Sequence[str], *, discrete: Sequence[str] = (), store: StageStore | None = None
 ) -> DataFrame:
     """Count, mean, SD, median, range and missing count per stratum and variable.
 
-    ``discrete`` names the variables whose distinct values do not grow with the data."""
+    With a ``store`` the medians of all variables are selected by rank in one pass over written ranges, so that no
+    task ends a stratum alone. ``discrete`` names the variables whose distinct values do not grow with the data, which can do
+    without."""
     moments = []
     for c in columns:
         x = F.col(c).cast("double")
@@ -157,6 +161,9 @@ def summarize_continuous(
         )
     wide = df.groupBy(stratum).agg(*moments)
     tidy = wide.unpivot([stratum], list(columns), "variable", "_m").select(stratum, "variable", "_m.*")
+    if store is not None:
+        middle = order_statistics(df, [stratum], columns, [0.5], ["median"], store)
+        return _beside(tidy, middle, stratum)
     counted = [c for c in columns if c in discrete]
     parts = []
     if counted:
@@ -170,9 +177,12 @@ def summarize_continuous(
     middle = parts[0]
     for p in parts[1:]:
         middle = middle.unionByName(p)
-    left, right = tidy.alias("t"), middle.alias("m")
+    return _beside(tidy, middle, stratum)
+
+
+def _beside(tidy: DataFrame, middle: DataFrame, stratum: str) -> DataFrame:
     same = F.col(f"t.{stratum}").eqNullSafe(F.col(f"m.{stratum}")) & (F.col("t.variable") == F.col("m.variable"))
-    return left.join(right, same, "left").select("t.*", "m.median")
+    return tidy.alias("t").join(middle.alias("m"), same, "left").select("t.*", "m.median")
 
 
 def summarize_categorical(df: DataFrame, stratum: str, columns: Sequence[str]) -> DataFrame:
@@ -195,16 +205,17 @@ def table_one(
     continuous: Sequence[str] = (),
     labels: Mapping[str, str] | None = None,
     discrete: Sequence[str] = (),
+    store: StageStore | None = None,
 ) -> DataFrame:
     """Stratified summary in long form: a row per level of a categorical variable, and a row per
-    continuous variable, with a readable label for each. ``discrete`` is as in
+    continuous variable, with a readable label for each. ``discrete`` and ``store`` are as in
     :func:`summarize_continuous`."""
     names = F.create_map(*[F.lit(x) for kv in (labels or {}).items() for x in kv]) if labels else None
     parts = []
     if categorical:
         parts.append(summarize_categorical(df, stratum, categorical))
     if continuous:
-        parts.append(summarize_continuous(df, stratum, continuous, discrete=discrete))
+        parts.append(summarize_continuous(df, stratum, continuous, discrete=discrete, store=store))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from indexday.operators.concepts import in_concepts
+from indexday.operators.intervals import points_in_intervals
 
 
 def qualifying_events(
@@ -120,16 +121,30 @@ def require_observation(
     end: str = "observation_period_end_date",
     keep: Sequence[str] = ("observation_period_id",),
 ) -> DataFrame:
-    """Index rows with enough observed time on both sides, once per period that gives it."""
-    spans = periods.select(F.col(period_person).alias(person), start, end, *keep)
-    # The span test needs no index date, so it runs at the scan: a period shorter than both
-    # stretches together can hold no index day.
-    long_enough = spans.filter(F.datediff(end, start) >= before + after)
-    enough = (F.col(date) >= F.date_add(start, before)) & (F.col(end) >= F.date_add(date, after))
-    return index.join(long_enough, person).filter(enough)
+    """Index rows with enough observed time on both sides, once per period that gives it.
+
+    That is the index date inside a period shortened on both sides; a period too short for both holds no day.
+    """
+    out = points_in_intervals(
+        index,
+        periods.withColumnRenamed(period_person, person),
+        key=person,
+        point=date,
+        start=start,
+        end=end,
+        keep=[start, end, *keep],
+        first=F.date_add(start, before),
+        last=F.date_sub(end, after),
+    )
+    return out.select(person, *[c for c in out.columns if c != person])
 
 
 def first_day_events(events: DataFrame, person: str, date: str) -> DataFrame:
-    """All events on each person's first day, ties included."""
-    first = events.groupBy(person).agg(F.min(date).alias(date))
-    return events.join(first, [person, date], "left_semi")
+    """All events on each person's first day, ties included.
+
+    One pass: a rank of 1 is a window group limit, by which each task passes on only the rows that are on a
+    person's first day among its own, so the exchange carries little more than the result.
+    """
+    dated = events.filter(F.col(person).isNotNull() & F.col(date).isNotNull())
+    ranked = dated.withColumn("_rank", F.rank().over(W.partitionBy(person).orderBy(date)))
+    return ranked.filter(F.col("_rank") == 1).select(person, date, *[c for c in events.columns if c not in (person, date)])

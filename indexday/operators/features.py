@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from indexday.functions import (
     categorize,
     days_between,
-    in_interval,
     in_window,
     threshold_label,
     year_age,
 )
 from indexday.operators.concepts import tag_by_ids, tag_by_map
+from indexday.operators.intervals import points_in_intervals
 from indexday.operators.sizing import is_small
 from indexday.spec import CategoryRule, CodeGroup, CodeSet
 
@@ -208,10 +208,12 @@ def coverage_at_index(
 
     A subject with overlapping plans has a row for each, one without any plan has none.
     """
-    plan = categorize(rules, payer, value).alias("insurance_plan")
-    plans = periods.select(F.col(person).alias(SUBJECT), value, plan, start, end)
-    covered = cohort.select(SUBJECT, INDEX).join(plans, SUBJECT).filter(in_interval(INDEX, start, end))
-    return covered.select(SUBJECT, value, "insurance_plan")
+    plans = periods.select(F.col(person).alias(SUBJECT), value, categorize(rules, payer, value).alias("insurance_plan"), start, end)
+    keep = [value, "insurance_plan"]
+    covered = points_in_intervals(
+        cohort.select(SUBJECT, INDEX), plans, key=SUBJECT, point=INDEX, start=start, end=end, keep=keep
+    )
+    return covered.select(SUBJECT, *keep)
 
 
 def comorbidity_score(

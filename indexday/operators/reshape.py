@@ -10,6 +10,8 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from indexday.operators import bitmaps
+
 
 def pivot_counts(df: DataFrame, rows: str, column: str, values: Sequence[Any], names: Sequence[str]) -> DataFrame:
     """Counts by two keys, one output column per listed value, 0 for an empty cell.
@@ -62,8 +64,14 @@ def set_sizes(df: DataFrame, flags: Sequence[str]) -> DataFrame:
     return wide.unpivot([], wide.columns, "sets", "n")
 
 
-def overlap_counts(df: DataFrame, key: str, flags: Sequence[str]) -> DataFrame:
-    """Number of distinct ids in each set and in each intersection of two or more sets."""
+def overlap_counts(df: DataFrame, key: str, flags: Sequence[str], ids: DataFrame | None = None) -> DataFrame:
+    """Number of distinct ids in each set and in each intersection of two or more sets.
+
+    ``ids`` is a frame with all ids that is cheap to read, as a written stage. If they are dense whole numbers, the
+    sets are bitmaps, and no row per id is shuffled.
+    """
+    if ids is not None and bitmaps.dense_ids(ids, key):
+        return bitmaps.overlap_counts(df, key, flags)
     sets = [c for k in range(1, len(flags) + 1) for c in combinations(flags, k)]
     cells = [
         F.count_if(reduce(lambda a, b: a & b, [F.col(f) == 1 for f in chosen])).alias(" & ".join(chosen))
@@ -73,8 +81,13 @@ def overlap_counts(df: DataFrame, key: str, flags: Sequence[str]) -> DataFrame:
     return wide.unpivot([], wide.columns, "sets", "n")
 
 
-def overlap_regions(df: DataFrame, key: str, flags: Sequence[str]) -> DataFrame:
-    """Number of distinct ids in each region of the diagram; an empty region counts 0."""
+def overlap_regions(df: DataFrame, key: str, flags: Sequence[str], ids: DataFrame | None = None) -> DataFrame:
+    """Number of distinct ids in each region of the diagram; an empty region counts 0.
+
+    ``ids`` is as in :func:`overlap_counts`.
+    """
+    if ids is not None and bitmaps.dense_ids(ids, key):
+        return bitmaps.overlap_regions(df, key, flags)
     regions = [r for r in product((1, 0), repeat=len(flags)) if any(r)]
     cells = []
     for region in regions:

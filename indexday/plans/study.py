@@ -222,6 +222,12 @@ class StudyStages:
     features: DataFrame
     coverage: DataFrame
     undated: DataFrame
+    counts: Mapping[str, int]
+
+    def funnel(self) -> DataFrame:
+        """(step, name, n_rows) of the written stages, from the counts of the writes: no job reads a stage again."""
+        rows = [(i, name, n) for i, (name, n) in enumerate(self.counts.items(), 1)]
+        return self.events.sparkSession.createDataFrame(rows, "step int, name string, n_rows long")
 
 
 def undated_events(tables: Relations) -> DataFrame:
@@ -247,10 +253,10 @@ def run_study(spec: StudySpec, tables: Relations, store: StageStore) -> StudySta
     The written cohort has a known size, so the feature step can broadcast it instead of
     shuffling the event table.
     """
-    events = store.put("qualifying_events", select_events(spec.cohort, tables))
-    cohort = store.put("cohort", build_cohort(spec.cohort, tables, events))
-    outcome = store.put("outcome", build_outcome(spec, tables, cohort))
-    features = store.put("features", build_features(spec, tables, cohort))
-    coverage = store.put("coverage", build_coverage(spec, tables, cohort))
+    events = store.put("qualifying_events", select_events(spec.cohort, tables), counted=True)
+    cohort = store.put("cohort", build_cohort(spec.cohort, tables, events), counted=True)
+    outcome = store.put("outcome", build_outcome(spec, tables, cohort), counted=True)
+    features = store.put("features", build_features(spec, tables, cohort), counted=True)
+    coverage = store.put("coverage", build_coverage(spec, tables, cohort), counted=True)
     undated = store.put("undated_events", undated_events(tables))
-    return StudyStages(events, cohort, outcome, features, coverage, undated)
+    return StudyStages(events, cohort, outcome, features, coverage, undated, dict(store.counts))

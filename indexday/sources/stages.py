@@ -7,7 +7,8 @@ import tempfile
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def save_stage(
@@ -59,7 +60,7 @@ class StageStore:
 
     A written stage ends the lineage, so a lost executor costs at most the stage at work, and
     its size is known to the planner, which then decides on broadcasts from facts. ``names``
-    gives stages other names than the study's.
+    gives stages other names than the study's. ``counts`` holds the rows of stages put as counted.
     """
 
     def __init__(
@@ -72,6 +73,7 @@ class StageStore:
         self.spark = spark
         self.schema = schema
         self.names = dict(names or {})
+        self.counts: dict[str, int] = {}
         self.root = root
         if root is None and schema is None:
             self.root = os.path.join(shared_folder(spark), f"stages-{uuid.uuid4().hex}")
@@ -80,8 +82,14 @@ class StageStore:
         name = self.names.get(name, name)
         return f"{self.schema}.{name}" if self.schema else os.path.join(self.root, name)
 
-    def put(self, name: str, df: DataFrame) -> DataFrame:
-        return save_stage(df, self.target(name))
+    def put(self, name: str, df: DataFrame, counted: bool = False) -> DataFrame:
+        """Write a stage; ``counted`` takes its number of rows from the write itself, without a further job."""
+        if not counted:
+            return save_stage(df, self.target(name))
+        seen = Observation()
+        out = save_stage(df.observe(seen, F.count(F.lit(1)).alias("n")), self.target(name))
+        self.counts[name] = seen.get["n"]
+        return out
 
     def get(self, name: str) -> DataFrame:
         return read_stage(self.spark, self.target(name))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import datetime as dt
+from collections.abc import Callable, Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,6 +113,34 @@ def jdbc_options(schema: str, name: str, common: Mapping[str, str], own: Mapping
     return merged
 
 
+def cuts_query(table: str, column: str, parts: int) -> str:
+    """A subquery with the least key of each of ``parts`` equal shares of a table's rows, in standard SQL."""
+    shares = f"SELECT {column} AS k, NTILE({parts}) OVER (ORDER BY {column}) AS part FROM {table} WHERE {column} IS NOT NULL"
+    return f"(SELECT part, MIN(k) AS cut FROM ({shares}) shares GROUP BY part) cuts"
+
+
+def _literal(value: object) -> str:
+    if isinstance(value, bool) or value is None:
+        raise ValueError(f"no key value: {value!r}")
+    if isinstance(value, (int, float, Decimal)):
+        return str(value)
+    if isinstance(value, (dt.date, dt.datetime)):
+        return f"{'TIMESTAMP' if isinstance(value, dt.datetime) else 'DATE'} '{value}'"
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def balanced_predicates(column: str, cuts: Sequence[object]) -> list[str]:
+    """Conditions that deal all rows to ranges which begin at the cuts, each row to one; NULL keys go with the first.
+
+    Equal cuts, as a key with more rows than a share gives, are one cut.
+    """
+    starts = [_literal(c) for c in sorted(set(cuts))[1:]]
+    if not starts:
+        return ["1 = 1"]
+    middle = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(starts, starts[1:])]
+    return [f"({column} < {starts[0]} OR {column} IS NULL)", *middle, f"{column} >= {starts[-1]}"]
+
+
 class Tables(Mapping[str, DataFrame]):
     """The relations of one database; each is resolved and checked on first use."""
 
@@ -129,15 +159,39 @@ class Tables(Mapping[str, DataFrame]):
 
     @classmethod
     def from_jdbc(
-        cls, spark: SparkSession, schema: str, per_table: Mapping[str, Mapping[str, str]] | None = None, **options: str
+        cls,
+        spark: SparkSession,
+        schema: str,
+        per_table: Mapping[str, Mapping[str, str]] | None = None,
+        balanced: Mapping[str, tuple[str, int]] | None = None,
+        **options: str,
     ) -> Tables:
         """``options`` hold for all relations, ``per_table`` for single ones.
 
-        A relation is read in parallel only with its own ``partitionColumn``, ``lowerBound``,
-        ``upperBound`` and ``numPartitions``; those without are read by one task.
+        A relation is read in parallel with its own ``partitionColumn``, ``lowerBound``,
+        ``upperBound`` and ``numPartitions``, or as ``balanced`` names it: (key column, parts). Then the database is asked
+        once for the keys that cut its rows into equal shares, and each share is read by a task of its own, however
+        unevenly the keys are spread. Relations without either are read by one task.
         """
         chosen = {name: jdbc_options(schema, name, options, (per_table or {}).get(name, {})) for name in RELATIONS}
-        return cls(lambda name: spark.read.format("jdbc").options(**chosen[name]).load())
+        for name in balanced or {}:
+            if name not in RELATIONS:
+                raise KeyError(name)
+            if "partitionColumn" in chosen[name]:
+                raise ValueError(f"{name}: either a partition column or balanced parts")
+
+        def read(name: str) -> DataFrame:
+            own = chosen[name]
+            if name not in (balanced or {}):
+                return spark.read.format("jdbc").options(**own).load()
+            column, parts = balanced[name]
+            asked = {k: v for k, v in own.items() if k not in _PARTITIONING}
+            cuts = spark.read.format("jdbc").options(**{**asked, "dbtable": cuts_query(own["dbtable"], column, parts)}).load()
+            predicates = balanced_predicates(column, [r["cut"] for r in cuts.collect()])
+            rest = {k: v for k, v in asked.items() if k not in ("url", "dbtable")}
+            return spark.read.jdbc(own["url"], own["dbtable"], predicates=predicates, properties=rest)
+
+        return cls(read)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in RELATIONS:

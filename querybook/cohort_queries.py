@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from indexday.functions import any_flag, categorize, code_matches, days_between, in_interval, strip_prefix
+from indexday.functions import any_flag, categorize, code_matches, days_between, strip_prefix
 from indexday.operators import events as ev
 from indexday.operators import features as ft
 from indexday.operators.concepts import expand_concepts, tag_by_map
+from indexday.operators.intervals import points_in_intervals
 from indexday.operators.profile import group_counts
 from indexday.operators.reshape import append, as_text
+from indexday.operators.sweep import flags_around_dates
 from indexday.plans import study
 from indexday.sources import RELATIONS, load_covariates, preview, run_sql, save_covariates
 from querybook.book import Context, query
-from querybook.oracle import FEATURES, code_test, ints, rules_expr, texts
+from querybook.oracle import FEATURES, code_test, ints, rules_expr, texts, window_expr
 from querybook.params import COHORT, MODEL, STUDY
 
 PERSON, DATE, EVENT = "person_id", "condition_start_date", "condition_occurrence_id"
@@ -218,8 +220,52 @@ def _(q: Context):
 )
 def _(q: Context):
     spans = q.t.payer_plan_period.withColumnRenamed(PERSON, "subject_id")
-    inside = in_interval("cohort_start_date", "payer_plan_period_start_date", "payer_plan_period_end_date")
-    return q.target.join(spans, "subject_id").filter(inside).select("subject_id", "payer_concept_id")
+    ends = {"start": "payer_plan_period_start_date", "end": "payer_plan_period_end_date"}
+    points = q.target.select("subject_id", "cohort_start_date")
+    inside = points_in_intervals(points, spans, key="subject_id", point="cohort_start_date", keep=["payer_concept_id"], **ends)
+    return inside.drop("cohort_start_date")
+
+
+@query(
+    "j10_stays_over_events",
+    "J10 P13",
+    """select e.condition_occurrence_id, v.visit_occurrence_id as stay from condition_occurrence e
+       join visit_occurrence v on v.person_id = e.person_id
+       where v.visit_start_date <= e.condition_start_date and v.visit_end_date >= e.condition_start_date""",
+)
+def _(q: Context):
+    """Every stay that covers an event of the same person: many intervals and many points per person."""
+    events = q.t.condition_occurrence.select(PERSON, EVENT, DATE)
+    stays = q.t.visit_occurrence.withColumnRenamed("visit_occurrence_id", "stay")
+    ends = {"start": "visit_start_date", "end": "visit_end_date"}
+    met = points_in_intervals(events, stays, key=PERSON, point=DATE, keep=["stay"], **ends)
+    return met.select(EVENT, "stay")
+
+
+def _years(q: Context):
+    """Observation year by year: several periods per person, which overlap."""
+    seen = q.t.visit_occurrence.groupBy(PERSON, F.year("visit_start_date").alias("observation_period_id"))
+    return seen.agg(
+        F.date_sub(F.min("visit_start_date"), 300).alias("observation_period_start_date"),
+        F.date_add(F.max("visit_start_date"), 300).alias("observation_period_end_date"),
+    )
+
+
+@query(
+    "c4_observed_in_years",
+    "C4 P12 X7 J10",
+    """with years as (
+           select person_id, cast(extract(year from visit_start_date) as int) as observation_period_id,
+                  cast(min(visit_start_date) - 300 as date) as first_day, cast(max(visit_start_date) + 300 as date) as last_day
+           from visit_occurrence group by 1, 2)
+       select i.person_id, i.condition_start_date, y.observation_period_id
+       from index_rows i join years y on y.person_id = i.person_id
+       where y.first_day + 180 <= i.condition_start_date and i.condition_start_date + 180 <= y.last_day""",
+)
+def _(q: Context):
+    index = ev.index_event(q.qualifying, PERSON, DATE, EVENT)
+    seen = ev.require_observation(index, _years(q), person=PERSON, date=DATE)
+    return seen.select(PERSON, DATE, "observation_period_id")
 
 
 @query("p15_not_null", "P15", "select provider_id, count(*) as n from visit_occurrence where provider_id is not null group by provider_id")
@@ -393,6 +439,18 @@ def _(q: Context):
     return out.select("subject_id", *[g.name for g in groups])
 
 
+@query(
+    "c10_flags_around_events",
+    "C10 C11 J9 J13 P9 P10 A6",
+    f"""select d.subject_id, d.cohort_start_date, {", ".join(window_expr(g, "d") for g in MODEL.code_groups)}
+        from (select distinct person_id as subject_id, condition_start_date as cohort_start_date from qualifying) d""",
+)
+def _(q: Context):
+    """The flags around every day with a qualifying event: many dates per person."""
+    dates = q.qualifying.select(F.col(PERSON).alias("subject_id"), F.col(DATE).alias("cohort_start_date"))
+    return flags_around_dates(dates, q.t.condition_occurrence, q.code_map, MODEL.code_groups)
+
+
 @query("c11_forward_flags", "C11 P10", "select subject_id, has_para, has_isch from window_features")
 def _(q: Context):
     groups = [g for g in MODEL.code_groups if not g.before]
@@ -452,6 +510,19 @@ def _(q: Context):
     return study.attrition(COHORT, q.t)
 
 
+@query(
+    "c21_written_stages",
+    "C21 S4 S7",
+    """select 1 as step, 'qualifying_events' as name, count(*) as n_rows from qualifying
+       union all select 2, 'cohort', count(*) from cohort
+       union all select 3, 'outcome', count(*) from treatment
+       union all select 4, 'features', count(*) from features
+       union all select 5, 'coverage', count(*) from coverage""",
+)
+def _(q: Context):
+    return study.run_study(STUDY, q.t, q.store).funnel()
+
+
 @query("c22_comorbidity_score", "C22 J8", "select subject_id, score from scores")
 def _(q: Context):
     return q.covariates.select(F.col("rowId").alias("subject_id"), F.col("covariateValue").alias("score"))

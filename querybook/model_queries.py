@@ -8,6 +8,7 @@ from indexday.functions import cut, label_to_flag
 from indexday.operators import describe as ds
 from indexday.operators import reshape as rs
 from indexday.operators import stats as st
+from indexday.operators.selection import order_statistics
 from querybook.book import Context, query
 from querybook.oracle import FEATURES, STRATA_COLUMNS, age_expr
 from querybook.params import CATEGORICAL, COHORT, CONTINUOUS, LABELS, MODEL, PREDICTORS, STRATA
@@ -56,6 +57,24 @@ def _(q: Context):
     return out.withColumns({c: F.round(c, 6) for c in ("q1", "median", "p90")})
 
 
+@query(
+    "a13_order_statistics",
+    "A13 A11 D4",
+    " union all ".join(
+        f"""select o_orderpriority as priority, '{v}' as variable, round(quantile_cont({v}, 0.25), 6) as q1,
+                   round(quantile_cont({v}, 0.5), 6) as median, round(quantile_cont({v}, 0.99), 6) as p99
+            from (select o_orderpriority, o_totalprice::double as o_totalprice, o_custkey::double as o_custkey from orders) o
+            group by o_orderpriority"""
+        for v in ("o_totalprice", "o_custkey")
+    ),
+)
+def _(q: Context):
+    measured = q.source("orders").select(F.col("o_orderpriority").alias("priority"), "o_totalprice", "o_custkey")
+    names = ("q1", "median", "p99")
+    out = order_statistics(measured, ["priority"], ["o_totalprice", "o_custkey"], [0.25, 0.5, 0.99], names, q.store)
+    return out.withColumns({c: F.round(c, 6) for c in names})
+
+
 @query("x16_age_groups", "X16", f"select subject_id, patient_age, {age_expr('patient_age')} as age_group from features")
 def _(q: Context):
     return q.features.select("subject_id", "patient_age", cut("patient_age", MODEL.age_breaks).alias("age_group"))
@@ -106,18 +125,18 @@ def _table_sql(stratum: str, source: str) -> str:
     return f"{cats} union all {conts}"
 
 
-def _table(df):
-    return _rounded(ds.table_one(df, "condition_group", CATEGORICAL, CONTINUOUS, LABELS, discrete=CONTINUOUS), "pct", "mean", "sd")
+def _table(df, store):
+    return _rounded(ds.table_one(df, "condition_group", CATEGORICAL, CONTINUOUS, LABELS, store=store), "pct", "mean", "sd")
 
 
 @query("d1_table_one", "D1 D2 A13", _table_sql("condition_group", "long_frame"))
 def _(q: Context):
-    return _table(q.long_frame)
+    return _table(q.long_frame, q.store)
 
 
 @query("d1_table_one_total", "D1 D2 A13 U1 U2", _table_sql("condition_group", "strata"))
 def _(q: Context):
-    return _table(q.strata)
+    return _table(q.strata, q.store)
 
 
 @query(
@@ -179,7 +198,7 @@ def _overlap_sql() -> str:
 
 @query("u3_overlap_counts", "U3 D6 J16", _overlap_sql())
 def _(q: Context):
-    return rs.overlap_counts(_flagged_model(q), "subject_id", COHORT.flags)
+    return rs.overlap_counts(_flagged_model(q), "subject_id", COHORT.flags, ids=q.staged_cohort)
 
 
 @query(
@@ -205,7 +224,7 @@ def _(q: Context):
        left join members on has_a = a and has_b = b and has_c = c group by region""",
 )
 def _(q: Context):
-    return rs.overlap_regions(_flagged_model(q), "subject_id", COHORT.flags)
+    return rs.overlap_regions(_flagged_model(q), "subject_id", COHORT.flags, ids=q.staged_cohort)
 
 
 # Tests and models

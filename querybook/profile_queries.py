@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from indexday.functions import relabel
 from indexday.operators import profile as pr
 from indexday.operators import reshape as rs
+from indexday.operators.bitmaps import distinct_ids
 from indexday.operators.describe import histogram
 from querybook.book import Context, query
 from querybook.params import COHORT, PROFILED_PERSON, RELABEL_HOME
@@ -33,6 +34,15 @@ def _(q: Context):
     return pr.distinct_persons(q.index_conditions)
 
 
+@query(
+    "a2_distinct_persons_by_code",
+    "A2",
+    "select condition_concept_id, count(distinct person_id) as n_persons from condition_occurrence group by 1",
+)
+def _(q: Context):
+    return distinct_ids(q.t.condition_occurrence, "person_id", ["condition_concept_id"], "n_persons")
+
+
 @query(
     "a3_low_count_persons",
     "A3 P17",

@@ -7,7 +7,7 @@ from conftest import day, rows
 from pyspark.sql import functions as F
 
 from indexday import functions as fn
-from indexday.functions.distributions import chi_squared_upper, normal_two_sided
+from indexday.functions.distributions import chi_squared_tail, chi_squared_upper, normal_two_sided
 from indexday.spec import CategoryRule
 
 

@@ -23,6 +23,8 @@ CHECKED = [
     "s4_written_stage", "s5_preview", "s6_covariate_file", "l2_top_persons", "l3_earliest_measurements", "c4_observed_persons",
     "a13_measure_percentiles", "f4_crosstab_test", "m3_two_group_model", "m7_contrast_model",
     "d1_table_one_total", "d3_service_histogram", "d4_box_stats", "u4_overlap_regions", "m10_chi_squared",
+    "c4_observed_in_years", "j10_stays_over_events", "c10_flags_around_events", "c21_written_stages", "a13_order_statistics",
+    "a2_distinct_persons_by_code", "u3_overlap_counts",
     "m4_contrast_limits", "m4_two_group_limits", "f5_contrast_plot", "m1_fitted_totals",
 ]
 

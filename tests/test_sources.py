@@ -17,7 +17,7 @@ from indexday.sources import (
     save_stage,
 )
 from indexday.sources.stages import shared_folder
-from indexday.sources.tables import jdbc_options
+from indexday.sources.tables import balanced_predicates, cuts_query, jdbc_options
 
 
 def test_relation_contract(frame):
@@ -119,3 +119,71 @@ def test_jdbc_options_per_table():
     assert jdbc_options("s", "concept", common, {}) == {**common, "dbtable": "s.concept"}
     with pytest.raises(ValueError, match="person: a partitioned read needs"):
         jdbc_options("s", "person", common, {"partitionColumn": "person_id"})
+
+
+def test_balanced_predicates_deal_every_row_once(tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    con.execute("create schema s")
+    # a third of all rows hold one key; some hold none
+    con.execute("""create table s.events as select case when i % 3 = 0 then 500 when i % 50 = 1 then null else (i * i) % 9973 end as person_id,
+                          i as n from range(30000) r(i)""")
+    for parts in (1, 2, 16, 64):
+        cuts = [c for _, c in con.execute(f"select * from {cuts_query('s.events', 'person_id', parts)}").fetchall()]
+        where = balanced_predicates("person_id", cuts)
+        counts = [con.execute(f"select count(*) from s.events where {w}").fetchone()[0] for w in where]
+        assert sum(counts) == 30000 and len(where) <= parts
+        hot = con.execute("select count(*) from s.events where person_id = 500").fetchone()[0]
+        assert max(counts) <= max(2 * 30000 / parts + 1000, hot + 2 * 30000 / parts + 1000)
+        ids = [n for w in where for (n,) in con.execute(f"select n from s.events where {w}").fetchall()]
+        assert sorted(ids) == list(range(30000))
+
+
+def test_balanced_predicates_by_type():
+    assert balanced_predicates("k", []) == balanced_predicates("k", [3, 3]) == ["1 = 1"]
+    assert balanced_predicates("k", [9, 1, 5, 5]) == ["(k < 5 OR k IS NULL)", "k >= 5 AND k < 9", "k >= 9"]
+    assert balanced_predicates("d", [day(0), day(31)])[-1] == "d >= DATE '2020-02-01'"
+    assert balanced_predicates("t", ["a", "o'b"])[-1] == "t >= 'o''b'"
+    with pytest.raises(ValueError, match="no key value"):
+        balanced_predicates("k", [False, True])
+
+
+def test_jdbc_reads_balanced_parts(frame):
+    asked = []
+
+    class Reader:
+        def format(self, name):
+            return self
+
+        def options(self, **options):
+            asked.append(options)
+            return self
+
+        def load(self):
+            return frame([(1, 10), (2, 40), (3, 90)], "part int, cut int")
+
+        def jdbc(self, url, table, predicates, properties):
+            asked.append((url, table, predicates, properties))
+            return frame([], "location_id int, state string")
+
+    class Session:
+        read = Reader()
+
+    tables = Tables.from_jdbc(Session(), "s", balanced={"location": ("location_id", 3)}, url="jdbc:x", fetchsize="10")
+    assert tables.location.columns == ["location_id", "state"]
+    assert asked[0] == {"url": "jdbc:x", "fetchsize": "10", "dbtable": cuts_query("s.location", "location_id", 3)}
+    parts = ["(location_id < 40 OR location_id IS NULL)", "location_id >= 40 AND location_id < 90", "location_id >= 90"]
+    assert asked[1] == ("jdbc:x", "s.location", parts, {"fetchsize": "10"})
+    with pytest.raises(KeyError):
+        Tables.from_jdbc(Session(), "s", balanced={"lineitem": ("k", 2)}, url="jdbc:x")
+    own = {"partitionColumn": "location_id", "lowerBound": "0", "upperBound": "9", "numPartitions": "2"}
+    with pytest.raises(ValueError, match="either"):
+        Tables.from_jdbc(Session(), "s", per_table={"location": own}, balanced={"location": ("location_id", 3)}, url="jdbc:x")
+
+
+def test_counts_come_from_the_write(spark, frame):
+    store = StageStore(spark)
+    store.put("some", frame([(i,) for i in range(17)], "a int"), counted=True)
+    store.put("none", frame([], "a int"), counted=True)
+    store.put("unknown", frame([(1,)], "a int"))
+    assert store.counts == {"some": 17, "none": 0}

@@ -12,6 +12,7 @@ from indexday.sources import StageStore
 BATCH_ROWS = 1024
 BATCH_BYTES = 8 * 1024 * 1024
 PIECE_BYTES = 64 * 1024 * 1024
+UNKNOWN_BYTES = 1 << 55  # a plan without statistics counts as larger than anything
 
 
 def prepared(spark: SparkSession) -> StageStore:
@@ -40,7 +41,8 @@ def free_name(df: DataFrame, name: str) -> str:
 def pieces(source: DataFrame) -> int:
     """Partitions for the rows of a scan: the session's number, or more where that would make them large."""
     least = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, (planned_bytes(source) or 0) // PIECE_BYTES)
+    planned = planned_bytes(source) or 0
+    return max(least, planned // PIECE_BYTES if planned < UNKNOWN_BYTES else 0)
 
 
 def put_in_order(

@@ -2,25 +2,35 @@
 
 from __future__ import annotations
 
-import hashlib
 import math
 import os
 import re
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from indexday.llm.common import prepared
+from indexday.llm.bpe import BARE_WORDS
+from indexday.llm.common import pieces, prepared
 from indexday.operators.sizing import broadcast_if_small
 from indexday.sources import StageStore
 
-FRAME_TOKENS = 1 << 19
+FRAME_CHARS = 4 * 1024 * 1024
 BLOCK_TOKENS = 512
+PACK_TOKENS = 512 * BLOCK_TOKENS
+KNOWN_BYTES = 96 * 1024 * 1024
+ENTRY_BYTES = 150  # what a word and its ids take beside their bytes
+LONG_BYTES = 4096
+WORDS_AT_ONCE = 4096
+CHARS_AT_ONCE = 256 * 1024
 MAX_BITS = 18
 WINDOW = 32
 
@@ -94,18 +104,26 @@ class Code:
 
 
 def pack(ids: np.ndarray, words: np.ndarray, lengths: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """(bits of all ids, bit offset of every block's first id)."""
-    sizes = lengths[ids]
-    ends = np.cumsum(sizes)
-    starts = ends - sizes
-    total = int(ends[-1]) if len(ends) else 0
-    at = starts >> 3
-    window = words[ids] << (WINDOW - (starts & 7) - sizes)
-    out = np.zeros((total + 7) // 8 + WINDOW // 8, np.int64)
-    for i in range(WINDOW // 8):  # words share bytes but no bits, so adding them joins them
-        part = (window >> (WINDOW - 8 - 8 * i)) & 255
-        out += np.bincount(at + i, weights=part, minlength=len(out)).astype(np.int64)
-    return out[: (total + 7) // 8].astype(np.uint8).tobytes(), starts[::BLOCK_TOKENS]
+    """(bits of all ids, bit offset of every block's first id); some blocks at a time, so it needs little more than its result."""
+    out, checkpoints, base = bytearray(), [np.zeros(0, np.int64)], 0
+    for first in range(0, len(ids), PACK_TOKENS):
+        part = ids[first : first + PACK_TOKENS]
+        sizes = lengths[part]
+        ends = np.cumsum(sizes) + (base & 7)
+        starts = ends - sizes
+        at = starts >> 3
+        window = words[part] << (WINDOW - (starts & 7) - sizes)
+        n = int(ends[-1] + 7) >> 3
+        cells = np.zeros(n + WINDOW // 8, np.int64)
+        for i in range(WINDOW // 8):  # words share bytes but no bits, so adding them joins them
+            own = np.bincount(at + i, weights=(window >> (WINDOW - 8 - 8 * i)) & 255)
+            cells[: len(own)] += own.astype(np.int64)
+        if base & 7:  # the byte that the part before has begun
+            cells[0] += out.pop()
+        out += cells[:n].astype(np.uint8).tobytes()
+        checkpoints.append(starts[::BLOCK_TOKENS] + (base - (base & 7)))
+        base += int(ends[-1]) - (base & 7)
+    return bytes(out), np.concatenate(checkpoints)
 
 
 def unpack(data: bytes, checkpoints: np.ndarray, n: int, table: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -115,7 +133,7 @@ def unpack(data: bytes, checkpoints: np.ndarray, n: int, table: np.ndarray, leng
     window = (raw[:-3] << 24) | (raw[1:-2] << 16) | (raw[2:-1] << 8) | raw[3:]
     window = window.astype(np.int64)
     at = checkpoints.astype(np.int64)
-    out = np.empty((len(at), BLOCK_TOKENS), np.int64)
+    out = np.empty((len(at), BLOCK_TOKENS), np.uint32)
     end = len(window) - 1
     for step in range(BLOCK_TOKENS):
         byte = np.minimum(at >> 3, end)
@@ -125,65 +143,182 @@ def unpack(data: bytes, checkpoints: np.ndarray, n: int, table: np.ndarray, leng
     return out.ravel()[:n]
 
 
-def _frames(encode: Callable[[], Callable[[list[str]], Iterator[bytes]]], end_id: int):
-    """Tokenize sorted documents and cut them into frames of whole documents."""
+def _zip(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(data)
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        run, part = encode(), TaskContext.get().partitionId()
-        names, sizes, ids, held, frame = [], [], [], 0, 0
-        end = np.array([end_id], "<u4").tobytes()
-
-        def flush():
-            columns = [
-                pa.array([part], pa.int32()), pa.array([frame], pa.int32()),
-                pa.array([names], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32())),
-                pa.array([b"".join(ids)], pa.binary()),
-            ]
-            return pa.RecordBatch.from_arrays(columns, ["part", "frame", "doc_ids", "sizes", "ids"])
 
+def _unzip(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Small integers, byte by byte, so that equal bytes stand together."""
+    return _zip(values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.frombuffer(_unzip(data), np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
+
+
+SPREAD = "part int, frame int, slice int, doc_ids array<long>, sizes array<int>, data binary"
+NUMBERS, COUNTS = -1, -2  # rows that are no slice: word numbers of a frame, counts of ids
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]
+    names = ["part", "frame", "slice", "doc_ids", "sizes", "data"]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+
+
+def _spread(split: Callable[[str], list[str]], slices: int):
+    """Sorted documents to frames: the numbers of their words in order, and the distinct words with their counts, by slice.
+
+    A frame holds whole documents of about ``FRAME_CHARS``, or one longer document. A word's slice follows from its bytes.
+    """
+
+    def flush(part: int, frame: int, names: list, counts: list, stream: list, place: dict) -> pa.RecordBatch:
+        values = np.concatenate(stream) if stream else np.zeros(0, np.int64)
+        times = np.bincount(values, minlength=len(place))
+        often = np.argsort(-times, kind="stable")  # frequent words get small numbers
+        rank = np.empty(len(often), np.int64)
+        rank[often] = np.arange(len(often))
+        listed = list(place)
+        raw = [listed[i].encode("utf-8", "surrogatepass") for i in often.tolist()]
+        at = np.fromiter((xxhash.xxh3_64_intdigest(w) % slices for w in raw), np.int64, len(raw))
+        rows = [(part, frame, NUMBERS, names, counts, _planes(np.concatenate([[len(raw)], at, rank[values]])))]
+        order = np.argsort(at, kind="stable")
+        cuts = np.searchsorted(at[order], np.arange(slices + 1))
+        for s in np.flatnonzero(np.diff(cuts)).tolist():
+            own = order[cuts[s] : cuts[s + 1]]
+            words = [raw[i] for i in own.tolist()]
+            head = np.concatenate([[len(own)], np.fromiter(map(len, words), np.int64, len(own)), times[often[own]]])
+            rows.append((part, frame, s, None, None, _zip(head.astype("<u4").tobytes() + b"".join(words))))
+        return _rows(rows)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, frame, held = TaskContext.get().partitionId(), 0, 0
+        names, counts, stream, place = [], [], [], defaultdict(count().__next__)
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for name, own in zip(batch.column("doc_id").to_pylist(), run(texts), strict=True):
+            for name, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                if held and held + len(text or "") > FRAME_CHARS:
+                    yield flush(part, frame, names, counts, stream, place)
+                    names, counts, stream, place = [], [], [], defaultdict(count().__next__)
+                    frame, held = frame + 1, 0
+                words = split(text) if text else []
                 names.append(name)
-                sizes.append(len(own) // 4 + 1)
-                ids.append(own + end)
-                held += sizes[-1]
-                if held >= FRAME_TOKENS:
-                    yield flush()
-                    names, sizes, ids, held, frame = [], [], [], 0, frame + 1
+                counts.append(len(words))
+                stream.append(np.fromiter(map(place.__getitem__, words), np.int64, len(words)))
+                held += len(text or "") + 8
         if names:
-            yield flush()
+            yield flush(part, frame, names, counts, stream, place)
+
+    return scan
+
+
+def _encode_words(make: Callable[[], Callable[[list[str]], Iterator[bytes]]]):
+    """Words of a slice from all frames to ids, and the counts of all ids that they stand for.
+
+    Each distinct word is encoded once, as long as those remembered take no more than ``KNOWN_BYTES``; very long ones
+    are not remembered. What is kept ends with the task.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, known, room = make(), {}, KNOWN_BYTES
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            for part, frame, s, data in zip(*(batch.column(c).to_pylist() for c in ("part", "frame", "slice", "data")), strict=True):
+                raw = _unzip(data)
+                n = int.from_bytes(raw[:4], "little")
+                head = np.frombuffer(raw, "<u4", 2 * n, 4).astype(np.int64)
+                ends = (np.cumsum(head[:n]) + 4 + 8 * n).tolist()
+                words = [raw[a:b] for a, b in zip([4 + 8 * n, *ends], ends, strict=False)]
+                new = [w for w in words if w not in known]
+                found = dict(zip(new, encode([w.decode("utf-8", "surrogatepass") for w in new]), strict=True))
+                ids = [known[w] if w in known else found[w] for w in words]
+                for w, own in found.items():
+                    size = len(w) + len(own) + ENTRY_BYTES
+                    if size > LONG_BYTES:
+                        continue
+                    if size > room:
+                        known, room = {}, KNOWN_BYTES
+                    known[w] = own
+                    room -= size
+                flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int64)
+                sizes = np.fromiter(map(len, ids), np.int64, n) // 4
+                counted = np.bincount(flat, weights=np.repeat(head[n:], sizes)).astype(np.int64)
+                if len(counted) > len(total):
+                    total = np.append(total, np.zeros(len(counted) - len(total), np.int64))
+                total[: len(counted)] += counted
+                yield _rows([(part, frame, s, None, None, _planes(np.concatenate([[n], sizes, flat])))])
+        there = np.flatnonzero(total)
+        yield _rows([(None, None, COUNTS, there.tolist(), None, _zip(total[there].astype("<i8").tobytes()))])
 
     return scan
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0, np.int64)
     for batch in batches:
-        for data in batch.column("ids"):
-            found = np.bincount(np.frombuffer(data.as_py(), "<u4"))
-            if len(found) > len(total):
-                total = np.append(total, np.zeros(len(found) - len(total), np.int64))
-            total[: len(found)] += found
-    there = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(there, pa.int64()), pa.array(total[there], pa.int64())], ["id", "n"])
+        for ids, data in zip(batch.column("doc_ids"), batch.column("data"), strict=True):
+            n = np.frombuffer(_unzip(data.as_py()), "<i8")
+            yield pa.RecordBatch.from_arrays([ids.values, pa.array(n)], ["id", "n"])
 
 
-def _encode(code: Code):
-    words, lengths = code.encoder()
+def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all pieces (start, size), one after the other."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(total)
+
+
+def _encode(code: Code, end_id: int):
+    """Rows in order of part, frame and slice to packed frames: the word numbers come first, the words' ids after them."""
+    codes, lengths = code.encoder()
+
+    def packed(part: int, frame: int, names, counts: np.ndarray, numbers: bytes, found: list[tuple[int, bytes]]) -> pa.RecordBatch:
+        values = _from_planes(numbers)
+        n = int(values[0])
+        at, stream = values[1 : n + 1], values[n + 1 :]
+        # one more word that stands for the end of a document
+        sizes, starts, flat, held = np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int64), [np.array([end_id], np.int64)], 1
+        sizes[n] = 1
+        order = np.argsort(at, kind="stable")
+        cuts = np.searchsorted(at[order], [s for s, _ in found])
+        for (_, data), cut in zip(found, cuts.tolist(), strict=True):
+            got = _from_planes(data).astype(np.int64)
+            m = int(got[0])
+            own = order[cut : cut + m]
+            sizes[own] = got[1 : m + 1]
+            starts[own] = held + np.cumsum(sizes[own]) - sizes[own]
+            flat.append(got[m + 1 :])
+            held += len(flat[-1])
+        flat = np.concatenate(flat)
+        ends = np.cumsum(counts)
+        stream = np.insert(stream.astype(np.int64), ends, n)
+        before = np.concatenate([[0], np.cumsum(sizes[stream])])
+        edges = before[ends + np.arange(1, len(ends) + 1)]
+        bits, checkpoints = pack(flat[_ragged(starts[stream], sizes[stream])], codes, lengths)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([part], pa.int32()), pa.array([frame], pa.int32()), pa.array([names], pa.list_(pa.int64())),
+             pa.array([np.diff(edges, prepend=0)], pa.list_(pa.int32())), pa.array([checkpoints], pa.list_(pa.int64())),
+             pa.array([bits], pa.binary())],
+            ["part", "frame", "doc_ids", "sizes", "checkpoints", "bits"],
+        )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, found = None, []
         for batch in batches:
-            data, offsets = [], []
-            for raw in batch.column("ids"):
-                packed, starts = pack(np.frombuffer(raw.as_py(), "<u4").astype(np.int64), words, lengths)
-                data.append(packed)
-                offsets.append(starts.astype(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("part", "frame", "doc_ids", "sizes")),
-                 pa.array(offsets, pa.list_(pa.int64())), pa.array(data, pa.binary())],
-                ["part", "frame", "doc_ids", "sizes", "checkpoints", "bits"],
-            )
+            for i, s in enumerate(batch.column("slice").to_pylist()):
+                data = batch.column("data")[i].as_py()
+                if s >= 0:
+                    found.append((s, data))
+                    continue
+                if head is not None:
+                    yield packed(*head, found)
+                counts = np.array(batch.column("sizes")[i].as_py(), np.int64)
+                head = (*(batch.column(c)[i].as_py() for c in ("part", "frame", "doc_ids")), counts, data)
+                found = []
+        if head is not None:
+            yield packed(*head, found)
 
     return scan
 
@@ -212,7 +347,7 @@ def _decode(code: Code):
 class IdFiles:
     """Written ids: ``frames`` (documents in ascending order, their sizes, checkpoints and bits) and the code.
 
-    A frame is one Parquet row: whole documents of half a million ids or one longer document, with a bit
+    A frame is one Parquet row: whole documents of about four million characters or one longer document, with a bit
     offset for every 512 ids, so frames and the blocks in them decode independently of each other.
     """
 
@@ -246,13 +381,16 @@ class IdFiles:
 
 
 def write_ids(
-    docs: DataFrame, encode: Callable[[], Callable[[list[str]], Iterator[bytes]]], end_id: int,
-    store: StageStore | None = None, max_bits: int = MAX_BITS,
+    docs: DataFrame, encode: TextEncoder, end_id: int, store: StageStore | None = None, max_bits: int = MAX_BITS
 ) -> IdFiles:
     """Encode (doc_id, text), append ``end_id`` to each document and write the ids in ascending doc_id order.
 
-    ``encode`` makes, in a task, the function from texts to their ids as little-endian 32-bit integers. Documents are dealt in ranges of doc_id;
-    the counts of all ids, one line per id of the vocabulary, are added up and give one canonical code for all.
+    Documents are sorted into ranges of doc_id, whose texts fall into words; a frame of documents keeps its word
+    numbers, and its distinct words go to slices by hash, where each is encoded once and counted (:func:`_spread`,
+    :func:`_encode_words`). Counts of all ids, one line per id of the vocabulary and slice, are added up and give one canonical
+    code for all. The words' ids return to their frame, which is put in order and packed in one pass; ids are never
+    stored unpacked. Tasks hold a frame, or the words they remember, both bounded in bytes; a text or word beyond
+    the bound is held alone.
 
     Null and empty texts hold the end id alone. Rows with equal doc_id follow each other by text, a null
     doc_id comes first; repeated rows are written each. An empty table writes no frames. Other columns are
@@ -262,61 +400,57 @@ def write_ids(
     store = store or prepared(spark)
     prepared(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = pieces(docs)
     rows = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-    schema = "part int, frame int, doc_ids array<long>, sizes array<int>"
-    raw = store.put("raw_ids", rows.mapInArrow(_frames(encode, end_id), f"{schema}, ids binary"))
-    counts = raw.select("ids").mapInArrow(_count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-    code = Code.of({r["id"]: r["n"] for r in counts.collect()}, max_bits)
+    spread = store.put("spread", rows.mapInArrow(_spread(encode.split, n), SPREAD))
+    words = spread.filter(F.col("slice") >= 0).repartition(n, "slice")
+    found = store.put("found", words.mapInArrow(_encode_words(encode.make), SPREAD))
+    counts = found.filter(F.col("slice") == COUNTS).mapInArrow(_count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    numbers = spread.filter(F.col("slice") == NUMBERS)
+    n_docs = numbers.agg(F.sum(F.size("sizes"))).first()[0] or 0
+    times = Counter({r["id"]: r["n"] for r in counts.collect()})
+    times.update({end_id: n_docs} if n_docs else {})
+    code = Code.of(times, max_bits)
     lines = list(zip(code.ids.tolist(), code.lengths.tolist(), strict=True))
     store.put("code", spark.createDataFrame(lines, "id long, length long"))
-    store.put("frames", raw.mapInArrow(_encode(code), f"{schema}, checkpoints array<long>, bits binary"))
-    store.drop("raw_ids")
+    both = numbers.unionByName(found.filter(F.col("slice") >= 0))
+    both = both.repartitionByRange(n, "part", "frame").sortWithinPartitions("part", "frame", "slice")
+    frames = "part int, frame int, doc_ids array<long>, sizes array<int>, checkpoints array<long>, bits binary"
+    store.put("frames", both.mapInArrow(_encode(code, end_id), frames))
+    store.drop("spread", "found")
     return IdFiles(store)
 
 
-KNOWN_WORDS = 500_000
-DOCS_AT_ONCE = 64
-PIECES = 4096
-
+def _splitter(words: str | None) -> Callable[[str], list[str]]:
+    if words is None:
+        return lambda text: [text]
+    pattern = re.compile(words)
+    if words != BARE_WORDS:
+        return pattern.findall
 
-class _Memory:
-    """Words and their ids: those used of late and those used before, which go when the former are full."""
+    def bare(text: str) -> list[str]:
+        # str.split cuts at the same characters, and at four more
+        return pattern.findall(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
 
-    def __init__(self):
-        self.late: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
+    return bare
 
-    def learn(self, words: set[str], encode: Callable[[list[str]], Iterator[bytes]]) -> dict[str, bytes]:
-        """Ids of all ``words``, each encoded only if it is not remembered."""
-        if len(self.late) + len(words) > KNOWN_WORDS:
-            self.late, self.before = {}, self.late
-        missing = words.difference(self.late)
-        known = missing.intersection(self.before)
-        self.late.update((w, self.before[w]) for w in known)
-        new = list(missing.difference(known))
-        self.late.update(zip(new, encode(new), strict=True))
-        return self.late
-
-
-_MEMORIES: dict[str, _Memory] = {}
 
+@dataclass(frozen=True)
+class TextEncoder:
+    """How texts fall into words, and what makes, in a task, the function from words to their ids as little-endian 32-bit integers."""
 
-def _memory(key: str) -> _Memory:
-    """What this worker remembers of a tokenizer from one task to the next."""
-    return _MEMORIES.setdefault(key, _Memory())
+    split: Callable[[str], list[str]]
+    make: Callable[[], Callable[[list[str]], Iterator[bytes]]]
 
 
-def tokenizer(path: str, words: str | None = None) -> Callable[[], Callable[[list[str]], Iterator[bytes]]]:
+def tokenizer(path: str, words: str | None = None) -> TextEncoder:
     """The encoder of a tokenizer file, read here and sent to the tasks with their code.
 
     ``words`` is a pattern whose matches the tokenizer encodes independently of what is around them and of
-    what is between them, as words of a tokenizer that drops white space. A worker then encodes a word once
-    as long as it remembers it. Without it texts are encoded whole.
+    what is between them, as words of a tokenizer that drops white space. Without it a text is one word.
     """
     with open(path, encoding="utf-8") as f:
         text = f.read()
-    key = hashlib.sha256(text.encode()).hexdigest()
 
     def make():
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -324,23 +458,19 @@ def tokenizer(path: str, words: str | None = None) -> Callable[[], Callable[[lis
 
         own = Tokenizer.from_str(text)
 
-        def whole(texts: list[str]) -> Iterator[bytes]:
-            for start in range(0, len(texts), PIECES):
-                for found in own.encode_batch(texts[start : start + PIECES], add_special_tokens=False):
-                    yield np.array(found.ids, "<u4").tobytes()
-
-        def by_word(texts: list[str]) -> Iterator[bytes]:
-            memory = _memory(key)
-            for start in range(0, len(texts), DOCS_AT_ONCE):
-                found = [pattern.findall(t) for t in texts[start : start + DOCS_AT_ONCE]]
-                known = memory.learn(set().union(*found), whole)
-                for own in found:
-                    yield b"".join(map(known.__getitem__, own))
+        def encode(words: list[str]) -> Iterator[bytes]:
+            some, held = [], 0
+            for i, word in enumerate(words):
+                some.append(word)
+                held += len(word)
+                if len(some) == WORDS_AT_ONCE or held >= CHARS_AT_ONCE or i == len(words) - 1:
+                    for found in own.encode_batch_fast(some, add_special_tokens=False):
+                        yield np.array(found.ids, "<u4").tobytes()
+                    some, held = [], 0
 
-        pattern = re.compile(words) if words else None
-        return by_word if words else whole
+        return encode
 
-    return make
+    return TextEncoder(_splitter(words), make)
 
 
 def ids_of(spark: SparkSession, path: str) -> IdFiles:

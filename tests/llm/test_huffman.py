@@ -1,10 +1,14 @@
 from __future__ import annotations
 
 import heapq
+import random
 import zlib
+from unittest import mock
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute
 from conftest import SMALL
 from tokenizers import Tokenizer
 
@@ -62,6 +66,57 @@ def test_edge_cases(spark, frame, monkeypatch):
         assert [r.doc_id for r in found] == [d for d, _ in docs]
 
 
+def test_white_space_and_control_characters(frame):
+    rnd = random.Random(2)
+    letters = "ab1'sé \u0301\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2003\u2028\u202f\u3000中\U0001f600<|endoftext|>"
+    docs = [(i, "".join(rnd.choices(letters, k=rnd.randint(0, 30)))) for i in range(1500)]
+    files = write_ids(frame(docs, "doc_id long, text string"), huffman.tokenizer(PATH, bpe.BARE_WORDS), 2)
+    check(docs, files.read().orderBy("start").collect())
+
+
+def test_frames_are_bounded_and_in_order(spark, frame, monkeypatch):
+    monkeypatch.setattr(huffman, "FRAME_CHARS", 3000)
+    monkeypatch.setattr(huffman, "PACK_TOKENS", 1024)
+    monkeypatch.setattr(huffman, "KNOWN_BYTES", 2000)  # forgets all the time
+    rnd = random.Random(4)
+    docs = [(i, " ".join(rnd.choices(["the", "of", "word", "x" * 300, f"own{i}"], k=rnd.randint(0, 400)))) for i in range(60)]
+    files = write_ids(frame(docs, "doc_id long, text string").repartition(7), huffman.tokenizer(PATH, bpe.BARE_WORDS), 2)
+    frames = files.store.get("frames")
+    assert frames.count() > 60 // 4 and frames.selectExpr("max(size(doc_ids))").first()[0] < 60
+    check(docs, files.read().orderBy("start").collect())
+    order = [d for r in frames.orderBy("part", "frame").collect() for d in r.doc_ids]
+    assert order == sorted(order)
+
+
+def test_very_long_words_take_bounded_memory():
+    """Two thousand words of 20 kB each, which is no text that a tokenizer should be given at once."""
+    encoder = huffman.tokenizer(PATH, bpe.BARE_WORDS)
+    words = [(f"w{i}" * 5000)[:20_000] for i in range(2000)]
+    data = huffman._spread(encoder.split, 1)
+    with spark_task():
+        frames = list(data(iter([pa.RecordBatch.from_pydict({"doc_id": [1], "text": [" ".join(words)]})])))
+    rows = pa.Table.from_batches(frames).filter(pa.compute.greater_equal(pa.Table.from_batches(frames)["slice"], 0))
+    before = resident()
+    most = 0
+    for _ in huffman._encode_words(encoder.make)(iter(rows.to_batches())):
+        most = max(most, resident() - before)
+    assert most < 700
+
+
+def spark_task():
+    class Task:
+        def partitionId(self):
+            return 0
+
+    return mock.patch.object(huffman.TaskContext, "get", lambda: Task())
+
+
+def resident():
+    """MB of this process."""
+    with open("/proc/self/statm") as f:
+        return int(f.read().split()[1]) * 4096 // 2**20
+
+
 def test_empty(spark, frame):
     files = write_ids(frame([], "doc_id long, text string"), huffman.tokenizer(PATH), 2, prepared(spark))
     assert files.read().collect() == []

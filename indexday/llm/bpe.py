@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indexday.llm.common import prepared
+from indexday.llm.common import lean, prepared
 from indexday.sources import StageStore
 
 BUNDLE_CHARS = 8 * 1024 * 1024
@@ -203,20 +203,20 @@ def encode(
     slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).cast("string").alias("text"))
     schema = "bundle long, slice int, keys array<long>, counts array<long>, data binary"
-    bundles = rows.mapInArrow(_bundle(slices), schema)
+    bundles = rows.mapInArrow(lean(_bundle(slices)), schema)
     # Bucketed by bundle, so that the word numbers meet their ids without being shuffled.
     name = f"bundles_{uuid.uuid4().hex}"
     bundles.write.bucketBy(slices, "bundle").option("path", store.target("bundles")).saveAsTable(name)
     bundles = spark.table(name)
     words = bundles.filter("slice >= 0").select("bundle", "slice", "keys", "data").repartition(slices, "slice")
-    found = words.mapInArrow(_encode_words(ranks, pattern), "bundle long, slice int, ids binary")
+    found = words.mapInArrow(lean(_encode_words(ranks, pattern)), "bundle long, slice int, ids binary")
     found = found.groupBy("bundle").agg(F.collect_list(F.struct("slice", "ids")).alias("found"))
     numbers = bundles.filter("slice < 0").select("bundle", "keys", "counts", "data")
     joined = numbers.join(found, "bundle", "left").select("keys", "counts", "data", "found")
     if not with_bytes:
-        return joined.mapInArrow(_reassemble, "key long, ids array<int>").withColumnRenamed("key", id_col)
+        return joined.mapInArrow(lean(_reassemble), "key long, ids array<int>").withColumnRenamed("key", id_col)
     to_bytes = _decode(ranks, 1)
-    both = joined.mapInArrow(lambda batches: to_bytes(_reassemble(batches)), "key long, ids array<int>, decoded binary")
+    both = joined.mapInArrow(lean(lambda batches: to_bytes(_reassemble(batches))), "key long, ids array<int>, decoded binary")
     return both.withColumnRenamed("key", id_col)
 
 
@@ -254,7 +254,7 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids") ->
     encoded = encoded.drop("decoded")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
     filled = encoded.withColumn(ids_col, F.coalesce(ids_col, F.array().cast("array<int>")))
-    return filled.mapInArrow(_decode(ranks, encoded.columns.index(ids_col)), f"{schema}, decoded binary")
+    return filled.mapInArrow(lean(_decode(ranks, encoded.columns.index(ids_col))), f"{schema}, decoded binary")
 
 
 def digests(decoded: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from indexday.llm.bpe import BARE_WORDS
-from indexday.llm.common import pieces, prepared
+from indexday.llm.common import lean, pieces, prepared
 from indexday.operators.sizing import broadcast_if_small
 from indexday.sources import StageStore
 
@@ -377,7 +377,7 @@ class IdFiles:
             return frames.sparkSession.createDataFrame([], "doc_id long, start long, n_tokens long, ids binary")
         placed = frames.join(broadcast_if_small(starts), ["part", "frame"])
         placed = placed.select("start", "doc_ids", "sizes", "checkpoints", "bits")
-        return placed.mapInArrow(_decode(code), "doc_id long, start long, n_tokens long, ids binary")
+        return placed.mapInArrow(lean(_decode(code)), "doc_id long, start long, n_tokens long, ids binary")
 
 
 def write_ids(
@@ -402,9 +402,9 @@ def write_ids(
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     n = pieces(docs)
     rows = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-    spread = store.put("spread", rows.mapInArrow(_spread(encode.split, n), SPREAD))
+    spread = store.put("spread", rows.mapInArrow(lean(_spread(encode.split, n)), SPREAD))
     words = spread.filter(F.col("slice") >= 0).repartition(n, "slice")
-    found = store.put("found", words.mapInArrow(_encode_words(encode.make), SPREAD))
+    found = store.put("found", words.mapInArrow(lean(_encode_words(encode.make)), SPREAD))
     counts = found.filter(F.col("slice") == COUNTS).mapInArrow(_count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     numbers = spread.filter(F.col("slice") == NUMBERS)
     n_docs = numbers.agg(F.sum(F.size("sizes"))).first()[0] or 0
@@ -416,7 +416,7 @@ def write_ids(
     both = numbers.unionByName(found.filter(F.col("slice") >= 0))
     both = both.repartitionByRange(n, "part", "frame").sortWithinPartitions("part", "frame", "slice")
     frames = "part int, frame int, doc_ids array<long>, sizes array<int>, checkpoints array<long>, bits binary"
-    store.put("frames", both.mapInArrow(_encode(code, end_id), frames))
+    store.put("frames", both.mapInArrow(lean(_encode(code, end_id)), frames))
     store.drop("spread", "found")
     return IdFiles(store)
 

@@ -10,9 +10,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from indexday.llm.common import free_name, prepared
+from indexday.llm.common import free_name, lean, prepared
 
 UNKNOWN = "und"
+ANSWER = ("lang_pred", "score", "n_grams")
 SPACE = 32
 CODE_BITS = 21
 DENSE_CODES = 1 << 22
@@ -81,7 +82,7 @@ class Profiles:
             if len(self._letter) > self.KEPT:
                 self._letter.clear()
             bits = np.random.default_rng([self.seed, code]).integers(0, 2, self.dimensions)
-            self._letter[code] = (2 * bits - 1).astype(np.float32)
+            self._letter[code] = (2 * bits - 1).astype(np.int8)
         return self._letter[code]
 
     def ngram(self, code: int) -> np.ndarray:
@@ -96,7 +97,7 @@ class Profiles:
         if not len(grams):
             return out
         if self._vectors is None:
-            self._vectors = np.empty((self.KEPT, self.dimensions), np.float32)
+            self._vectors = np.empty((self.KEPT, self.dimensions), np.int8)
         names, place = _numbered(grams)
         if len(names) > self.KEPT:
             return self._in_pieces(owner, names, place, out)
@@ -115,7 +116,7 @@ class Profiles:
             if len(own):
                 counts = np.bincount(own)
                 there = np.flatnonzero(counts)
-                out[i] = counts[there].astype(np.float32) @ self._vectors[at[there]]
+                out[i] = counts[there].astype(np.float32) @ self._vectors[at[there]].astype(np.float32)
         return out
 
     def _in_pieces(self, owner, names, place, out):
@@ -125,7 +126,7 @@ class Profiles:
             pairs, counts = np.unique(owner[here] * self.KEPT + (place[here] - start), return_counts=True)
             for i in np.unique(pairs // self.KEPT):
                 own = pairs // self.KEPT == i
-                out[i] += counts[own].astype(np.float32) @ vectors[pairs[own] % self.KEPT]
+                out[i] += counts[own].astype(np.float32) @ vectors[pairs[own] % self.KEPT].astype(np.float32)
         return out
 
 
@@ -152,7 +153,7 @@ def _learn(profiles: Profiles):
     return bundle
 
 
-def _predict(profiles: Profiles, names: list[str], prototypes: np.ndarray, columns: list[str]):
+def _predict(profiles: Profiles, names: list[str], prototypes: np.ndarray, columns: list[str], sized: bool):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column(columns.index("text")).to_pylist()]
@@ -168,10 +169,10 @@ def _predict(profiles: Profiles, names: list[str], prototypes: np.ndarray, colum
                 value = np.where(has_letters, value, 0.0)
             else:
                 said, value = [UNKNOWN] * len(texts), np.zeros(len(texts))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(said, pa.string()), pa.array(value, pa.float64())],
-                [*batch.schema.names, "lang_pred", "score"],
-            )
+            found = [pa.array(said, pa.string()), pa.array(value, pa.float64())]
+            if sized:
+                found.append(pa.array(np.bincount(owner, minlength=len(texts))))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *found], [*batch.schema.names, *ANSWER[: len(found)]])
 
     return score
 
@@ -181,6 +182,17 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def least_scores(named: DataFrame, least_grams: int, quantile: float, part: float) -> DataFrame:
+    """(lang_pred, least): for each language the score below which a text is unlike it, learned from labelled texts.
+
+    ``named`` is what :func:`identify_with_folds` gives, ``sized``, with ``lang``. It is ``part`` of the low ``quantile`` of the scores
+    of the learning documents that hold at least ``least_grams`` trigrams and are named as they are labelled. One line
+    per language.
+    """
+    learned = named.filter(~held_out() & (F.col("lang") == F.col("lang_pred")) & (F.col("n_grams") >= least_grams))
+    return learned.groupBy("lang_pred").agg((F.percentile_approx("score", quantile, 10_000) * part).alias("least"))
+
+
 def prototypes(examples: DataFrame, dimensions: int = 1024, seed: int = 9) -> tuple[list[str], np.ndarray]:
     """Language names and their unit profiles, from all rows of (text, lang).
 
@@ -190,7 +202,7 @@ def prototypes(examples: DataFrame, dimensions: int = 1024, seed: int = 9) -> tu
     prepared(examples.sparkSession)
     usable = examples.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
     partial = usable.select("text", F.col("lang").cast("string").alias("lang")).mapInArrow(
-        _learn(Profiles(dimensions, seed)), "lang string, profile array<double>"
+        lean(_learn(Profiles(dimensions, seed))), "lang string, profile array<double>"
     )
     sums = (
         partial.select("lang", F.posexplode("profile").alias("at", "value"))
@@ -204,8 +216,10 @@ def prototypes(examples: DataFrame, dimensions: int = 1024, seed: int = 9) -> tu
     return [r["lang"] for r, ok in zip(rows, keep, strict=True) if ok], (vectors / np.where(norms > 0, norms, 1))[keep]
 
 
-def identify(docs: DataFrame, examples: DataFrame, dimensions: int = 1024, seed: int = 9) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``, the cosine with the nearest prototype.
+def identify(
+    docs: DataFrame, examples: DataFrame, dimensions: int = 1024, seed: int = 9, sized: bool = False
+) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score``, the cosine with the nearest prototype; ``sized`` adds ``n_grams``, the trigrams of the text.
 
     Texts are lower-cased, runs of anything but letters are one space, and the trigrams around a letter are
     bound from random letter vectors: permuted by place, multiplied, and bundled (added) per document.
@@ -217,15 +231,15 @@ def identify(docs: DataFrame, examples: DataFrame, dimensions: int = 1024, seed:
     """
     prepared(docs.sparkSession)
     names, vectors = prototypes(examples, dimensions, seed)
-    docs = docs.drop("lang_pred", "score")
+    answer = ANSWER if sized else ANSWER[:2]
+    docs = docs.drop(*answer)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(
-        _predict(Profiles(dimensions, seed), names, vectors, docs.columns), f"{schema}, lang_pred string, score double"
-    )
+    found = ", lang_pred string, score double" + (", n_grams long" if sized else "")
+    return docs.mapInArrow(lean(_predict(Profiles(dimensions, seed), names, vectors, docs.columns, sized)), schema + found)
 
 
-def identify_with_folds(docs: DataFrame, dimensions: int = 1024, seed: int = 9) -> DataFrame:
+def identify_with_folds(docs: DataFrame, dimensions: int = 1024, seed: int = 9, sized: bool = False) -> DataFrame:
     """:func:`identify`, learned from the labelled documents outside the held-out fold."""
     fold = free_name(docs, "held_out") if "held_out" in docs.columns else "held_out"
     learn = docs.filter(F.col("doc_id").isNotNull() & ~held_out()).select("text", "lang")
-    return identify(docs, learn, dimensions, seed).withColumn(fold, held_out())
+    return identify(docs, learn, dimensions, seed, sized).withColumn(fold, held_out())

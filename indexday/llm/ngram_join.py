@@ -12,17 +12,17 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from indexday.llm.common import part_of, prepared, put_in_order
+from indexday.llm.common import lean, part_of, prepared, put_in_order
 from indexday.llm.components import components
 from indexday.operators.sizing import broadcast_if_small
 
 WORDS = 5
 SEGMENT = 1 << 20
 ID_BITS = 53
-SLICE_POSTINGS = 2_000_000
+SLICE_POSTINGS = 1_000_000
 MIN_SLICES = 32
 DF_TOP = 65_535
-HELD_POSTINGS = 6_000_000
+HELD_POSTINGS = 3_000_000
 BLOCK_WEIGHT = 400_000
 DOC_WEIGHT = 400
 MU = 0.0085  # DivideSkip's constant for the share of long lists
@@ -184,43 +184,49 @@ def _frequent(slices: int, buckets: int):
         return ids[new], keys[new]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
-        top: dict[int, np.ndarray] = {}
-
-        def pack(s: int):
-            ids, keys = (np.concatenate(x) for x in zip(*held[s], strict=True))
-            return distinct(ids, keys)
+        # Rows come slice by slice, and what one slice holds is gone before the next.
+        at, held, size, room, top = None, [], 0, HELD_POSTINGS, np.zeros(0, np.int64)
+
+        def ended():
+            if not held:
+                return
+            ids, own = distinct(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            held.clear()
+            starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]]) if len(ids) else np.zeros(0, int)
+            df = np.diff(np.append(starts, len(ids)))
+            df = np.repeat(df, df)
+            there = df > 1
+            if there.any():
+                yield send(own[there], ids[there] + at * width, np.minimum(df[there], DF_TOP))
 
         for batch in batches:
             for s, keys, counts, low in zip(*[batch.column(c).to_pylist() for c in ("slice", "keys", "counts", "ids")], strict=True):
+                if s != at:
+                    yield from ended()
+                    at, held, size, room, top = s, [], 0, HELD_POSTINGS, np.zeros(0, np.int64)
                 wide = np.zeros((len(low) // 6, 8), np.uint8)
                 wide[:, :6] = np.frombuffer(low, np.uint8).reshape(-1, 6)
                 ids = wide.view("<u8").ravel().astype(np.int64)
                 own = np.repeat(np.frombuffer(keys, np.int64), np.frombuffer(counts, "<u4"))
-                if s in top:
-                    known = np.isin(ids, top[s])
+                if len(top):
+                    known = np.isin(ids, top)
                     if known.any():
                         yield send(own[known], ids[known] + s * width, np.full(known.sum(), DF_TOP))
                         ids, own = ids[~known], own[~known]
-                held.setdefault(s, []).append((ids, own))
-            if sum(len(x) for pieces in held.values() for x, _ in pieces) > HELD_POSTINGS:
-                for s in held:
-                    ids, own = pack(s)
-                    names, counts = np.unique(ids, return_counts=True)
-                    often = names[counts >= DF_TOP]
+                held.append((ids, own))
+                size += len(ids)
+                if size > room:
+                    ids, own = distinct(*(np.concatenate(x) for x in zip(*held, strict=True)))
+                    names, times = np.unique(ids, return_counts=True)
+                    often = names[times >= DF_TOP]
                     if len(often):
-                        top[s] = np.union1d(top.get(s, often), often)
+                        top = np.union1d(top, often)
                         known = np.isin(ids, often)
                         yield send(own[known], ids[known] + s * width, np.full(known.sum(), DF_TOP))
                         ids, own = ids[~known], own[~known]
-                    held[s] = [(ids, own)]
-        for s in held:
-            ids, own = pack(s)
-            starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]]) if len(ids) else np.zeros(0, int)
-            df = np.repeat(*(lambda d: (d, d))(np.diff(np.append(starts, len(ids)))))
-            there = df > 1
-            if there.any():
-                yield send(own[there], ids[there] + s * width, np.minimum(df[there], DF_TOP))
+                    held, size = [(ids, own)], len(ids)
+                    room = max(HELD_POSTINGS, 2 * size)  # so that packing again and again costs no more than sorting once
+        yield from ended()
 
     return scan
 
@@ -383,10 +389,41 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     doc_id, whose component is null. Repeated rows and ids give a row each. Other columns are not read. An
     empty table gives no rows. n-grams are compared by 53-bit hashes, sets by 64-bit hashes.
     """
+    named, labelled = _labelled(docs)
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("least.first", "doc_id"))
+    return named.join(labelled, "key", "left").select("doc_id", "n_shingles", own.alias("component_id"))
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """(doc_id, key, kept) for each row: whether it stands for its class, by doc_id and the key of its set.
+
+    Of a class the row of least doc_id, then key, is kept, and with it rows of the same doc_id and set. Rows
+    without doc_id or words are in no class and kept, whatever else has their doc_id.
+    """
+    named, labelled = _labelled(docs)
+    chosen = (F.col("least.first") == F.col("doc_id")) & (F.col("least.key") == F.col("key"))
+    return named.join(labelled, "key", "left").select("doc_id", "key", F.coalesce(chosen, F.lit(True)).alias("kept"))
+
+
+def keyed(docs: DataFrame, column: str) -> DataFrame:
+    """``docs`` with the key of each text's set, null without words."""
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [_key(s) if len(s) else None for s in shingle_sets(batch.column("text").to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], [*batch.schema.names, column])
+
+    prepared(docs.sparkSession)
+    return docs.mapInArrow(lean(scan), f"{kinds}, `{column}` long")
+
+
+def _labelled(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_shingles, key) of every row; (key, least): the least (first, key) of the key's class, first its least doc_id."""
     spark = docs.sparkSession
     store = prepared(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    named = store.put("classes", docs.mapInArrow(_classes, "doc_id long, n_shingles long, key long"))
+    named = store.put("classes", docs.mapInArrow(lean(_classes), "doc_id long, n_shingles long, key long"))
     known = named.filter("doc_id IS NOT NULL AND key IS NOT NULL")
     keys = store.put("keys", known.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n_shingles").alias("n")))
     candidates = _candidates(docs.filter("doc_id IS NOT NULL"), keys, store)
@@ -394,22 +431,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     linked = components(links, store, "linked").withColumnsRenamed({"id": "key", "component": "root"})
     labelled = keys.join(linked, "key", "left").withColumn("root", F.coalesce("root", "key"))
     labelled = store.put("labelled", labelled.select("key", "root", "first"))
-    least = labelled.groupBy("root").agg(F.min("first").alias("least"))
-    labelled = labelled.join(least, "root").select("key", "least")
-    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id"))
-    return named.join(labelled, "key", "left").select("doc_id", "n_shingles", own.alias("component_id"))
+    least = labelled.groupBy("root").agg(F.min(F.struct("first", "key")).alias("least"))
+    return named, labelled.join(least, "root").select("key", "least")
 
 
 def _candidates(docs: DataFrame, keys: DataFrame, store) -> DataFrame:
     """(key, group): the components of texts that share a rare n-gram."""
     total = keys.agg(F.sum("n")).first()[0] or 0
     slices = max(MIN_SLICES, -(-total // SLICE_POSTINGS))
-    dealt = docs.select("text").mapInArrow(_postings(slices), "slice int, keys binary, counts binary, ids binary")
-    found = dealt.repartition(slices, "slice").mapInArrow(
-        _frequent(slices, slices), "bucket int, keys binary, ids binary, df binary"
+    dealt = docs.select("text").mapInArrow(lean(_postings(slices)), "slice int, keys binary, counts binary, ids binary")
+    found = dealt.repartition(slices, "slice").sortWithinPartitions("slice").mapInArrow(
+        lean(_frequent(slices, slices)), "bucket int, keys binary, ids binary, df binary"
     )
     sizes = keys.select("key", "n").mapInArrow(_packed_sizes(slices), "bucket int, keys binary, ids binary, df binary")
-    rare = found.unionAll(sizes).repartition(slices, "bucket").mapInArrow(_prefixes, "id long, key long")
+    rare = found.unionAll(sizes).repartition(slices, "bucket").mapInArrow(lean(_prefixes), "id long, key long")
     rare = store.put("rare", rare)
     least = rare.groupBy("id").agg(F.min("key").alias("b"), F.count("*").alias("df")).filter("df > 1")
     edges = rare.join(least, "id").select(F.col("key").alias("a"), "b").filter("a <> b").distinct()
@@ -436,7 +471,7 @@ def _links(docs: DataFrame, keys: DataFrame, candidates: DataFrame, store) -> Da
     wanted = candidates.join(keys, "key").select("key", "group", F.col("first").alias("doc_id"))
     wanted = store.put("wanted", wanted)
     own = docs.join(broadcast_if_small(wanted), "doc_id").select("group", "key", "text")
-    sets = own.mapInArrow(_sets, "group long, key long, n long, ids binary").withColumn("weight", F.col("n") + DOC_WEIGHT)
+    sets = own.mapInArrow(lean(_sets), "group long, key long, n long, ids binary").withColumn("weight", F.col("n") + DOC_WEIGHT)
     sets = put_in_order(sets, [F.col("group"), F.col("n"), F.col("key")], store, "sets")
 
     # A row's place in its group, by weight: what other parts hold of the group before it, and its own part.
@@ -460,4 +495,4 @@ def _links(docs: DataFrame, keys: DataFrame, candidates: DataFrame, store) -> Da
     rows = sets.select("row_at", "key", "ids").join(seated, "row_at")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(n, "group", "left", "right").sortWithinPartitions("group", "left", "right")
-    return rows.select("group", "left", "right", "key", "block", "ids").mapInArrow(_linked, "a long, b long")
+    return rows.select("group", "left", "right", "key", "block", "ids").mapInArrow(lean(_linked), "a long, b long")

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from indexday.llm.common import prepared
+from indexday.llm.common import lean, prepared
 
 MIN_LENGTH = 6
 MIN_EXPONENT = 4
@@ -320,4 +320,4 @@ def periodic_runs(
     """
     prepared(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(_scan(edit), f"doc_id {kind}, {FOUND}")
+    return docs.select("doc_id", "text").mapInArrow(lean(_scan(edit)), f"doc_id {kind}, {FOUND}")

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -7,9 +9,11 @@ import corpus_pipeline
 import public_tokenizers
 import tiktoken
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 from indexday.llm import bpe
+from indexday.llm.common import prepared
 from indexday.llm.langid import identify_with_folds
 
 
@@ -25,8 +29,16 @@ def test_stages_follow_each_other(spark):
         docs = spark.createDataFrame(found[name], docs.schema)
 
     source = spark.read.parquet(f"{SMALL}/documents.parquet")
-    said = {r.doc_id for r in identify_with_folds(source).filter("lang_pred <> 'und' AND score > 0").collect()}
-    assert {r["doc_id"] for r in found["language"]} == said
+    said = [r.asDict() for r in identify_with_folds(source, sized=True).collect()]
+    least = {}
+    for lang in {r["lang"] for r in said} - {None}:
+        scores = [r["score"] for r in said if r["lang"] == r["lang_pred"] == lang and not r["held_out"] and r["n_grams"] >= 32]
+        least[lang] = sorted(scores)[max(math.ceil(0.01 * len(scores)) - 1, 0)] / 2
+    like = {
+        r["doc_id"] for r in said
+        if r["lang_pred"] != "und" and r["score"] > 0 and (r["n_grams"] < 32 or r["score"] >= least[r["lang_pred"]])
+    }
+    assert {r["doc_id"] for r in found["language"]} == like
 
     grams = lambda t: {tuple(w[i : i + 5]) for w in [t.lower().split()] for i in range(max(1, len(w) - 4))}
     sets = {r["doc_id"]: grams(r["text"]) for r in found["language"]}
@@ -70,3 +82,51 @@ def test_stages_on_edge_cases(spark, frame):
         assert stage(spark, empty, SMALL).collect() == [], name
         assert len(stage(spark, odd, SMALL).collect()) > 0, name
     assert sum(r.doc_id == 3 for r in corpus_pipeline.distinct(spark, odd, SMALL).collect()) == 1
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_distinct_decides_per_row(spark, frame):
+    """A text without copies stays whoever else has its id; of every class one row stays."""
+    one, other, third = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    near = one.replace("a39", "other")
+    rows = [(1, one), (2, one), (2, other), (3, near), (3, near), (4, third), (4, third), (4, third.upper()), (None, one), (5, None),
+            (5, ""), (5, " "), (6, other + " more")]
+    docs = frame([(i, t, None, None, 0) for i, t in rows], SCHEMA).withColumn("set_key", F.lit("clash")).withColumn("kept", F.lit(1))
+    found = corpus_pipeline.distinct(spark, docs, SMALL)
+    assert found.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in found.collect()), key=str)
+    assert got == sorted([(1, one), (2, other), (4, third.upper()), (None, one), (5, None)], key=str)
+
+
+def test_language_rejects_what_is_unlike_every_language(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rnd = random.Random(1)
+    letters = {"russian": "абвгдежзиклмнопрст", "greek": "αβγδεζηθικλμνοπρστ", "chinese": "的一是不了人我在有他这中大来上", "random": "abcdefghijklmnopqrstuvwxyz"}
+    odd = []
+    for i in range(80):
+        own = letters[list(letters)[i % 4]]
+        words = ["".join(rnd.choices(own, k=rnd.randint(3, 9))) for _ in range(rnd.randint(15, 300))]
+        odd.append((1_000_000 + i, " ".join(words), None, None, 0))
+    odd += [(2_000_000, None, "en", "a", 0), (2_000_001, "", "en", "a", 0), (2_000_002, "12 34 !", "en", "a", 0)]
+    both = docs.select("doc_id", "text", "lang", "source", "n_chars").unionByName(spark.createDataFrame(odd, SCHEMA)).withColumn("score", F.lit("clash"))
+    found = corpus_pipeline.language(spark, both, SMALL)
+    assert found.columns == both.columns and found.filter("score <> 'clash'").isEmpty()
+    kept = [r.doc_id for r in found.select("doc_id").collect()]
+    assert not [d for d in kept if d >= 1_000_000]
+    clean = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").filter("quality = 1 AND toxic = 0")
+    clean = [r.doc_id for r in clean.select("doc_id").collect()]
+    assert len(set(clean) & set(kept)) >= 0.995 * len(set(clean)) > 0
+
+
+def test_very_long_and_tied_texts(spark, frame):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(60)
+    long = " ".join(r.text for r in docs.collect()) * 20
+    extra = [(900_001, long, "en", "a", len(long)), (900_002, long, "en", "a", len(long)), (900_003, long + " end", "en", None, len(long) + 4)]
+    out = docs.unionByName(spark.createDataFrame(extra, SCHEMA))
+    for name, stage in corpus_pipeline.STAGES:
+        out = prepared(spark).put(name, stage(spark, out, SMALL))
+        if name == "distinct":
+            assert [r.doc_id for r in out.filter("doc_id >= 900000").collect()] == [900_001]
+    assert out.columns == ["doc_id", "n_tokens", "ids"]

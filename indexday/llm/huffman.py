@@ -5,14 +5,14 @@ from __future__ import annotations
 import math
 import os
 import re
-from collections import Counter, defaultdict
+import zlib
+from array import array
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -104,26 +104,27 @@ class Code:
 
 
 def pack(ids: np.ndarray, words: np.ndarray, lengths: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """(bits of all ids, bit offset of every block's first id); some blocks at a time, so it needs little more than its result."""
-    out, checkpoints, base = bytearray(), [np.zeros(0, np.int64)], 0
+    """(bits of all ids, bit offset of every block's first id); some blocks at a time, so it needs little more than its result.
+
+    Code words that start in the same 32 bits share no bits, so adding them, shifted into 64 bits, joins them; what is
+    beyond the 32 bits belongs to the next.
+    """
+    total = sum(int(lengths[ids[i : i + PACK_TOKENS]].sum()) for i in range(0, len(ids), PACK_TOKENS))
+    cells, checkpoints, base = np.zeros((total >> 5) + 2, np.uint32), [np.zeros(0, np.int64)], 0
     for first in range(0, len(ids), PACK_TOKENS):
         part = ids[first : first + PACK_TOKENS]
         sizes = lengths[part]
-        ends = np.cumsum(sizes) + (base & 7)
+        ends = np.cumsum(sizes) + base
         starts = ends - sizes
-        at = starts >> 3
-        window = words[part] << (WINDOW - (starts & 7) - sizes)
-        n = int(ends[-1] + 7) >> 3
-        cells = np.zeros(n + WINDOW // 8, np.int64)
-        for i in range(WINDOW // 8):  # words share bytes but no bits, so adding them joins them
-            own = np.bincount(at + i, weights=(window >> (WINDOW - 8 - 8 * i)) & 255)
-            cells[: len(own)] += own.astype(np.int64)
-        if base & 7:  # the byte that the part before has begun
-            cells[0] += out.pop()
-        out += cells[:n].astype(np.uint8).tobytes()
-        checkpoints.append(starts[::BLOCK_TOKENS] + (base - (base & 7)))
-        base += int(ends[-1]) - (base & 7)
-    return bytes(out), np.concatenate(checkpoints)
+        at = starts >> 5
+        shifted = words[part].astype(np.uint64) << (64 - (starts & 31) - sizes).astype(np.uint64)
+        new = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+        joined, place = np.add.reduceat(shifted, new), at[new]
+        cells[place] += (joined >> np.uint64(32)).astype(np.uint32)
+        cells[place + 1] += joined.astype(np.uint32)
+        checkpoints.append(starts[::BLOCK_TOKENS])
+        base = int(ends[-1])
+    return cells.astype(">u4").tobytes()[: (total + 7) // 8], np.concatenate(checkpoints)
 
 
 def unpack(data: bytes, checkpoints: np.ndarray, n: int, table: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -170,47 +171,66 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
 
-def _spread(split: Callable[[str], list[str]], slices: int):
-    """Sorted documents to frames: the numbers of their words in order, and the distinct words with their counts, by slice.
+def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all pieces (start, size), one after the other."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(total)
 
-    A frame holds whole documents of about ``FRAME_CHARS``, or one longer document. A word's slice follows from its bytes.
-    """
 
-    def flush(part: int, frame: int, names: list, counts: list, stream: list, place: dict) -> pa.RecordBatch:
-        values = np.concatenate(stream) if stream else np.zeros(0, np.int64)
-        times = np.bincount(values, minlength=len(place))
+def _spread(encode: TextEncoder, slices: int):
+    """Sorted documents to frames: the numbers of their word parts in order, and the distinct parts with their counts, by slice.
+
+    A frame holds whole documents of about ``FRAME_CHARS``, or one longer document. A part's slice follows from its bytes.
+    """
+    split, parts_of = encode.split, encode.parts
+
+    def numbered(words: list[str]) -> tuple[np.ndarray, pa.Array]:
+        """(number of each word, distinct words)."""
+        found = pa.array(words, pa.string()).dictionary_encode()
+        return found.indices.to_numpy().astype(np.int64), found.dictionary
+
+    def flush(part: int, frame: int, names: list[int | None], texts: list[list[str]]) -> pa.RecordBatch:
+        counts = np.fromiter(map(len, texts), np.int64, len(texts))
+        values, listed = numbered([w for own in texts for w in own])
+        if parts_of is not None:  # each distinct word falls into parts once
+            apart = [parts_of(w) for w in listed.to_numpy(zero_copy_only=False).tolist()]
+            sizes = np.fromiter(map(len, apart), np.int64, len(apart))
+            flat, listed = numbered([p for own in apart for p in own])
+            before = np.concatenate([[0], np.cumsum(sizes[values])])
+            counts = np.diff(before[np.concatenate([[0], np.cumsum(counts)])])
+            values = flat[_ragged((np.cumsum(sizes) - sizes)[values], sizes[values])]
+        times = np.bincount(values, minlength=len(listed))
         often = np.argsort(-times, kind="stable")  # frequent words get small numbers
         rank = np.empty(len(often), np.int64)
         rank[often] = np.arange(len(often))
-        listed = list(place)
-        raw = [listed[i].encode("utf-8", "surrogatepass") for i in often.tolist()]
-        at = np.fromiter((xxhash.xxh3_64_intdigest(w) % slices for w in raw), np.int64, len(raw))
-        rows = [(part, frame, NUMBERS, names, counts, _planes(np.concatenate([[len(raw)], at, rank[values]])))]
+        listed = listed.cast(pa.binary())
+        raw = listed.to_numpy(zero_copy_only=False).tolist()
+        at = (np.fromiter(map(zlib.crc32, raw), np.int64, len(raw)) % slices)[often]
+        rows = [(part, frame, NUMBERS, names, counts, _planes(np.concatenate([[len(listed)], at, rank[values]])))]
         order = np.argsort(at, kind="stable")
         cuts = np.searchsorted(at[order], np.arange(slices + 1))
+        by_slice = listed.take(pa.array(often[order]))
+        _, offsets, data = by_slice.buffers()
+        ends = np.frombuffer(offsets, np.int32, len(by_slice) + 1).astype(np.int64) if len(by_slice) else np.zeros(1, np.int64)
         for s in np.flatnonzero(np.diff(cuts)).tolist():
-            own = order[cuts[s] : cuts[s + 1]]
-            words = [raw[i] for i in own.tolist()]
-            head = np.concatenate([[len(own)], np.fromiter(map(len, words), np.int64, len(own)), times[often[own]]])
-            rows.append((part, frame, s, None, None, _zip(head.astype("<u4").tobytes() + b"".join(words))))
+            a, b = cuts[s], cuts[s + 1]
+            head = np.concatenate([[b - a], np.diff(ends[a : b + 1]), times[often[order[a:b]]]])
+            rows.append((part, frame, s, None, None, _zip(head.astype("<u4").tobytes() + data[ends[a] : ends[b]].to_pybytes())))
         return _rows(rows)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, frame, held = TaskContext.get().partitionId(), 0, 0
-        names, counts, stream, place = [], [], [], defaultdict(count().__next__)
+        part, frame, held, names, words = TaskContext.get().partitionId(), 0, 0, [], []
         for batch in batches:
             for name, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 if held and held + len(text or "") > FRAME_CHARS:
-                    yield flush(part, frame, names, counts, stream, place)
-                    names, counts, stream, place = [], [], [], defaultdict(count().__next__)
-                    frame, held = frame + 1, 0
-                words = split(text) if text else []
+                    yield flush(part, frame, names, words)
+                    frame, held, names, words = frame + 1, 0, [], []
                 names.append(name)
-                counts.append(len(words))
-                stream.append(np.fromiter(map(place.__getitem__, words), np.int64, len(words)))
+                words.append(split(text) if text else [])
                 held += len(text or "") + 8
         if names:
-            yield flush(part, frame, names, counts, stream, place)
+            yield flush(part, frame, names, words)
 
     return scan
 
@@ -233,7 +253,7 @@ def _encode_words(make: Callable[[], Callable[[list[str]], Iterator[bytes]]]):
                 ends = (np.cumsum(head[:n]) + 4 + 8 * n).tolist()
                 words = [raw[a:b] for a, b in zip([4 + 8 * n, *ends], ends, strict=False)]
                 new = [w for w in words if w not in known]
-                found = dict(zip(new, encode([w.decode("utf-8", "surrogatepass") for w in new]), strict=True))
+                found = dict(zip(new, encode([w.decode() for w in new]), strict=True))
                 ids = [known[w] if w in known else found[w] for w in words]
                 for w, own in found.items():
                     size = len(w) + len(own) + ENTRY_BYTES
@@ -263,13 +283,6 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([ids.values, pa.array(n)], ["id", "n"])
 
 
-def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The places of all pieces (start, size), one after the other."""
-    ends = np.cumsum(sizes)
-    total = int(ends[-1]) if len(ends) else 0
-    return np.repeat(starts - (ends - sizes), sizes) + np.arange(total)
-
-
 def _encode(code: Code, end_id: int):
     """Rows in order of part, frame and slice to packed frames: the word numbers come first, the words' ids after them."""
     codes, lengths = code.encoder()
@@ -402,7 +415,7 @@ def write_ids(
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     n = pieces(docs)
     rows = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-    spread = store.put("spread", rows.mapInArrow(lean(_spread(encode.split, n)), SPREAD))
+    spread = store.put("spread", rows.mapInArrow(lean(_spread(encode, n)), SPREAD))
     words = spread.filter(F.col("slice") >= 0).repartition(n, "slice")
     found = store.put("found", words.mapInArrow(lean(_encode_words(encode.make)), SPREAD))
     counts = found.filter(F.col("slice") == COUNTS).mapInArrow(_count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
@@ -441,13 +454,37 @@ class TextEncoder:
 
     split: Callable[[str], list[str]]
     make: Callable[[], Callable[[list[str]], Iterator[bytes]]]
+    parts: Callable[[str], tuple[str, ...]] | None = None
+
+
+_TAIL = re.compile(r"(.*[a-z0-9à-öø-ÿ])([!-&(-/:-@\[-`{-~]+)", re.DOTALL)
 
 
-def tokenizer(path: str, words: str | None = None) -> TextEncoder:
+def lower_parts(word: str) -> tuple[str, ...]:
+    """Parts of a word that a tokenizer encodes apart which lower-cases and tells letters and digits from other characters.
+
+    Words of Latin-1 alone are lower-cased, which there is the same by any rule, and lose the signs at their end; an apostrophe may begin
+    a part of its own, so it stays. What may hold a special token stays as it is.
+    """
+    if word.islower() and word.isalpha():  # most words
+        return (word,)
+    if "<" in word or not (word.isascii() or max(word) <= "\xff"):
+        return (word,)
+    word = word.lower()
+    if word[-1].isalnum():
+        return (word,)
+    found = _TAIL.fullmatch(word)
+    return found.groups() if found else (word,)
+
+
+def tokenizer(
+    path: str, words: str | None = None, parts: Callable[[str], tuple[str, ...]] | None = None
+) -> TextEncoder:
     """The encoder of a tokenizer file, read here and sent to the tasks with their code.
 
     ``words`` is a pattern whose matches the tokenizer encodes independently of what is around them and of
-    what is between them, as words of a tokenizer that drops white space. Without it a text is one word.
+    what is between them, as words of a tokenizer that drops white space. Without it a text is one word. ``parts`` takes a
+    word apart into what the tokenizer encodes independently too and fewer distinct words remain of, as :func:`lower_parts`.
     """
     with open(path, encoding="utf-8") as f:
         text = f.read()
@@ -465,12 +502,12 @@ def tokenizer(path: str, words: str | None = None) -> TextEncoder:
                 held += len(word)
                 if len(some) == WORDS_AT_ONCE or held >= CHARS_AT_ONCE or i == len(words) - 1:
                     for found in own.encode_batch_fast(some, add_special_tokens=False):
-                        yield np.array(found.ids, "<u4").tobytes()
+                        yield array("I", found.ids).tobytes()
                     some, held = [], 0
 
         return encode
 
-    return TextEncoder(_splitter(words), make)
+    return TextEncoder(_splitter(words), make, parts)
 
 
 def ids_of(spark: SparkSession, path: str) -> IdFiles:

@@ -49,7 +49,7 @@ def op9_language_id(spark, sf_dir):
 
 @query("op3_huffman_ids")
 def op3_huffman_ids(spark, sf_dir):
-    encode = huffman.tokenizer(public_tokenizers.path("word_bpe_49k.json"), words=bpe.BARE_WORDS)
+    encode = huffman.tokenizer(public_tokenizers.path("word_bpe_49k.json"), words=bpe.BARE_WORDS, parts=huffman.lower_parts)
     files = huffman.write_ids(table(spark, sf_dir, "documents"), encode, end_id=2)
     return files.read().select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 

@@ -70,8 +70,23 @@ def test_white_space_and_control_characters(frame):
     rnd = random.Random(2)
     letters = "ab1'sé \u0301\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2003\u2028\u202f\u3000中\U0001f600<|endoftext|>"
     docs = [(i, "".join(rnd.choices(letters, k=rnd.randint(0, 30)))) for i in range(1500)]
-    files = write_ids(frame(docs, "doc_id long, text string"), huffman.tokenizer(PATH, bpe.BARE_WORDS), 2)
-    check(docs, files.read().orderBy("start").collect())
+    docs += [(2000, "x<|endoftext|>. X<|ENDOFTEXT|>. It's. it'S' don't!? É.É ÀÉ... o' 'tis rock'n'roll. a' .b 5. $$$ x_y_ <b>. K İ. ß. ſ.")]
+    for parts in (None, huffman.lower_parts):
+        files = write_ids(frame(docs, "doc_id long, text string"), huffman.tokenizer(PATH, bpe.BARE_WORDS, parts), 2)
+        check(docs, files.read().orderBy("start").collect())
+
+
+def test_parts_are_encoded_apart():
+    """A million random words of the characters that matter: ids of the parts are those of the word."""
+    rnd = random.Random(8)
+    letters = "aZ09éÉßµªº×÷²½'\"-_.,!?$&()<>|[]{}~`^/\\\xa1\xad\xb7\u0301ſKİς中"
+    words = sorted({"".join(rnd.choices(letters, k=rnd.randint(1, 6))) for _ in range(200_000)})
+    tokenizer = Tokenizer.from_file(PATH)
+    whole = [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    parts = [huffman.lower_parts(w) for w in words]
+    flat = iter(tokenizer.encode_batch_fast([p for own in parts for p in own], add_special_tokens=False))
+    assert [[i for _ in own for i in next(flat).ids] for own in parts] == whole
+    assert sum(len(own) > 1 for own in parts) > 10_000
 
 
 def test_frames_are_bounded_and_in_order(spark, frame, monkeypatch):
@@ -92,7 +107,7 @@ def test_very_long_words_take_bounded_memory():
     """Two thousand words of 20 kB each, which is no text that a tokenizer should be given at once."""
     encoder = huffman.tokenizer(PATH, bpe.BARE_WORDS)
     words = [(f"w{i}" * 5000)[:20_000] for i in range(2000)]
-    data = huffman._spread(encoder.split, 1)
+    data = huffman._spread(encoder, 1)
     with spark_task():
         frames = list(data(iter([pa.RecordBatch.from_pydict({"doc_id": [1], "text": [" ".join(words)]})])))
     rows = pa.Table.from_batches(frames).filter(pa.compute.greater_equal(pa.Table.from_batches(frames)["slice"], 0))

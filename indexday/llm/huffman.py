@@ -26,9 +26,7 @@ from indexday.sources import StageStore
 FRAME_CHARS = 4 * 1024 * 1024
 BLOCK_TOKENS = 512
 PACK_TOKENS = 512 * BLOCK_TOKENS
-KNOWN_BYTES = 96 * 1024 * 1024
-ENTRY_BYTES = 150  # what a word and its ids take beside their bytes
-LONG_BYTES = 4096
+HELD_BYTES = 16 * 1024 * 1024
 WORDS_AT_ONCE = 4096
 CHARS_AT_ONCE = 256 * 1024
 MAX_BITS = 18
@@ -194,9 +192,8 @@ def _spread(encode: TextEncoder, slices: int):
         counts = np.fromiter(map(len, texts), np.int64, len(texts))
         values, listed = numbered([w for own in texts for w in own])
         if parts_of is not None:  # each distinct word falls into parts once
-            apart = [parts_of(w) for w in listed.to_numpy(zero_copy_only=False).tolist()]
-            sizes = np.fromiter(map(len, apart), np.int64, len(apart))
-            flat, listed = numbered([p for own in apart for p in own])
+            apart, sizes = parts_of(listed.to_numpy(zero_copy_only=False).tolist())
+            flat, listed = numbered(apart)
             before = np.concatenate([[0], np.cumsum(sizes[values])])
             counts = np.diff(before[np.concatenate([[0], np.cumsum(counts)])])
             values = flat[_ragged((np.cumsum(sizes) - sizes)[values], sizes[values])]
@@ -238,38 +235,49 @@ def _spread(encode: TextEncoder, slices: int):
 def _encode_words(make: Callable[[], Callable[[list[str]], Iterator[bytes]]]):
     """Words of a slice from all frames to ids, and the counts of all ids that they stand for.
 
-    Each distinct word is encoded once, as long as those remembered take no more than ``KNOWN_BYTES``; very long ones
-    are not remembered. What is kept ends with the task.
+    Rows come slice by slice. The words of a slice are taken together, up to ``HELD_BYTES``, and each distinct one is
+    encoded once; beyond that bound once in each part of that size.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, known, room = make(), {}, KNOWN_BYTES
-        total = np.zeros(0, np.int64)
+        encode, total = make(), np.zeros(0, np.int64)
+
+        def ids_of_all(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+            nonlocal total
+            sizes = np.concatenate([h[3] for h in held])
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            buffers = [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(b"".join(h[5] for h in held))]
+            found = pa.Array.from_buffers(pa.binary(), len(sizes), buffers).dictionary_encode()
+            at = found.indices.to_numpy().astype(np.int64)
+            own = list(encode(found.dictionary.cast(pa.string()).to_numpy(zero_copy_only=False).tolist()))
+            n_ids = np.fromiter(map(len, own), np.int64, len(own)) // 4
+            starts = np.cumsum(n_ids) - n_ids
+            flat = np.frombuffer(b"".join(own), "<u4")
+            times = np.bincount(at, weights=np.concatenate([h[4] for h in held]), minlength=len(own))
+            counted = np.bincount(flat, weights=np.repeat(times, n_ids)).astype(np.int64)
+            if len(counted) > len(total):
+                total = np.append(total, np.zeros(len(counted) - len(total), np.int64))
+            total[: len(counted)] += counted
+            first = 0
+            for part, frame, s, lengths, _, _ in held:
+                here = at[first : first + len(lengths)]
+                first += len(lengths)
+                ids = flat[_ragged(starts[here], n_ids[here])]
+                yield _rows([(part, frame, s, None, None, _planes(np.concatenate([[len(here)], n_ids[here], ids])))])
+
+        held, size = [], 0
         for batch in batches:
             for part, frame, s, data in zip(*(batch.column(c).to_pylist() for c in ("part", "frame", "slice", "data")), strict=True):
+                if held and (s != held[0][2] or size > HELD_BYTES):
+                    yield from ids_of_all(held)
+                    held, size = [], 0
                 raw = _unzip(data)
                 n = int.from_bytes(raw[:4], "little")
                 head = np.frombuffer(raw, "<u4", 2 * n, 4).astype(np.int64)
-                ends = (np.cumsum(head[:n]) + 4 + 8 * n).tolist()
-                words = [raw[a:b] for a, b in zip([4 + 8 * n, *ends], ends, strict=False)]
-                new = [w for w in words if w not in known]
-                found = dict(zip(new, encode([w.decode() for w in new]), strict=True))
-                ids = [known[w] if w in known else found[w] for w in words]
-                for w, own in found.items():
-                    size = len(w) + len(own) + ENTRY_BYTES
-                    if size > LONG_BYTES:
-                        continue
-                    if size > room:
-                        known, room = {}, KNOWN_BYTES
-                    known[w] = own
-                    room -= size
-                flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int64)
-                sizes = np.fromiter(map(len, ids), np.int64, n) // 4
-                counted = np.bincount(flat, weights=np.repeat(head[n:], sizes)).astype(np.int64)
-                if len(counted) > len(total):
-                    total = np.append(total, np.zeros(len(counted) - len(total), np.int64))
-                total[: len(counted)] += counted
-                yield _rows([(part, frame, s, None, None, _planes(np.concatenate([[n], sizes, flat])))])
+                held.append((part, frame, s, head[:n], head[n:], raw[4 + 8 * n :]))
+                size += len(raw)
+        if held:
+            yield from ids_of_all(held)
         there = np.flatnonzero(total)
         yield _rows([(None, None, COUNTS, there.tolist(), None, _zip(total[there].astype("<i8").tobytes()))])
 
@@ -416,7 +424,7 @@ def write_ids(
     n = pieces(docs)
     rows = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
     spread = store.put("spread", rows.mapInArrow(lean(_spread(encode, n)), SPREAD))
-    words = spread.filter(F.col("slice") >= 0).repartition(n, "slice")
+    words = spread.filter(F.col("slice") >= 0).repartition(n, "slice").sortWithinPartitions("slice")
     found = store.put("found", words.mapInArrow(lean(_encode_words(encode.make)), SPREAD))
     counts = found.filter(F.col("slice") == COUNTS).mapInArrow(_count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     numbers = spread.filter(F.col("slice") == NUMBERS)
@@ -454,37 +462,48 @@ class TextEncoder:
 
     split: Callable[[str], list[str]]
     make: Callable[[], Callable[[list[str]], Iterator[bytes]]]
-    parts: Callable[[str], tuple[str, ...]] | None = None
+    parts: Callable[[list[str]], tuple[list[str], np.ndarray]] | None = None
 
 
-_TAIL = re.compile(r"(.*[a-z0-9à-öø-ÿ])([!-&(-/:-@\[-`{-~]+)", re.DOTALL)
+_APART = re.compile(r"([a-z0-9à-öø-ÿ])([!-&(-/:-@\[-`{-~]+)$", re.MULTILINE)
+_ODD = re.compile("[<\u0100-\U0010ffff]")
 
 
-def lower_parts(word: str) -> tuple[str, ...]:
-    """Parts of a word that a tokenizer encodes apart which lower-cases and tells letters and digits from other characters.
+def lower_parts(words: list[str]) -> tuple[list[str], np.ndarray]:
+    """(parts of all words, number of parts of each) that a tokenizer encodes apart which lower-cases and tells letters and digits from other characters.
 
     Words of Latin-1 alone are lower-cased, which there is the same by any rule, and lose the signs at their end; an apostrophe may begin
-    a part of its own, so it stays. What may hold a special token stays as it is.
+    a part of its own, so it stays. What may hold a special token stays as it is. Words hold no white space, so they are handled
+    as the lines of one text.
     """
-    if word.islower() and word.isalpha():  # most words
-        return (word,)
-    if "<" in word or not (word.isascii() or max(word) <= "\xff"):
-        return (word,)
-    word = word.lower()
-    if word[-1].isalnum():
-        return (word,)
-    found = _TAIL.fullmatch(word)
-    return found.groups() if found else (word,)
+    words, kept = list(words), {}
+    text = "\n".join(words)
+    if _ODD.search(text):
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+        odd = np.unique(np.searchsorted(ends, [m.start() for m in _ODD.finditer(text)], "right"))
+        kept = {i: words[i] for i in odd.tolist()}
+        for i in kept:
+            words[i] = ""
+        text = "\n".join(words)
+    text = _APART.sub("\\1\t\\2", text.lower())
+    signs = np.frombuffer(text.encode("latin-1"), np.uint8)
+    line = np.cumsum(signs == 10) - (signs == 10)
+    sizes = 1 + np.bincount(line[signs == 9], minlength=len(words))
+    parts = text.replace("\t", "\n").split("\n") if words else []
+    starts = np.cumsum(sizes) - sizes
+    for i, word in kept.items():
+        parts[starts[i]] = word
+    return parts, sizes[: len(words)]
 
 
 def tokenizer(
-    path: str, words: str | None = None, parts: Callable[[str], tuple[str, ...]] | None = None
+    path: str, words: str | None = None, parts: Callable[[list[str]], tuple[list[str], np.ndarray]] | None = None
 ) -> TextEncoder:
     """The encoder of a tokenizer file, read here and sent to the tasks with their code.
 
     ``words`` is a pattern whose matches the tokenizer encodes independently of what is around them and of
-    what is between them, as words of a tokenizer that drops white space. Without it a text is one word. ``parts`` takes a
-    word apart into what the tokenizer encodes independently too and fewer distinct words remain of, as :func:`lower_parts`.
+    what is between them, as words of a tokenizer that drops white space. Without it a text is one word. ``parts`` takes
+    words apart into what the tokenizer encodes independently too and fewer distinct words remain of, as :func:`lower_parts`.
     """
     with open(path, encoding="utf-8") as f:
         text = f.read()

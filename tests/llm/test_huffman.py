@@ -83,16 +83,17 @@ def test_parts_are_encoded_apart():
     words = sorted({"".join(rnd.choices(letters, k=rnd.randint(1, 6))) for _ in range(200_000)})
     tokenizer = Tokenizer.from_file(PATH)
     whole = [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-    parts = [huffman.lower_parts(w) for w in words]
-    flat = iter(tokenizer.encode_batch_fast([p for own in parts for p in own], add_special_tokens=False))
-    assert [[i for _ in own for i in next(flat).ids] for own in parts] == whole
-    assert sum(len(own) > 1 for own in parts) > 10_000
+    parts, sizes = huffman.lower_parts(words)
+    flat = iter(tokenizer.encode_batch_fast(parts, add_special_tokens=False))
+    assert [[i for _ in range(n) for i in next(flat).ids] for n in sizes.tolist()] == whole
+    assert (sizes > 1).sum() > 10_000 and next(flat, None) is None
+    assert huffman.lower_parts([])[0] == [] and huffman.lower_parts(["İ<"])[0] == ["İ<"]
 
 
 def test_frames_are_bounded_and_in_order(spark, frame, monkeypatch):
     monkeypatch.setattr(huffman, "FRAME_CHARS", 3000)
     monkeypatch.setattr(huffman, "PACK_TOKENS", 1024)
-    monkeypatch.setattr(huffman, "KNOWN_BYTES", 2000)  # forgets all the time
+    monkeypatch.setattr(huffman, "HELD_BYTES", 2000)
     rnd = random.Random(4)
     docs = [(i, " ".join(rnd.choices(["the", "of", "word", "x" * 300, f"own{i}"], k=rnd.randint(0, 400)))) for i in range(60)]
     files = write_ids(frame(docs, "doc_id long, text string").repartition(7), huffman.tokenizer(PATH, bpe.BARE_WORDS), 2)

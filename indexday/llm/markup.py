@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 _ATTRIBUTES = r"""(?:[^>"']|"[^"]*"|'[^']*')*"""
-_RAW = "script|style|noscript|template|textarea|iframe|svg|math|object|select|button"
+_RAW = "script|style|noscript|template|textarea|iframe|svg|select|button"
 _PIECE = re.compile(
     rf"(?P<skip><!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z))"
     rf"|<(?P<raw>{_RAW})\b{_ATTRIBUTES}>.*?(?:</(?P=raw)\s*>|\Z)"
@@ -24,12 +24,13 @@ CONTAINERS = frozenset(
 )
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var wbr".split()
+    "strike strong sub sup time tt u var wbr math mi mn mo mrow mtext msub msup msubsup mfrac msqrt mover munder".split()
 )
 CONTENT = frozenset(("article", "main"))
 WHOLE = CONTENT | {"html", "body"}  # never boilerplate by what they are called
 LISTS = frozenset("ul ol dl table figure menu details".split())
-BOILERPLATE = frozenset("head nav footer aside form dialog menu".split())
+BOILERPLATE = frozenset("head nav footer aside form dialog".split())
+OUTER = frozenset("header menu".split())  # boilerplate outside an article
 BOILERPLATE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu "
     "breadcrumb breadcrumbs sidebar footer comment comments disqus respond cookie cookies consent notice notices popup modal "
@@ -96,7 +97,7 @@ def pieces(page: str) -> Iterator[Piece]:
             said = _names(m["rest"])
             label = "".join(f".{w}" for w in said[:3])
             inside = any(t in CONTENT for t, _, _ in stack)
-            own = name in BOILERPLATE or (name == "header" and not inside) or (name not in WHOLE and _called_boilerplate(m["rest"]))
+            own = name in BOILERPLATE or (name in OUTER and not inside) or (name not in WHOLE and _called_boilerplate(m["rest"]))
             yield Piece("open", name, path, cut or own, f"{path}<{name}{label}>")
             if not m["rest"].rstrip(">").endswith("/"):
                 stack.append((name, f"{path}/{name}{label}", cut or own))

@@ -29,18 +29,21 @@ def host(url: str) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
+def _text_roles(piece: Piece) -> list[str]:
+    words = piece.name.split()
+    if len(words) <= LABEL_WORDS:
+        return [f"{piece.path}|{w}" for w in words]
+    return [f"{piece.path}|#{xxhash.xxh3_64_hexdigest(piece.name.strip())}"]
+
+
 def _tokens(page: str) -> Iterator[tuple[str, Piece]]:
     """The tokens of a page with their roles: tags and words in their containers; a long text is one token."""
     for piece in pieces(page):
         if piece.kind != "text":
             yield piece.role, piece
-            continue
-        words = piece.name.split()
-        if len(words) <= LABEL_WORDS:
-            for w in words:
-                yield f"{piece.path}|{w}", piece
         else:
-            yield f"{piece.path}|#{xxhash.xxh3_64_hexdigest(piece.name.strip())}", piece
+            for role in _text_roles(piece):
+                yield role, piece
 
 
 def _page_hash(page: str) -> int:
@@ -198,11 +201,26 @@ def _container(texts: list[tuple[str, bool, int]]) -> str | None:
 
 
 def _blocks(page: str, template: dict | None) -> list[str]:
-    """The text blocks of a page in the template's article slots; without a match the page stands for itself."""
+    """The text blocks of a page in the template's article slots; without a match the page stands for itself.
+
+    Text that belongs to the template is left out, unless that would leave less than half of the page's: then the host's pages
+    are much the same, and what they have in common is no sign of a template.
+    """
     parts = list(pieces(page))
 
-    def take(container: str | None, order: dict[str, int], slots: frozenset) -> list[str]:
+    def written(p: Piece, fixed: frozenset) -> bool:
+        """Whether all of a text is the template's own; what varies with the page is not."""
+        roles = _text_roles(p)
+        return bool(roles) and all(r in fixed for r in roles)
+
+    def take(container: str | None, order: dict[str, int], slots: frozenset, fixed: frozenset) -> list[str]:
         blocks, held, at, slot = [], [], -1, ""
+        gone: set[int] = set()
+        if fixed and container is not None:
+            inside = [p for p in parts if p.kind == "text" and not p.cut and _within(p.path, container)]
+            gone = {id(p) for p in inside if written(p, fixed)}
+            if 2 * sum(len(p.name.strip()) for p in inside if id(p) in gone) > sum(len(p.name.strip()) for p in inside):
+                gone = set()
 
         def close():
             if block := clean("".join(held)):
@@ -211,7 +229,7 @@ def _blocks(page: str, template: dict | None) -> list[str]:
 
         for p in parts:
             if p.kind == "text":
-                if not p.cut and container is not None and _within(p.path, container) and (not order or slot in slots):
+                if id(p) not in gone and not p.cut and container is not None and _within(p.path, container) and (not order or slot in slots):
                     held.append(p.name)
                 continue
             place = order.get(p.role, -1)
@@ -226,9 +244,10 @@ def _blocks(page: str, template: dict | None) -> list[str]:
 
     if template:
         order = {r: i for i, r in enumerate(template["order"])}
-        if blocks := take(template["container"], order, frozenset(template["slots"])):
+        if blocks := take(template["container"], order, frozenset(template["slots"]), frozenset(template["fixed"])):
             return blocks
-    return take(_container([(p.path, p.cut, len(p.name.strip())) for p in parts if p.kind == "text"]), {}, frozenset())
+    own = _container([(p.path, p.cut, len(p.name.strip())) for p in parts if p.kind == "text"])
+    return take(own, {}, frozenset(), frozenset())
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,8 +261,12 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _templates(rows: list[dict], sizes: dict[int, int]) -> dict | None:
-    """A group's template from what its pages showed."""
+def _templates(rows: list[dict], sizes: dict[int, int], whole: set[int]) -> dict | None:
+    """A group's template from what its pages showed.
+
+    ``fixed`` are the words and texts in valid classes that are on all of the group's pages (``whole``): the template's own text,
+    wherever it stands. It has no place in a slot, and the container of the article is sought without it.
+    """
     shown: dict[int, Counter] = defaultdict(Counter)
     where: dict[int, set[str]] = defaultdict(set)
     texts, slot_paths = [], defaultdict(Counter)
@@ -255,20 +278,21 @@ def _templates(rows: list[dict], sizes: dict[int, int]) -> dict | None:
             texts.append((r["b"], r["cut"], r["chars"]))
             slot_paths[r["a"]][r["b"], r["cut"]] += r["chars"]
     valid = {i: next(iter(c)) for i, c in shown.items() if len(c) == 1 and next(iter(c)) and c.total() == sizes.get(i)}
+    fixed = sorted({role for i, turn in valid.items() if i in whole for role in json.loads(turn) if "|" in role})
     container = _container(texts)
     if 0 not in valid or container is None:
         return None
     order = json.loads(valid[0])
     slots = [s for s in ["", *order] if any(not cut and n and _within(p, container) for (p, cut), n in slot_paths[s].items())]
     nested = {next(iter(where[i])): json.loads(t) for i, t in valid.items() if i and len(where[i]) == 1 and "" not in where[i]}
-    return {"order": order, "container": container, "slots": slots, "nested": nested}
+    return {"order": order, "container": container, "slots": slots, "nested": nested, "fixed": fixed}
 
 
 def _by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for rows, sizes in zip(batch.column("rows").to_pylist(), batch.column("sizes").to_pylist(), strict=True):
-            template = _templates(rows, dict(enumerate(sizes)))
+        for rows, sizes, whole in zip(*[batch.column(c).to_pylist() for c in ("rows", "sizes", "whole")], strict=True):
+            template = _templates(rows, dict(enumerate(sizes)), {i for i, w in enumerate(whole) if w})
             out.append(json.dumps(template) if template else None)
         yield pa.RecordBatch.from_arrays([batch.column("group"), pa.array(out, pa.string())], ["group", "template"])
 
@@ -280,7 +304,8 @@ def deduce(pages: DataFrame) -> DataFrame:
     counted again on all pages: tokens with equal occurrence vectors form an equivalence class. A class is
     valid if its tokens take turns in one order on all pages; the class on most pages with most tokens, each
     once a page, is the root, and classes that stay in one of the root's slots nest there. The slots with text
-    inside the article's container are the ones to extract. Hosts of fewer than 8 pages share groups of about
+    inside the article's container are the ones to extract, and the words and texts of valid classes that are on all pages
+    are the template's own, which no slot keeps. Hosts of fewer than 8 pages share groups of about
     100,000 pages.
 
     All counts are sums added up before they are shuffled, so a host with most pages costs no more than another;
@@ -310,28 +335,34 @@ def deduce(pages: DataFrame) -> DataFrame:
     totals = counted.filter("role IS NULL").select("group", F.col("pages").alias("total"))
     classes = (
         counted.filter("role IS NOT NULL").join(totals, "group").filter(F.col("pages") >= MIN_SHARE * F.col("total"))
-        .groupBy("group", "pages", "v1", "v2")
+        .groupBy("group", "pages", "v1", "v2", "total")
         .agg(F.sort_array(F.collect_list("role")).alias("roles"), F.max("most").alias("most"))
         .filter(F.size("roles") > 1)
     )
     rank = Window.partitionBy("group").orderBy(F.col("most") > 1, F.desc("pages"), F.desc(F.size("roles")), "v1", "v2")
     ranked = classes.withColumn("at", F.row_number().over(rank))
-    ranked = ranked.groupBy("group").agg(F.sort_array(F.collect_list(F.struct("at", "roles", "pages"))).alias("c"))
+    ranked = ranked.groupBy("group").agg(F.sort_array(F.collect_list(F.struct("at", "roles", "pages", "total"))).alias("c"))
     ranked = ranked.select(
         "group",
         F.to_json(F.transform("c", lambda x: x["roles"])).alias("classes"),
         F.transform("c", lambda x: x["pages"]).alias("sizes"),
+        F.transform("c", lambda x: x["pages"] == x["total"]).alias("whole"),
     )
     ranked = store.put("classes", ranked)
 
-    shown = pages.join(store.put("host_classes", hosts.join(ranked, "group").drop("sizes")), "host")
+    shown = pages.join(store.put("host_classes", hosts.join(ranked, "group").drop("sizes", "whole")), "host")
     shown = shown.select("group", "classes", "html").mapInArrow(
         _order_and_slots, "group string, kind string, class int, a string, b string, cut boolean, pages long, chars long"
     )
     shown = shown.groupBy("group", "kind", "class", "a", "b", "cut").agg(F.sum("pages").alias("pages"), F.sum("chars").alias("chars"))
     line = F.struct("kind", "class", "a", "b", "cut", "pages", "chars")
     per_group = shown.groupBy("group").agg(F.sort_array(F.collect_list(line)).alias("rows")).join(ranked.drop("classes"), "group")
-    made = per_group.select("group", "rows", "sizes").mapInArrow(_by_group, "group string, template string")
+    # copies of a few pages have all their text in common, which is no template
+    different = grouped.select("group", F.xxhash64("html").alias("page")).distinct().groupBy("group").agg(F.count("*").alias("n"))
+    several = F.coalesce(F.col("n") >= MIN_PAGES, F.lit(False))
+    per_group = per_group.join(broadcast_if_small(different), "group", "left")
+    per_group = per_group.withColumn("whole", F.when(several, F.col("whole")).otherwise(F.array().cast("array<boolean>")))
+    made = per_group.select("group", "rows", "sizes", "whole").mapInArrow(_by_group, "group string, template string")
     return store.put("templates", hosts.join(made, "group", "left").select("host", "template"))
 
 

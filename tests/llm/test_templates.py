@@ -1,9 +1,13 @@
 from __future__ import annotations
 
 import json
+import re
+
+from conftest import SMALL
 
 from indexday.llm.markup import clean, pieces
 from indexday.llm.templates import _blocks, _container, deduce, extract
+from indexday.llm.queries import op1_main_text
 from indexday.sources import StageStore
 
 
@@ -103,3 +107,67 @@ def test_pieces():
     found = [(p.kind, p.name, p.path, p.cut) for p in pieces('<div id="a>b"><P>x<!-- <p> --></div>y</nav>')]
     assert found[0][:2] == ("open", "div") and ("text", "x", "/div.a.b", False) in found and ("text", "y", "", False) in found
     assert clean(" a&nbsp;b\n&#65; ") == "a b A"
+
+
+def built(i, inner=""):
+    """A page of a host whose boilerplate no word list knows."""
+    return (
+        "<html><body><div class=hd>Welcome to the ACME times online edition</div>"
+        f"<div class=c1><p>Story {i} begins here</p><p>{' '.join(f'word{i}x{j}' for j in range(30))}</p>{inner}</div>"
+        "<div class=bx><p>Call us at 555 1234 for anything</p></div></body></html>"
+    )
+
+
+def story(i):
+    return f"Story {i} begins here\n{' '.join(f'word{i}x{j}' for j in range(30))}"
+
+
+def texts_of(frame, pages):
+    rows = [(i, f"http://acme.test/{i}", html) for i, html in enumerate(pages)]
+    return {r.page_id: r.text for r in extract(frame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+
+
+def test_text_of_the_template_is_cut_by_its_class(frame):
+    found = texts_of(frame, [built(i) for i in range(30)])
+    # "Story", "begins" and "here" stand once on every page too: they are the template's words among those of the slot
+    assert all(f"word{i}x29" in t and "ACME" not in t and "555" not in t for i, t in found.items())
+    # without a template the same page keeps all of it
+    alone = "\n".join(_blocks(built(3), None))
+    assert "ACME" in alone and "555" in alone
+
+
+def test_a_line_in_every_article_is_the_template_s(frame):
+    line = "Follow the ACME times on every channel there is and never miss a single story again"
+    found = texts_of(frame, [f"<html><body><article><h1>{i}</h1><p>{built(i)[100:300]}</p><p>{line}</p></article></body></html>" for i in range(30)])
+    assert all(line not in t and f"word{i}x2" in t for i, t in found.items())
+
+
+def test_few_or_like_pages_have_no_template_text(frame):
+    few = texts_of(frame, [built(i) for i in range(5)] * 8)  # 40 pages, five different ones
+    assert all("ACME" in t for t in few.values())
+    like = texts_of(frame, [f"<html><body><article><p>{'all the same words ' * 20}</p><p>{i}</p></article></body></html>" for i in range(30)])
+    assert all("all the same words" in t for t in like.values())
+
+
+def test_formulas_and_lists_of_commands_in_an_article_stay():
+    page = "<body><menu><li>top</li></menu><article><p>The formula <math><mi>x</mi><mo>=</mo><mn>5</mn></math> holds</p><menu><li>first</li><li>then</li></menu></article></body>"
+    assert _blocks(page, None) == ["The formula x=5 holds", "first", "then"]
+
+
+def test_query_gives_the_articles(spark):
+    """The articles of the given pages, cut out by their own tags, are what the query returns."""
+    rows = {r.page_id: r for r in op1_main_text(spark, SMALL).collect()}
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet").collect()
+    assert len(rows) == len(pages)
+    right = 0
+    for p in pages:
+        inner = re.search(r"<article[^>]*>(.*?)</article>", p.html or "", re.S)
+        if inner is None:
+            continue
+        inner = re.sub(r"<!--.*?-->|<(script|style|aside|form|nav)\b.*?</\1>", "", inner[1], flags=re.S)
+        inner = re.sub(r"<br\s*/?>", " ", inner)
+        blocks = re.split(r"</?(?:p|h\d|li|ul|ol|div|section|table|tr|td|blockquote|pre|header|footer|figure)\b[^>]*>", inner)
+        blocks = [clean(re.sub(r"<[^>]*>", "", b)) for b in blocks]
+        right += rows[p.page_id].text == "\n".join(b for b in blocks if b)
+        assert rows[p.page_id].n_chars == len(rows[p.page_id].text)
+    assert right >= 0.9 * len(pages)

@@ -204,10 +204,14 @@ def encode(
     rows = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).cast("string").alias("text"))
     schema = "bundle long, slice int, keys array<long>, counts array<long>, data binary"
     bundles = rows.mapInArrow(lean(_bundle(slices)), schema)
-    # Bucketed by bundle, so that the word numbers meet their ids without being shuffled.
+    # Bucketed by bundle, so that the word numbers meet their ids without being shuffled. The frame read here knows the
+    # files and their buckets; the catalog entry is not needed any longer, and with a path of its own the table leaves its files.
     name = f"bundles_{uuid.uuid4().hex}"
-    bundles.write.bucketBy(slices, "bundle").option("path", store.target("bundles")).saveAsTable(name)
-    bundles = spark.table(name)
+    try:
+        bundles.write.bucketBy(slices, "bundle").option("path", store.target("bundles")).saveAsTable(name)
+        bundles = spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     words = bundles.filter("slice >= 0").select("bundle", "slice", "keys", "data").repartition(slices, "slice")
     found = words.mapInArrow(lean(_encode_words(ranks, pattern)), "bundle long, slice int, ids binary")
     found = found.groupBy("bundle").agg(F.collect_list(F.struct("slice", "ids")).alias("found"))

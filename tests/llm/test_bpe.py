@@ -39,8 +39,11 @@ def test_empty_and_null_ids(frame):
 
 def test_query(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
-    found = op7_byte_bpe(spark, SMALL).collect()
+    query = op7_byte_bpe(spark, SMALL)
+    found = query.collect()
     assert len(found) == len(docs)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("bundles_")]
+    assert "Bucketed: true" in query._jdf.queryExecution().toString()
     for r in found:
         ids = WHOLE.encode_ordinary(docs[r.doc_id])
         digest = hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()

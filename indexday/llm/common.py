@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -33,7 +32,6 @@ def prepared(spark: SparkSession) -> StageStore:
 
 def give_back() -> None:
     """Return what this process has freed to the system, as far as the platform can."""
-    gc.collect()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)

@@ -10,9 +10,11 @@ from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -143,7 +145,7 @@ def unpack(data: bytes, checkpoints: np.ndarray, n: int, table: np.ndarray, leng
 
 
 def _zip(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(data)
+    return zstandard.ZstdCompressor(level=1).compress(data)
 
 
 def _unzip(data: bytes) -> bytes:
@@ -183,17 +185,17 @@ def _spread(encode: TextEncoder, slices: int):
     """
     split, parts_of = encode.split, encode.parts
 
-    def numbered(words: list[str]) -> tuple[np.ndarray, pa.Array]:
+    def numbered(words: pa.Array) -> tuple[np.ndarray, pa.Array]:
         """(number of each word, distinct words)."""
-        found = pa.array(words, pa.string()).dictionary_encode()
+        found = words.dictionary_encode()
         return found.indices.to_numpy().astype(np.int64), found.dictionary
 
-    def flush(part: int, frame: int, names: list[int | None], texts: list[list[str]]) -> pa.RecordBatch:
-        counts = np.fromiter(map(len, texts), np.int64, len(texts))
-        values, listed = numbered([w for own in texts for w in own])
+    def flush(part: int, frame: int, names: list[int | None], counts: list[int], words: list[pa.Array]) -> pa.RecordBatch:
+        counts = np.array(counts, np.int64)
+        values, listed = numbered(pa.concat_arrays(words))
         if parts_of is not None:  # each distinct word falls into parts once
             apart, sizes = parts_of(listed.to_numpy(zero_copy_only=False).tolist())
-            flat, listed = numbered(apart)
+            flat, listed = numbered(pa.array(apart, pa.string()))
             before = np.concatenate([[0], np.cumsum(sizes[values])])
             counts = np.diff(before[np.concatenate([[0], np.cumsum(counts)])])
             values = flat[_ragged((np.cumsum(sizes) - sizes)[values], sizes[values])]
@@ -217,17 +219,25 @@ def _spread(encode: TextEncoder, slices: int):
         return _rows(rows)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, frame, held, names, words = TaskContext.get().partitionId(), 0, 0, [], []
+        part, frame, held = TaskContext.get().partitionId(), 0, 0
+        names, counts, words = [], [], []
         for batch in batches:
-            for name, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                if held and held + len(text or "") > FRAME_CHARS:
-                    yield flush(part, frame, names, words)
-                    frame, held, names, words = frame + 1, 0, [], []
+            texts = batch.column("text").fill_null("")
+            own, flat = split(texts)
+            ends = np.cumsum(own)
+            first = 0  # of the documents not yet taken
+            for i, (name, size) in enumerate(zip(batch.column("doc_id").to_pylist(), pc.utf8_length(texts).to_pylist(), strict=True)):
+                if held and held + size > FRAME_CHARS:
+                    words.append(flat.slice(first, ends[i] - own[i] - first))
+                    yield flush(part, frame, names, counts, words)
+                    frame, held, first = frame + 1, 0, int(ends[i] - own[i])
+                    names, counts, words = [], [], []
                 names.append(name)
-                words.append(split(text) if text else [])
-                held += len(text or "") + 8
+                counts.append(int(own[i]))
+                held += size + 8
+            words.append(flat.slice(first))
         if names:
-            yield flush(part, frame, names, words)
+            yield flush(part, frame, names, counts, words)
 
     return scan
 
@@ -442,25 +452,51 @@ def write_ids(
     return IdFiles(store)
 
 
-def _splitter(words: str | None) -> Callable[[str], list[str]]:
+_OTHER_WHITE = "[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
+
+def _splitter(words: str | None) -> Callable[[pa.Array], tuple[np.ndarray, pa.Array]]:
+    """(words of each text, all words) of an array of texts: matches of a pattern, or whole texts that are not empty."""
+
+    def found(lists: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        flat, sizes = lists.flatten(), np.diff(lists.offsets.to_numpy())
+        there = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0
+        owner = np.repeat(np.arange(len(lists)), sizes)[there]
+        return np.bincount(owner, minlength=len(lists)), flat.filter(pa.array(there))
+
     if words is None:
-        return lambda text: [text]
+        return lambda texts: found(pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32)), texts))
     pattern = re.compile(words)
-    if words != BARE_WORDS:
-        return pattern.findall
 
-    def bare(text: str) -> list[str]:
-        # str.split cuts at the same characters, and at four more
-        return pattern.findall(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
+    def by_pattern(texts: pa.Array) -> pa.Array:
+        return pa.array([pattern.findall(t) for t in texts.to_pylist()], pa.list_(pa.string()))
+
+    def bare(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        # Arrow knows ASCII white space; texts with other white space are matched one by one
+        special = np.flatnonzero(pc.match_substring_regex(texts, _OTHER_WHITE).to_numpy(zero_copy_only=False))
+        lists = pc.ascii_split_whitespace(texts)
+        if len(special):
+            place = np.arange(len(texts))
+            place[special] = len(texts) + np.arange(len(special))
+            lists = pa.concat_arrays([lists, by_pattern(texts.take(pa.array(special)))]).take(pa.array(place))
+        return found(lists)
 
-    return bare
+    return bare if words == BARE_WORDS else lambda texts: found(by_pattern(texts))
+
+
+@lru_cache(maxsize=1)
+def _tokenizer(text: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_str(text)
 
 
 @dataclass(frozen=True)
 class TextEncoder:
     """How texts fall into words, and what makes, in a task, the function from words to their ids as little-endian 32-bit integers."""
 
-    split: Callable[[str], list[str]]
+    split: Callable[[pa.Array], tuple[np.ndarray, pa.Array]]
     make: Callable[[], Callable[[list[str]], Iterator[bytes]]]
     parts: Callable[[list[str]], tuple[list[str], np.ndarray]] | None = None
 
@@ -485,15 +521,19 @@ def lower_parts(words: list[str]) -> tuple[list[str], np.ndarray]:
         for i in kept:
             words[i] = ""
         text = "\n".join(words)
-    text = _APART.sub("\\1\t\\2", text.lower())
-    signs = np.frombuffer(text.encode("latin-1"), np.uint8)
-    line = np.cumsum(signs == 10) - (signs == 10)
-    sizes = 1 + np.bincount(line[signs == 9], minlength=len(words))
-    parts = text.replace("\t", "\n").split("\n") if words else []
+    lines = text.lower().split("\n") if words else []
+    signed = [i for i, w in enumerate(lines) if w and not w[-1].isalnum()]
+    apart = _APART.sub("\\1\t\\2", "\n".join([lines[i] for i in signed])).split("\n")
+    sizes = np.ones(len(words), np.int64)
+    for i, w in zip(signed, apart, strict=False):
+        if "\t" in w:
+            lines[i] = w
+            sizes[i] = 2
+    parts = "\n".join(lines).replace("\t", "\n").split("\n") if words else []
     starts = np.cumsum(sizes) - sizes
     for i, word in kept.items():
         parts[starts[i]] = word
-    return parts, sizes[: len(words)]
+    return parts, sizes
 
 
 def tokenizer(
@@ -509,10 +549,7 @@ def tokenizer(
         text = f.read()
 
     def make():
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        own = Tokenizer.from_str(text)
+        own = _tokenizer(text)
 
         def encode(words: list[str]) -> Iterator[bytes]:
             some, held = [], 0

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from indexday.llm.common import free_name, local_row, part_of, parts, prepared, put_in_order
+from indexday.llm.common import free_name, local_row, part_of, parts, pieces, prepared, put_in_order
+from indexday.sources import StageStore
 
-PREFIX_BYTES = 7
 QUANTILE_ACCURACY = 10_000
 
 
@@ -78,36 +78,65 @@ class Curve:
 
 
 def sort_key(df: DataFrame, name: str) -> Column:
-    """A number that keeps the order of a column: texts by their first seven bytes."""
+    """A column as it is compared with its marks: whole texts as bytes, all else as a double."""
     kind = df.schema[name].dataType
     if isinstance(kind, (T.StringType, T.BinaryType)):
-        head = F.rpad(F.hex(F.substring(F.col(name).cast("binary"), 1, PREFIX_BYTES)), 2 * PREFIX_BYTES, "0")
-        return F.conv(head, 16, 10).cast("double")
+        return F.col(name).cast("binary")
     if isinstance(kind, (T.DateType, T.TimestampType)):
         return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
     return F.col(name).cast("double")
 
 
-def cells(df: DataFrame, dimensions: list[str], bits: int) -> list[Column]:
+def cells(df: DataFrame, dimensions: list[str], bits: int, store: StageStore) -> list[Column]:
     """Each dimension's cell, 0 to 2**bits - 1, between quantiles of all rows; nulls are in the first cell.
 
-    The quantiles come from one aggregate; 2**bits - 1 numbers per dimension reach the driver.
+    Quantiles of numbers and dates come from one aggregate, those of texts from their counted distinct values.
+    2**bits - 1 marks per dimension reach the driver, those of texts as whole values.
     """
-    shares = [i / (1 << bits) for i in range(1, 1 << bits)]
-    keys = {d: sort_key(df, d) for d in dimensions}
-    cuts = df.agg(
-        *[F.percentile_approx(k, shares, QUANTILE_ACCURACY).alias(f"c{i}") for i, k in enumerate(keys.values())]
-    ).first()
-    out = []
-    for i, key in enumerate(keys.values()):
-        out.append(_above([float(x) for x in sorted(set(cuts[i] or []))], key))
-    return out
+    keys = [sort_key(df, d) for d in dimensions]
+    texts = [i for i, d in enumerate(dimensions) if isinstance(df.schema[d].dataType, (T.StringType, T.BinaryType))]
+    numbers = [i for i in range(len(keys)) if i not in texts]
+    marks: dict[int, list] = {i: [] for i in range(len(keys))}
+    if numbers:
+        shares = [i / (1 << bits) for i in range(1, 1 << bits)]
+        cuts = df.agg(*[F.percentile_approx(keys[i], shares, QUANTILE_ACCURACY).alias(f"c{i}") for i in numbers]).first()
+        marks |= {i: sorted({float(x) for x in cuts[f"c{i}"] or []}) for i in numbers}
+    if texts:
+        each = F.explode(F.array(*[F.struct(F.lit(i).alias("dimension"), keys[i].alias("value")) for i in texts]))
+        for r in text_marks(df.select(each.alias("at")).select("at.*"), bits, store).collect():
+            marks[r["dimension"]].append(bytes(r["value"]))
+    return [_above(sorted(marks[i]), key, bits) for i, key in enumerate(keys)]
+
+
+def text_marks(values: DataFrame, bits: int, store: StageStore) -> DataFrame:
+    """(dimension, value): the values at which i / 2**bits of a dimension's rows are reached, i from 1 to 2**bits - 1.
+
+    Distinct values are counted, put in order and numbered by the rows up to them; nulls do not count.
+    """
+    counted = values.filter("value IS NOT NULL").groupBy("dimension", "value").agg(F.count("*").alias("times"))
+    ordered = put_in_order(counted, [F.col("dimension"), F.col("value")], store, "values")
+    totals = F.broadcast(ordered.groupBy("dimension").agg(F.sum("times").alias("total")))  # a row per dimension
+    held = ordered.groupBy("dimension", part_of().alias("part")).agg(F.sum("times").alias("held"))
+    earlier = Window.partitionBy("dimension").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = held.select("dimension", "part", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("dimension", "part").orderBy("row_at").rowsBetween(Window.unboundedPreceding, 0)
+    up_to = ordered.withColumn("part", part_of()).withColumn("own", F.sum("times").over(inside))
+    reached = F.expr(f"least((before + own) * {1 << bits} div total, {(1 << bits) - 1})")
+    short = F.expr(f"least((before + own - times) * {1 << bits} div total, {(1 << bits) - 1})")
+    return up_to.join(before, ["dimension", "part"]).join(totals, "dimension").filter(reached > short).select("dimension", "value")
+
+
+def _above(marks: list, key: Column, bits: int) -> Column:
+    """How many of the marks, in order, a key is above, by halving; none for null."""
+    if not marks:
+        return F.lit(0)
+    listed = F.array(*[F.lit(m) for m in marks])
 
+    def step(at: Column, width: Column) -> Column:
+        return F.when(F.get(listed, at + width - 1) < key, at + width).otherwise(at)
 
-def _above(marks: list[float], key: Column) -> Column:
-    """How many of the marks a key is above; none for null."""
-    listed = F.array(*[F.lit(x) for x in marks]).cast("array<double>")
-    return F.when(key.isNull(), 0).otherwise(F.size(F.filter(listed, lambda m: m < key)))
+    widths = F.array(*[F.lit(1 << b) for b in reversed(range(bits))])
+    return F.when(key.isNull(), 0).otherwise(F.aggregate(widths, F.lit(0), step))
 
 
 def shard(df: DataFrame, dimensions: list[str], ties: list[Column], shards: int, bits: int = 6) -> DataFrame:
@@ -124,11 +153,12 @@ def shard(df: DataFrame, dimensions: list[str], ties: list[Column], shards: int,
     """
     spark = df.sparkSession
     store = prepared(spark)
+    n = pieces(df)
     df = df.drop("curve", "shard", "slot")
     curve = Curve.of(len(dimensions))
     row = free_name(df, "row_at")
-    indexed = df.withColumn("curve", curve.index(cells(df, dimensions, bits), bits))
-    ordered = put_in_order(indexed, [F.col("curve"), *ties], store, "ordered", row)
+    indexed = df.withColumn("curve", curve.index(cells(df, dimensions, bits, store), bits))
+    ordered = put_in_order(indexed, [F.col("curve"), *ties], store, "ordered", row, n)
     total = ordered.count()
     before = F.broadcast(parts(ordered, row).withColumnsRenamed({"part": "_part", "rows_before": "_before"}))
     rank = F.col("_before") + local_row(row)

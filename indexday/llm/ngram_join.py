@@ -381,9 +381,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Texts with equal sets are one key. All n-grams are dealt by hash into slices, which count the texts each
     stands in; those of two or more return to their texts. By rarity, T = ceil(0.75 n) common n-grams leave
     n - T + 1 of which a partner shares one, and texts sharing one of these are in one candidate group. A
-    group's sets, in order of size, are cut into blocks of bounded weight; a task searches one block or two
-    (:func:`divide_skip`) and returns links that span what it found, so large groups of near copies yield as
-    many links as texts, not as pairs. Blocks too unlike in size do not meet.
+    group's sets, in order of size, are cut into blocks of bounded weight; a task searches one block, or what two
+    blocks share (:func:`divide_skip`), and returns links that span what it found, so large groups of near copies
+    yield as many links as texts, not as pairs. Of two blocks only texts meet that have a rare n-gram and a size
+    in common with the other, so texts pieced together from each other's passages are compared with their neighbours.
 
     Null texts and texts without words have an empty set and are linked with nothing, as are rows without
     doc_id, whose component is null. Repeated rows and ids give a row each. Other columns are not read. An
@@ -426,8 +427,8 @@ def _labelled(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     named = store.put("classes", docs.mapInArrow(lean(_classes), "doc_id long, n_shingles long, key long"))
     known = named.filter("doc_id IS NOT NULL AND key IS NOT NULL")
     keys = store.put("keys", known.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n_shingles").alias("n")))
-    candidates = _candidates(docs.filter("doc_id IS NOT NULL"), keys, store)
-    links = store.put("links", _links(docs, keys, candidates, store))
+    candidates, rare = _candidates(docs.filter("doc_id IS NOT NULL"), keys, store)
+    links = store.put("links", _links(docs, keys, candidates, rare, store))
     linked = components(links, store, "linked").withColumnsRenamed({"id": "key", "component": "root"})
     labelled = keys.join(linked, "key", "left").withColumn("root", F.coalesce("root", "key"))
     labelled = store.put("labelled", labelled.select("key", "root", "first"))
@@ -435,8 +436,8 @@ def _labelled(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return named, labelled.join(least, "root").select("key", "least")
 
 
-def _candidates(docs: DataFrame, keys: DataFrame, store) -> DataFrame:
-    """(key, group): the components of texts that share a rare n-gram."""
+def _candidates(docs: DataFrame, keys: DataFrame, store) -> tuple[DataFrame, DataFrame]:
+    """(key, group): the components of texts that share a rare n-gram; (id, key): each text's rare n-grams."""
     total = keys.agg(F.sum("n")).first()[0] or 0
     slices = max(MIN_SLICES, -(-total // SLICE_POSTINGS))
     dealt = docs.select("text").mapInArrow(lean(_postings(slices)), "slice int, keys binary, counts binary, ids binary")
@@ -449,7 +450,7 @@ def _candidates(docs: DataFrame, keys: DataFrame, store) -> DataFrame:
     least = rare.groupBy("id").agg(F.min("key").alias("b"), F.count("*").alias("df")).filter("df > 1")
     edges = rare.join(least, "id").select(F.col("key").alias("a"), "b").filter("a <> b").distinct()
     grouped = components(edges, store, "candidates").withColumnsRenamed({"id": "key", "component": "group"})
-    return store.put("candidates", grouped)
+    return store.put("candidates", grouped), rare
 
 
 def _packed_sizes(buckets: int):
@@ -467,7 +468,7 @@ def _packed_sizes(buckets: int):
     return scan
 
 
-def _links(docs: DataFrame, keys: DataFrame, candidates: DataFrame, store) -> DataFrame:
+def _links(docs: DataFrame, keys: DataFrame, candidates: DataFrame, rare: DataFrame, store) -> DataFrame:
     wanted = candidates.join(keys, "key").select("key", "group", F.col("first").alias("doc_id"))
     wanted = store.put("wanted", wanted)
     own = docs.join(broadcast_if_small(wanted), "doc_id").select("group", "key", "text")
@@ -483,16 +484,25 @@ def _links(docs: DataFrame, keys: DataFrame, candidates: DataFrame, store) -> Da
     light = light.withColumn("at", F.coalesce(F.sum("weight").over(inside), F.lit(0)))
     place = light.join(before, ["group", "part"]).withColumn("block", F.expr(f"(before + at) div {BLOCK_WEIGHT}"))
     place = store.put("places", place.select("group", "key", "n", "row_at", "block"))
-    blocks = place.groupBy("group", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    blocks = store.put("blocks", blocks)
-    right = blocks.select("group", F.col("block").alias("right"), F.col("low").alias("right_low"))
-    tasks = (
-        blocks.withColumnRenamed("block", "left").join(right, "group")
-        .filter("left <= right AND 4 * high >= 3 * right_low").select("group", "left", "right")
-    )
-    seats = tasks.withColumn("block", F.explode(F.array_distinct(F.array("left", "right"))))
-    seated = place.select("row_at", "group", "block").join(seats, ["group", "block"])
+    seated = store.put("seats", _seats(place, rare))
     rows = sets.select("row_at", "key", "ids").join(seated, "row_at")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(n, "group", "left", "right").sortWithinPartitions("group", "left", "right")
     return rows.select("group", "left", "right", "key", "block", "ids").mapInArrow(lean(_linked), "a long, b long")
+
+
+def _seats(place: DataFrame, rare: DataFrame) -> DataFrame:
+    """(row_at, group, block, left, right): each text in the task of its own block, and of every other block that holds a
+    text with one of its rare n-grams and near enough in size.
+
+    So a text of a group of many blocks is compared with blocks that may hold a partner, not with the whole group.
+    """
+    own = place.select("row_at", "group", "block", F.col("block").alias("left"), F.col("block").alias("right"))
+    several = place.filter("block > 0").select("group").distinct()
+    spread = place.join(several, "group", "left_semi").join(rare, "key").select("id", "group", "block", "row_at", "n")
+    held = spread.groupBy("id", "group", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    held = held.withColumnRenamed("block", "other")
+    near = "block <> other AND 4 * n >= 3 * low AND 4 * high >= 3 * n"
+    met = spread.join(held, ["id", "group"]).filter(near).select("row_at", "group", "block", "other").distinct()
+    pair = [F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right")]
+    return own.unionAll(met.select("row_at", "group", "block", *pair))

@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 from indexday.llm import ngram_join
 from indexday.llm.ngram_join import divide_skip, near_duplicates, shingle_sets
@@ -66,6 +67,39 @@ def test_against_brute_force(frame, monkeypatch):
     check(frame([(*d, 1) for d in docs], "doc_id long, text string, n_shingles int").repartition(5), docs)
 
 
+def chain(n):
+    """Texts of two passages each, both shared with a neighbour: one group, no links but those of a near copy."""
+    passages = [" ".join(f"p{i}w{j}" for j in range(30)) for i in range(n + 1)]
+    docs = [(i, f"{passages[i]} {passages[i + 1]}") for i in range(n)]
+    return [*docs, (n, docs[n // 2][1] + " more"), (n + 1, docs[1][1] + " more")]
+
+
+def test_a_chain_is_one_group_of_many_blocks(frame, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_WEIGHT", 5000)
+    docs = chain(150)
+    check(frame(docs, "doc_id long, text string").repartition(4), docs)
+
+
+def test_work_in_a_chain_grows_in_proportion(frame, monkeypatch):
+    seats, inner = [], ngram_join._seats
+
+    def counted(place, rare):
+        found = inner(place, rare)
+        blocks = place.agg(F.count_distinct("group", "block")).first()[0]
+        seats.append((found.count() / place.count(), blocks))
+        return found
+
+    monkeypatch.setattr(ngram_join, "_seats", counted)
+    monkeypatch.setattr(ngram_join, "BLOCK_WEIGHT", 20_000)
+    for n in (500, 2000):
+        found = near_duplicates(frame(chain(n), "doc_id long, text string"))
+        assert found.filter("doc_id <> component_id").count() == 2
+    (few, blocks), (many, more) = seats
+    # a seat in its own block and one for each neighbour, however many blocks the group has
+    assert more > 3 * blocks
+    assert few < 3.1 and many < 3.1
+
+
 def test_edge_cases(frame):
     docs = [(1, None), (2, ""), (3, " \t\n"), (4, "Three small WORDS"), (5, "three\tsmall words"), (6, "three small words more five six")]
     docs += [(7, "a b c d e"), (7, "a b c d e"), (8, "A B C D E"), (None, "a b c d e"), (9, "\xc0 b c d e"), (10, "\xe0 b c d e")]

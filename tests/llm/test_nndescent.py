@@ -8,6 +8,7 @@ from indexday.llm import nndescent
 from indexday.llm.components import components
 from indexday.llm.common import prepared
 from indexday.llm.nndescent import near_duplicates
+from indexday.llm.queries import op8_embedding_duplicates
 
 SCHEMA = "vec_id long, embedding array<double>"
 
@@ -100,6 +101,21 @@ def test_families_linked_at_their_borders_only(frame):
     check(frame(rows, SCHEMA).repartition(5), rows)
 
 
+def test_query_equals_brute_force(spark, frame, tmp_path):
+    """The registered query on a table of single vectors, families of several widths, repeated and unusable rows."""
+    rng = np.random.default_rng(17)
+    rows = [(i, rng.standard_normal(24).astype(np.float32).tolist()) for i in range(150)]
+    for size, spread in [(90, 0.05), (20, 0.2), (2, 0.01), (2, 0.1), (3, 0.22)]:
+        base = rng.standard_normal(24)
+        rows += [(len(rows) + j, (base + spread * rng.standard_normal(24)).astype(np.float32).tolist()) for j in range(size)]
+    rows += [rows[3], (900, rows[3][1]), (901, None), (902, [0.0] * 24), (903, [float("nan")] * 24), (904, [None] * 24)]
+    table = frame([(i, v, i % 3) for i, v in rows], "vec_id long, embedding array<float>, label int")
+    table.repartition(3).write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = op8_embedding_duplicates(spark, str(tmp_path)).collect()
+    assert sorted((str(r.vec_id), r.n_links, str(r.component_id)) for r in got) == brute(rows)
+    assert all(r.kept == (r.vec_id == r.component_id) for r in got)
+
+
 def test_recall_is_told_by_family_size(frame):
     big = [(a, b, 1.0) for a in range(30) for b in range(30) if a != b]
     pairs = [p for i in range(3) for p in [(100 + 2 * i, 101 + 2 * i, 1.0), (101 + 2 * i, 100 + 2 * i, 1.0)]]

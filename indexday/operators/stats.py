@@ -162,11 +162,18 @@ def independent_terms(rows: DataFrame, terms: Sequence[str], tolerance: float =
     return kept
 
 
-def fit_terms(rows: DataFrame, terms: Sequence[str], offset: str | None = None) -> GeneralizedLinearRegressionModel:
-    """Unregularised logistic fit of weighted rows."""
+def fit_terms(
+    rows: DataFrame, terms: Sequence[str], offset: str | None = None, unit: float = 1.0
+) -> GeneralizedLinearRegressionModel:
+    """Unregularised logistic fit of weighted rows, with weights in units of ``unit``.
+
+    The unit leaves the coefficients as they are and multiplies standard errors by its root. It should be about the
+    largest weight: the iterations start at log-odds of log(1 + 2 * weight) either way, and from far out they run away.
+    """
     if not terms:
         raise ValueError("no predictor varies")
-    vectors = VectorAssembler(inputCols=list(terms), outputCol="features").transform(rows)
+    weighted = rows.withColumn("weight", F.col("weight") / unit)
+    vectors = VectorAssembler(inputCols=list(terms), outputCol="features").transform(weighted)
     glm = GeneralizedLinearRegression(
         family="binomial", link="logit", regParam=0.0, weightCol="weight", labelCol="label",
         tol=1e-8, maxIter=MAX_ITERATIONS,
@@ -181,6 +188,7 @@ class Fit:
     """A fit of ``terms`` on ``rows``: all patterns, or those that no separation decides.
 
     ``model`` is None where no term varies in these rows; ``level`` is then the logit of their outcome, if it has one.
+    ``unit`` is that of the model's weights.
     """
 
     rows: DataFrame
@@ -189,6 +197,7 @@ class Fit:
     apart: Separation
     rank: int
     level: float | None = None
+    unit: float = 1.0
 
     @property
     def estimates(self) -> dict[str, float]:
@@ -208,7 +217,8 @@ class Fit:
             return {INTERCEPT: 1 / sqrt(_moments(self.rows, [], np.array([[self.level]]))[0][2][0, 0])}
         try:
             # The model summary lists the intercept after the terms.
-            return dict(zip([*self.terms, INTERCEPT], self.model.summary.coefficientStandardErrors))
+            errors = [e / sqrt(self.unit) for e in self.model.summary.coefficientStandardErrors]
+            return dict(zip([*self.terms, INTERCEPT], errors))
         except UnsupportedOperationException:
             return {}
 
@@ -221,8 +231,9 @@ def fit_rows(rows: DataFrame, terms: Sequence[str]) -> Fit:
     separating direction decides, where the likelihood has its maximum in the limit.
     """
     independent = independent_terms(rows, terms)
-    model = fit_terms(rows, independent)
-    first = Fit(rows, independent, model, Separation(), len(independent) + 1)
+    unit = rows.agg(F.max("weight")).first()[0]
+    model = fit_terms(rows, independent, unit=unit)
+    first = Fit(rows, independent, model, Separation(), len(independent) + 1, unit=unit)
     if first.converged and first.errors():
         return first
     apart = find_separation(rows, independent, _moments, INTERCEPT)
@@ -233,7 +244,7 @@ def fit_rows(rows: DataFrame, terms: Sequence[str]) -> Fit:
         return Fit(left, [], None, apart, first.rank)
     rest = independent_terms(left, independent)
     if rest:
-        return Fit(left, rest, fit_terms(left, rest), apart, first.rank)
+        return Fit(left, rest, fit_terms(left, rest, unit=unit), apart, first.rank, unit=unit)
     share = left.agg(F.sum(F.col("label") * F.col("weight")) / F.sum("weight")).first()[0]
     return Fit(left, [], None, apart, first.rank, log(share / (1 - share)))
 

@@ -103,6 +103,48 @@ def test_profile_limits_lie_where_the_deviance_has_risen(model_rows, study):
     assert some["flag"].ci_upper == pytest.approx(table["flag"].ci_upper) and some["score"].interval == "wald"
 
 
+def counted(frame, counts):
+    """A row per person from the treated and all persons of each group."""
+    cells = [(g, y, n) for g, (t, whole) in counts.items() for y, n in ((1, t), (0, whole - t))]
+    return frame(cells, "g string, y int, n int").selectExpr("g", "y", "explode(sequence(1, n)) as person")
+
+
+def logit(share):
+    return math.log(share / (1 - share))
+
+
+def rise_at(counts, contrast, value):
+    """Rise of the deviance of a model with a term per group when a contrast of the groups' logits is held at a value."""
+
+    def shares(m):
+        return [(t + m * c) / n for (t, n), c in zip(counts, contrast)]
+
+    low = max(-t / c if c > 0 else (n - t) / c for (t, n), c in zip(counts, contrast) if c)
+    high = min((n - t) / c if c > 0 else -t / c for (t, n), c in zip(counts, contrast) if c)
+    for _ in range(200):
+        m = (low + high) / 2
+        above = sum(c * logit(p) for p, c in zip(shares(m), contrast)) > value
+        low, high = (low, m) if above else (m, high)
+    pairs = [(t, n, p) for (t, n), p in zip(counts, shares(m))]
+    return 2 * sum(t * math.log(t / n / p) + (n - t) * math.log((1 - t / n) / (1 - p)) for t, n, p in pairs)
+
+
+def test_contrasts_of_large_groups_are_plotted(frame):
+    counts = {"a": (1600, 4000), "b": (2100, 4100), "c": (1500, 4200), "d": (1650, 4300)}
+    df = counted(frame, counts)
+    d = st.design(df, "y", summed=["g"])
+    out = {r["group"]: r for r in st.plot_table(st.fit_logistic(df, d, interval="profile"), "g", d.summed["g"])}
+    mean = sum(logit(t / n) for t, n in counts.values()) / 4
+    assert set(out) == {f"{g} vs g grand mean" for g in "abc"}
+    for i, g in enumerate("abc"):
+        r = out[f"{g} vs g grand mean"]
+        assert r["coefficient"] == pytest.approx(logit(counts[g][0] / counts[g][1]) - mean, abs=1e-7)
+        contrast = [(k == i) - 1 / 4 for k in range(4)]
+        for end in (r["lower"], r["upper"]):
+            assert rise_at(list(counts.values()), contrast, end) == pytest.approx(3.841459, abs=1e-5)
+        assert r["significant"] == (r["lower"] > 0 or r["upper"] < 0)
+
+
 def test_ends_not_reached_are_missing(model_rows, monkeypatch):
     monkeypatch.setattr(st, "MAX_PROFILE_STEPS", 1)
     d = st.design(model_rows, "y", ["flag", "score"])

@@ -145,6 +145,22 @@ def test_contrasts_of_large_groups_are_plotted(frame):
         assert r["significant"] == (r["lower"] > 0 or r["upper"] < 0)
 
 
+@pytest.mark.parametrize("times", [1, 200])
+def test_contrast_limits_of_any_number_of_rows(frame, times):
+    counts = {"a": (20 * times, 60 * times), "b": (31 * times, 62 * times), "c": (21 * times, 70 * times)}
+    df = counted(frame, counts)
+    table = {c.term: c for c in st.fit_logistic(df, st.design(df, "y", summed=["g"]), interval="profile")}
+    mean = sum(logit(t / n) for t, n in counts.values()) / 3
+    for i, g in enumerate("ab"):
+        c = table[f"g_{i + 1}"]
+        assert c.converged and c.estimate == pytest.approx(logit(counts[g][0] / counts[g][1]) - mean, abs=1e-7)
+        contrast = [(k == i) - 1 / 3 for k in range(3)]
+        variance = sum(w * w * (1 / t + 1 / (n - t)) for w, (t, n) in zip(contrast, counts.values()))
+        assert c.std_error == pytest.approx(math.sqrt(variance), rel=1e-6)
+        for end in (c.ci_lower, c.ci_upper):
+            assert rise_at(list(counts.values()), contrast, end) == pytest.approx(3.841459, abs=1e-5)
+
+
 def test_ends_not_reached_are_missing(model_rows, monkeypatch):
     monkeypatch.setattr(st, "MAX_PROFILE_STEPS", 1)
     d = st.design(model_rows, "y", ["flag", "score"])

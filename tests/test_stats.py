@@ -161,6 +161,18 @@ def test_contrast_limits_of_any_number_of_rows(frame, times):
             assert rise_at(list(counts.values()), contrast, end) == pytest.approx(3.841459, abs=1e-5)
 
 
+def test_limits_of_two_large_groups(frame):
+    counts = {"mild": (6720, 19490), "severe": (3400, 9900)}
+    df = counted(frame, counts)
+    first, second = st.fit_logistic(df, st.design(df, "y", dummy={"g": ["mild", "severe"]}), interval="profile")
+    mild, severe = (logit(t / n) for t, n in counts.values())
+    assert first.estimate == pytest.approx(mild, abs=1e-7) and second.estimate == pytest.approx(severe - mild, abs=1e-7)
+    assert first.std_error == pytest.approx(math.sqrt(1 / 6720 + 1 / 12770), rel=1e-6)
+    assert second.converged and second.ci_lower < second.estimate < second.ci_upper
+    for end in (second.ci_lower, second.ci_upper):
+        assert rise_at(list(counts.values()), [-1, 1], end) == pytest.approx(3.841459, abs=1e-5)
+
+
 def test_ends_not_reached_are_missing(model_rows, monkeypatch):
     monkeypatch.setattr(st, "MAX_PROFILE_STEPS", 1)
     d = st.design(model_rows, "y", ["flag", "score"])
